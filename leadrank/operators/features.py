@@ -49,10 +49,11 @@ def program_lists(dust_programs: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.collect_set("program")), "; ").alias("dust_program"))
 
 
-def facility_inspections(inspections: DataFrame, facility_map: DataFrame,
+def facility_inspections(inspections: DataFrame, facility_map: DataFrame | None,
                          dust_programs: DataFrame) -> DataFrame:
-    return (inspections.join(facility_map, "activity_nr")
-            .join(program_lists(dust_programs), "activity_nr", "left"))
+    """Records with their entity and program list. Without a map, records carry `facility_id` already."""
+    mapped = inspections if facility_map is None else inspections.join(facility_map, "activity_nr")
+    return mapped.join(program_lists(dust_programs), "activity_nr", "left")
 
 
 def latest(column: str, alias: str | None = None) -> Column:
