@@ -1,38 +1,35 @@
-"""Citation codes: readable form, title and category, as one column expression.
+"""Citation codes: readable form, title and category.
 
 The rule tables are small fixed literals, so each lookup is an expression inside
 the scan stage and needs neither a join nor a shuffle.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
-from .text import literal_map, strip_ws, words
+from .text import literal_map, sql_literal, strip_ws, words
 
-FEDERAL = r"^(19\d\d)(\d{4})\s*(.*)$"
-STATE = r"(?i)^(325|408)\.(\d{4,5})([a-z]?)\s*(.*)$"
+FEDERAL = r"^19\d\d\d{4}"
+STATE = r"^(?:325|408)\.(\d{4,5})"
+STATE_HEAD = r"^(325|408)\.(\d{4,5})([A-Za-z]?)\s*"
 
 
 def range_lookup(number: Column, ranges) -> Column:
     """(title, category) of the first range, in list order, that holds `number`."""
-    table = F.array(*[
-        F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"),
-                 F.lit(title).alias("title"), F.lit(category).alias("category"))
-        for lo, hi, title, category in ranges])
+    table = F.expr("array({})".format(", ".join(
+        "named_struct('lo', {}, 'hi', {}, 'title', {}, 'category', {})".format(*map(sql_literal, r))
+        for r in ranges)))
     return F.get(F.filter(table, lambda r: number.between(r["lo"], r["hi"])), F.lit(0))
 
 
 def prefix_lookup(code: Column, industries=rules.INDUSTRIES) -> Column:
     """(industry, points) of the longest matching prefix; earlier entries win ties."""
     flat = [(p, label, points) for label, prefixes, points in industries for p in prefixes]
-    chain = None
-    for prefix, label, points in sorted(flat, key=lambda r: -len(r[0])):
-        hit = F.struct(F.lit(label).alias("industry"), F.lit(points).alias("points"))
-        cond = code.startswith(prefix)
-        chain = F.when(cond, hit) if chain is None else chain.when(cond, hit)
-    none = F.struct(F.lit(None).cast("string").alias("industry"), F.lit(0).alias("points"))
-    return chain.otherwise(none)
+    flat.sort(key=lambda r: -len(r[0]))
+    table = F.expr("array({})".format(", ".join(
+        "named_struct('prefix', {}, 'industry', {}, 'points', {})".format(*map(sql_literal, r)) for r in flat)))
+    return F.get(F.filter(table, lambda r: code.startswith(r["prefix"])), F.lit(0))
 
 
 def paragraph_marks(rest: Column) -> Column:
@@ -47,65 +44,65 @@ def paragraph_marks(rest: Column) -> Column:
     return F.array_join(F.transform(words(rest), mark), "")
 
 
-def parse_code(code: Column) -> Column:
-    """Struct (citation, title, category) of a raw citation code."""
-    raw = strip_ws(F.coalesce(code, F.lit("")))
-    upper = F.upper(raw)
-
-    def result(citation, title, category) -> Column:
-        as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
-        return F.struct(as_col(citation).alias("citation"), as_col(title).alias("title"),
-                        as_col(category).alias("category"))
-
-    # federal: 19PP SSSS paragraphs
-    part = F.regexp_extract(upper, FEDERAL, 1)
-    section = F.regexp_extract(upper, FEDERAL, 2).try_cast("int")
-    rest = F.regexp_extract(upper, FEDERAL, 3)
-    federal_citation = F.concat(F.lit("29 CFR "), part, F.lit("."), section.cast("string"),
-                                paragraph_marks(rest))
-    known = F.when(part == "1910", F.try_element_at(F.create_map(*[
-        v for number, title, category in rules.FEDERAL_SECTIONS
-        for v in (F.lit(number), F.struct(F.lit(title).alias("title"), F.lit(category).alias("category")))
-    ]), section))
-    welding = ((part == "1910") & (section == rules.WELDING_SECTION)
-               & rest.startswith(rules.WELDING_PARAGRAPH))
-    other_part = F.try_element_at(literal_map(rules.FEDERAL_PARTS), part)
-    federal_title = (F.when(welding, rules.WELDING_TITLE)
-                     .otherwise(F.coalesce(known["title"], other_part,
-                                           F.concat(part, F.lit("."), section.cast("string")))))
-    federal_category = (F.when(welding, rules.ADJACENT)
-                        .otherwise(F.coalesce(known["category"], F.lit(rules.OTHER))))
-
-    # state plan: series.number
-    series = F.regexp_extract(raw, STATE, 1)
-    digits = F.regexp_extract(raw, STATE, 2)
-    number = digits.try_cast("int")
-    state_citation = strip_ws(F.concat(F.lit("Mich. R "), series, F.lit("."), digits,
-                                       F.regexp_extract(raw, STATE, 3), F.regexp_extract(raw, STATE, 4)))
+def parse_codes(df: DataFrame, code: str = "standard") -> DataFrame:
+    """Add citation, title and category of the raw code in column `code`.
+
+    Shared parts are columns of their own, so each is computed once per row.
+    """
+    section_table = F.expr("map({})".format(", ".join(
+        "{}, named_struct('title', {}, 'category', {})".format(*map(sql_literal, r))
+        for r in rules.FEDERAL_SECTIONS)))
+    raw, upper = F.col("_raw"), F.col("_upper")
+    split = (df.withColumn("_raw", strip_ws(F.coalesce(code, F.lit("")))).withColumn("_upper", F.upper("_raw"))
+             .withColumns({
+                 "_family": F.when(upper.rlike(FEDERAL), "federal")
+                 .when(upper.startswith("5A0001"), "duty").when(upper.startswith("408.1011"), "state duty")
+                 .when(raw.rlike(STATE), F.substring(raw, 1, 3)).otherwise("none"),
+                 "_part": F.substring(upper, 1, 4), "_rest": F.regexp_replace(F.substr(upper, F.lit(9)), r"^\s+", "")})
+             .withColumns({
+                 # federal: 19PP SSSS paragraphs; state plan: series.number
+                 "_number": F.when(F.col("_family") == "federal", F.substring(upper, 5, 4))
+                 .when(F.col("_family").isin("325", "408"), F.regexp_extract(raw, STATE, 1)).try_cast("int")}))
+
+    family, part, rest, number = (F.col(f"_{c}") for c in ("family", "part", "rest", "number"))
+    known = F.when(part == "1910", F.try_element_at(section_table, number))
+    welding = ((part == "1910") & (number == rules.WELDING_SECTION) & rest.startswith(rules.WELDING_PARAGRAPH))
     health = range_lookup(number, rules.STATE_HEALTH_RANGES)
     safety_part = F.coalesce(F.nullif(F.floor(number / 100).cast("int") % 100, F.lit(0)), F.lit(1))
-    safety_title = F.coalesce(F.try_element_at(literal_map(rules.STATE_SAFETY_PARTS), safety_part),
-                              F.concat(F.lit("Part "), safety_part.cast("string")))
-    safety_category = F.coalesce(F.try_element_at(literal_map(rules.STATE_SAFETY_CATEGORY), safety_part),
-                                 F.lit(rules.OTHER))
-    state_title = lambda c: F.concat(F.lit("MIOSHA "), c)
+    split = split.withColumns({
+        "_section": F.when(family == "federal", known), "_range": F.when(family == "325", health),
+        "_welding": F.coalesce((family == "federal") & welding, F.lit(False)),
+        "_safety": F.when((family == "408") & number.between(10000, 19999), safety_part)})
 
-    return (
-        F.when(upper.rlike(FEDERAL), result(federal_citation, federal_title, federal_category))
-        .when(upper.startswith("5A0001"),
-              result("OSH Act 5(a)(1)", "General Duty Clause", rules.OTHER))
-        .when(upper.startswith("408.1011"),
-              result("MCL 408.1011", "Michigan general duty clause", rules.OTHER))
-        .when(raw.rlike(STATE) & (series == "325"),
-              result(state_citation,
-                     state_title(F.coalesce(health["title"], F.lit("occupational health rule"))),
-                     F.coalesce(health["category"], F.lit(rules.OTHER))))
-        .when(raw.rlike(STATE) & (number == rules.HOUSEKEEPING_RULE),
-              result(state_citation, "MIOSHA Part 1 Housekeeping", rules.ADJACENT))
-        .when(raw.rlike(STATE) & number.between(10000, 19999),
-              result(state_citation, state_title(safety_title), safety_category))
-        .when(raw.rlike(STATE) & number.between(22101, 22199),
-              result(state_citation, "MIOSHA Part 11 Recordkeeping", rules.OTHER))
-        .when(raw.rlike(STATE), result(state_citation, "MIOSHA rule", rules.OTHER))
-        .otherwise(result(F.when(raw == "", "unknown").otherwise(raw),
-                          "State or other rule", rules.OTHER)))
+    section, in_range, safety = F.col("_section"), F.col("_range"), F.col("_safety")
+    state_title = lambda c: F.concat(F.lit("MIOSHA "), c)
+    citation = (
+        F.when(family == "federal", F.concat(F.lit("29 CFR "), part, F.lit("."), number.cast("string"),
+                                             paragraph_marks(rest)))
+        .when(family == "duty", "OSH Act 5(a)(1)").when(family == "state duty", "MCL 408.1011")
+        .when(family.isin("325", "408"), strip_ws(F.concat(
+            F.lit("Mich. R "), F.regexp_replace(raw, STATE_HEAD, "$1.$2$3"))))
+        .otherwise(F.when(raw == "", "unknown").otherwise(raw)))
+    title = (
+        F.when(F.col("_welding"), rules.WELDING_TITLE)
+        .when(family == "federal", F.coalesce(
+            section["title"], F.try_element_at(literal_map(rules.FEDERAL_PARTS), part),
+            F.concat(part, F.lit("."), number.cast("string"))))
+        .when(family == "duty", "General Duty Clause").when(family == "state duty", "Michigan general duty clause")
+        .when(family == "325", state_title(F.coalesce(in_range["title"], F.lit("occupational health rule"))))
+        .when((family == "408") & (number == rules.HOUSEKEEPING_RULE), "MIOSHA Part 1 Housekeeping")
+        .when(safety.isNotNull(), state_title(F.coalesce(
+            F.try_element_at(literal_map(rules.STATE_SAFETY_PARTS), safety),
+            F.concat(F.lit("Part "), safety.cast("string")))))
+        .when((family == "408") & number.between(22101, 22199), "MIOSHA Part 11 Recordkeeping")
+        .when(family == "408", "MIOSHA rule").otherwise("State or other rule"))
+    category = (
+        F.when(F.col("_welding"), rules.ADJACENT)
+        .when(family.isin("federal", "325"), F.coalesce(
+            section["category"], in_range["category"], F.lit(rules.OTHER)))
+        .when((family == "408") & (number == rules.HOUSEKEEPING_RULE), rules.ADJACENT)
+        .when(safety.isNotNull(), F.coalesce(
+            F.try_element_at(literal_map(rules.STATE_SAFETY_CATEGORY), safety), F.lit(rules.OTHER)))
+        .otherwise(rules.OTHER))
+    return split.withColumns({"citation": citation, "title": title, "category": category}).select(
+        *df.columns, "citation", "title", "category")

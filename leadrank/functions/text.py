@@ -8,8 +8,13 @@ from pyspark.sql import Column, functions as F
 from .. import rules
 
 
+def sql_literal(v) -> str:
+    """A number or text as SQL literal (rule tables become one parsed expression)."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+
+
 def literal_map(pairs) -> Column:
-    return F.create_map(*[F.lit(v) for pair in pairs for v in pair])
+    return F.expr("map({})".format(", ".join(sql_literal(v) for pair in pairs for v in pair)))
 
 
 def strip_ws(c: Column) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
-from ..functions.codes import parse_code
+from ..functions.codes import parse_codes
 from ..functions.values import months_before
 
 
@@ -38,9 +38,7 @@ def param(params: DataFrame, name: str) -> Column:
 # ------------------------------------------------------------------- row tables
 def standard_lookup(violations: DataFrame) -> DataFrame:
     """Every distinct code with its parsed form; codes are parsed once each."""
-    return (violations.select("standard").distinct()
-            .withColumn("parsed", parse_code(F.col("standard")))
-            .select("standard", "parsed.citation", "parsed.title", "parsed.category"))
+    return parse_codes(violations.select("standard").distinct())
 
 
 def program_lists(dust_programs: DataFrame) -> DataFrame:

@@ -25,17 +25,25 @@ def _selected() -> Column:
 
 
 def metal_air_forms(forms: DataFrame, prefixes=rules.DEFAULT_RULES.prefixes) -> DataFrame:
-    """Metal release forms with a positive amount, their match key and target-industry flag."""
+    """Metal release forms with a positive amount, summed per facility as written.
+
+    A facility writes itself the same way on most of its forms, so the costly name
+    normalisation runs once per spelling instead of once per form.
+    """
     target = F.exists(F.array(*[strip_ws(F.coalesce(F.col(c), F.lit(""))) for c in NAICS_COLUMNS]),
                       lambda code: starts_with_any(code, prefixes))
-    return (forms.filter(_selected())
-            .withColumn("release", amount(F.col("fugitive_air")) + amount(F.col("stack_air")))
-            .filter(F.col("release") > 0)
-            .select(normalize_name(F.col("facility_name")).alias("match_name"),
-                    F.upper(strip_ws(F.col("state"))).alias("match_state"),
-                    zip5_key(F.col("zip")).alias("match_zip"),
-                    strip_ws(F.coalesce("chemical", F.lit(""))).alias("chemical"),
-                    "release", target.alias("target")))
+    spelled = (forms.filter(_selected())
+               .withColumn("release", amount(F.col("fugitive_air")) + amount(F.col("stack_air")))
+               .filter(F.col("release") > 0)
+               .withColumns({"target": target, "chemical": strip_ws(F.coalesce("chemical", F.lit("")))})
+               .groupBy("facility_name", "state", "zip").agg(
+                   # chemical names come from the fixed list of reportable substances, which bounds the set
+                   F.sum("release").alias("release"), F.collect_set("chemical").alias("chemicals"),
+                   F.count(F.lit(1)).alias("forms"), F.count_if("target").alias("target_forms")))
+    return spelled.select(normalize_name(F.col("facility_name")).alias("match_name"),
+                          F.upper(strip_ws(F.col("state"))).alias("match_state"),
+                          zip5_key(F.col("zip")).alias("match_zip"),
+                          "release", "chemicals", "forms", "target_forms")
 
 
 def entity_keys(facilities: DataFrame) -> DataFrame:
@@ -53,13 +61,13 @@ def matched_keys(forms: DataFrame, facilities: DataFrame) -> DataFrame:
     """Forms summed per match key, each key with its verdict.
 
     Forms are aggregated to one row per key before the join, so a key that holds
-    a large part of all forms reaches the join as a single row. Chemical names
-    come from the fixed list of reportable substances, which bounds the set.
+    a large part of all forms reaches the join as a single row.
     """
     key = ["match_name", "match_state", "match_zip"]
     per_key = metal_air_forms(forms).groupBy(*key).agg(
-        F.sum("release").alias("release"), F.collect_set("chemical").alias("chemicals"),
-        F.count(F.lit(1)).alias("forms"), F.count_if("target").alias("target_forms"))
+        F.sum("release").alias("release"),
+        F.array_distinct(F.flatten(F.collect_set("chemicals"))).alias("chemicals"),
+        F.sum("forms").alias("forms"), F.sum("target_forms").alias("target_forms"))
     verdict = (F.when(F.col("unique_entity"), "matched")
                .when(F.col("unique_entity").isNotNull(), "ambiguous").otherwise("unmatched"))
     return per_key.join(entity_keys(facilities), key, "left").withColumn("verdict", verdict)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import rules
 from ..functions import text, values
-from ..functions.codes import parse_code, prefix_lookup, range_lookup
+from ..functions.codes import prefix_lookup, range_lookup
 from ..operators import (evaluate, explain, features, ground, history, link, lists, match, nested, points,
                          quality, rank, score, staging)
 from . import oracle as o
@@ -69,7 +69,7 @@ RAW_INSPECTION = [
     f"CASE WHEN o_orderkey % 3 = 0 THEN 'not a date' WHEN o_orderkey % 3 = 1 THEN {p.S(p.DAY('o_orderdate'))} END AS close_case_date",
 ]
 RAW_VIOLATION = [
-    f"{p.S('l_orderkey')} AS activity_nr", p.VIOLATION[1], f"concat(' ', {p.CODE}, '  ') AS standard",
+    f"{p.S('l_orderkey')} AS activity_nr", p.VIOLATION[1], f"' ' || {p.CODE} || '  ' AS standard",
     "l_returnflag AS viol_type", f"concat({p.S(p.DAY('l_shipdate'))}, 'T00:00') AS issuance_date",
     "CASE WHEN l_tax < 0.02 THEN '' WHEN l_tax < 0.04 THEN 'n/a' ELSE "
     f"concat({p.S('CAST(floor(l_extendedprice) AS INT)')}, '.25') END AS current_penalty",
@@ -240,7 +240,7 @@ def industry_prefix(t: StarTables) -> DataFrame:
         t.read("lineitem").selectExpr("l_partkey AS activity_nr",
                                       "CAST(300000 + (l_partkey * 131 + l_suppkey * 17) % 40000 AS STRING) AS naics"))
     return codes.withColumn("fit", prefix_lookup(F.col("naics"))).select(
-        "activity_nr", "naics", "fit.industry", "fit.points")
+        "activity_nr", "naics", "fit.industry", F.coalesce("fit.points", F.lit(0)).alias("points"))
 
 
 # ------------------------------------------------------------------------- codes

@@ -128,7 +128,7 @@ class StarTables:
         self._made: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._once(f"read {name}", lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def _once(self, name: str, make) -> DataFrame:
         if name not in self._made:
