@@ -27,7 +27,8 @@ def allowed_numbers(leads: DataFrame, inspections: DataFrame, citations: DataFra
         text = F.concat_ws(" ", *[p if isinstance(p, Column) else F.col(p).cast("string") for p in parts])
         return df.select("facility_id", F.explode(numbers_in(text)).alias("number"))
 
-    return (numbers(leads, as_of.cast("string"), "name", "city", "state", "industry", "naics", "employees")
+    dated = leads.withColumn("_as_of", as_of)
+    return (numbers(dated, "_as_of", "name", "city", "state", "industry", "naics", "employees")
             .unionByName(numbers(inspections, "activity_nr", "opened", "dust_program",
                                  "citation_count", "other_citations"))
             .unionByName(numbers(citations, "standard", "title", "category", "type", "issued", "penalty_usd"))

@@ -20,10 +20,15 @@ CITATIONS_PER_PART = 500
 INSPECTIONS_PER_PART = 200
 
 
-def kept_citations(evidence: DataFrame, shown: DataFrame) -> DataFrame:
-    """Dust-related citations of the shown entities, in public form."""
+def shown_evidence(evidence: DataFrame, shown: DataFrame) -> DataFrame:
+    """Evidence of the shown entities only; reduces everything below to their rows."""
+    return evidence.join(shown.select("facility_id"), "facility_id", "left_semi")
+
+
+def kept_citations(evidence: DataFrame) -> DataFrame:
+    """Dust-related citations in public form."""
     mine = evidence.filter((F.col("kind") == "citation") & (F.col("category") != rules.OTHER))
-    return mine.join(shown.select("facility_id"), "facility_id", "left_semi").select(
+    return mine.select(
         "facility_id", "activity_nr", "open_date", "dust_program",
         F.col("citation").alias("standard"), "title", "category",
         violation_label(F.col("viol_type")).alias("type"), F.col("evidence_date").alias("issued"),
@@ -31,12 +36,11 @@ def kept_citations(evidence: DataFrame, shown: DataFrame) -> DataFrame:
         (F.col("contest_date").isNotNull() & F.col("final_order_date").isNull()).alias("under_contest"))
 
 
-def kept_inspections(evidence: DataFrame, shown: DataFrame) -> DataFrame:
-    """Records of the shown entities with a dust-related citation or a program; other citations counted."""
+def kept_inspections(evidence: DataFrame) -> DataFrame:
+    """Records with a dust-related citation or a program; other citations counted."""
     cited = F.col("kind") == "citation"
     other = cited & (F.col("category") == rules.OTHER)
-    return (evidence.join(shown.select("facility_id"), "facility_id", "left_semi")
-            .groupBy("facility_id", "activity_nr").agg(
+    return (evidence.groupBy("facility_id", "activity_nr").agg(
                 F.max("open_date").alias("opened"), F.max("dust_program").alias("dust_program"),
                 F.count_if(cited & ~other).alias("citation_count"),
                 F.count_if(other).alias("other_citations"))
@@ -52,14 +56,17 @@ def _parts(df: DataFrame, group: list[str], order: list[Column], size: int, name
             .withColumn(name, F.floor(F.col("_pos") / size).cast("long")).drop("_pos"))
 
 
-def nested_inspections(evidence: DataFrame, shown: DataFrame, citations_per_part: int = CITATIONS_PER_PART,
+def nested_inspections(evidence: DataFrame, citations_per_part: int = CITATIONS_PER_PART,
                        inspections_per_part: int = INSPECTIONS_PER_PART) -> DataFrame:
-    """(facility_id, part, inspections[]) with at most the given list lengths per part."""
-    records = kept_inspections(evidence, shown)
+    """(facility_id, part, inspections[]) with at most the given list lengths per part.
+
+    `evidence` is read several times: pass a stage table.
+    """
+    records = kept_inspections(evidence)
     sizes = records.agg(F.max("citation_count").alias("citations")).first()
     citation_order = [F.asc_nulls_last(c) for c in
                       ("category", "standard", "issued", "type", "penalty_usd", "title", "under_contest")]
-    cites = _parts(kept_citations(evidence, shown), ["facility_id", "activity_nr"], citation_order,
+    cites = _parts(kept_citations(evidence), ["facility_id", "activity_nr"], citation_order,
                    citations_per_part, "cite_part", sizes.citations or 0)
     sort_key = [F.col(c) for c in ("category", "standard", "issued", "type", "penalty_usd")]
     item = F.struct(*sort_key, "title", "under_contest")
@@ -100,11 +107,10 @@ def public_lead(leads: DataFrame) -> DataFrame:
         "hold": public_hold(F.col("hold_reason"))})
 
 
-def lead_records(leads: DataFrame, evidence: DataFrame, reporting_year: int = rules.EMISSION_YEAR,
+def lead_records(shown: DataFrame, evidence: DataFrame, reporting_year: int = rules.EMISSION_YEAR,
                  **limits) -> DataFrame:
-    """Nested record of every Hot and Warm lead; extra parts repeat the lead's head."""
-    shown = shown_leads(leads)
-    nested = nested_inspections(evidence, shown, **limits)
+    """Nested record of every shown lead, from their evidence; extra parts repeat the lead's head."""
+    nested = nested_inspections(evidence, **limits)
     signal = F.when(F.col("release_lbs").isNotNull(), F.struct(
         "release_lbs", "chemicals", "forms", F.lit(reporting_year).alias("reporting_year")))
     score = F.struct(*[F.col(f"{k}_pts").alias(k) for k in

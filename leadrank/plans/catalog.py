@@ -18,6 +18,7 @@ from ..operators import (evaluate, explain, features, ground, history, link, lis
 from . import oracle as o
 from . import star_profile as p
 from .star_profile import StarTables
+from ..session import stage_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -439,13 +440,13 @@ flagged AS (SELECT l.*, coalesce(nep, false) AS sig_nep, coalesce(sil, false) OR
 """
 
 
-def _staged_leads(t: StarTables) -> DataFrame:
+def _staged_leads(t: StarTables, shown: DataFrame) -> DataFrame:
     saved = t.read("events").groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("event_type"))
-    return lists.with_stage(t.shown, saved.selectExpr(*STAGE_OVERRIDES))
+    return lists.with_stage(shown, saved.selectExpr(*STAGE_OVERRIDES))
 
 
 def _flagged(t: StarTables) -> DataFrame:
-    return lists.with_signals(_staged_leads(t), t.citations, t.shown_inspections)
+    return lists.with_signals(_staged_leads(t, t.staged_shown), t.citations, t.shown_inspections)
 
 
 @query("q_tier_counts", o.check("""SELECT count(*) AS facilities, count(*) FILTER (WHERE tier = 'Hot') AS hot,
@@ -484,8 +485,8 @@ def territory_stats(t: StarTables) -> DataFrame:
 _NOTES = "CASE WHEN n_regionkey = 0 THEN 'rules not classified yet' END"
 
 
-def _gaps(t: StarTables) -> DataFrame:
-    stats = lists.territory_stats(t.shown.filter("state >= 'S04'"), t.territory)
+def _gaps(t: StarTables, shown: DataFrame) -> DataFrame:
+    stats = lists.territory_stats(shown.filter("state >= 'S04'"), t.territory)
     notes = t.read("nation").filter("n_regionkey <= 1").selectExpr(
         "concat('S', lpad(CAST(n_nationkey AS STRING), 2, '0')) AS state", "n_name AS note_name",
         "'rules not classified yet' AS why")
@@ -501,7 +502,7 @@ _GAP_SQL = """SELECT t.state, n_name AS note_name, 'rules not classified yet' AS
 @query("q_coverage_gaps", o.check(_GAP_SQL))
 def coverage_gaps(t: StarTables) -> DataFrame:
     """States without Hot leads and a known reason, when the first four states report nothing."""
-    return _gaps(t).select("state", "note_name", "why", "total")
+    return _gaps(t, t.shown).select("state", "note_name", "why", "total")
 
 
 @query("q_breakdown", o.check(f"""SELECT industry, hot, total - hot AS rest, total, greatest((SELECT max(c) FROM (SELECT count(*) c FROM shown GROUP BY industry)), 1) AS max_total
@@ -524,14 +525,14 @@ def signal_counts(t: StarTables) -> DataFrame:
   count(*) FILTER (WHERE stage = 'contact') AS contact, count(*) FILTER (WHERE stage = 'audit') AS audit
   FROM staged_leads""".replace("AS all", 'AS "all"'), STAGED_CTES))
 def folder_counts(t: StarTables) -> DataFrame:
-    return lists.folder_counts(_staged_leads(t))
+    return lists.folder_counts(_staged_leads(t, t.shown))
 
 
 @query("q_stage_counts", o.check("""SELECT count(*) FILTER (WHERE stage = 'top') AS top, count(*) FILTER (WHERE stage = 'reached') AS reached,
   count(*) FILTER (WHERE stage = 'contact') AS contact, count(*) FILTER (WHERE stage = 'audit') AS audit,
   count(*) FILTER (WHERE stage = 'hold') AS hold FROM staged_leads""", STAGED_CTES))
 def stage_counts(t: StarTables) -> DataFrame:
-    return lists.stage_counts(_staged_leads(t))
+    return lists.stage_counts(_staged_leads(t, t.shown))
 
 
 _ORDER = "total DESC, evidence_date DESC NULLS LAST, employees DESC NULLS LAST, name NULLS LAST, facility_id"
@@ -586,7 +587,9 @@ def dimension_values(t: StarTables) -> DataFrame:
 # --------------------------------------------------------- nesting and explaining
 def _records(t: StarTables, **limits) -> DataFrame:
     ranked = rank.global_rank(lists.assemble(t.scores, t.centroids), rank.lead_order())
-    return nested.lead_records(ranked, t.evidence, **limits)
+    shown = stage_table(nested.shown_leads(ranked), "ranked")
+    evidence = stage_table(nested.shown_evidence(t.evidence, shown), "evidence")
+    return nested.lead_records(shown, evidence, **limits)
 
 
 @query("q_nested_records", o.check(f"""SELECT s.facility_id AS id, rank, {o.pretty('s.name')} AS name, {o.title('s.city')} AS city,
@@ -607,13 +610,13 @@ def nested_records(t: StarTables) -> DataFrame:
   citation_count AS citations FROM (SELECT *, row_number() OVER (PARTITION BY facility_id ORDER BY opened DESC, activity_nr) AS position FROM insps)"""))
 def lead_record_order(t: StarTables) -> DataFrame:
     """Order of the records inside each nested lead."""
-    return nested.nested_inspections(t.evidence, t.shown).select(
+    return nested.nested_inspections(t.shown_evidence).select(
         F.col("facility_id").alias("id"), F.posexplode("inspections").alias("position", "i")).select(
         "id", "position", "i.inspection_id", F.size("i.citations").alias("citations"))
 
 
 def _explained(t: StarTables) -> DataFrame:
-    shown = t.shown
+    shown = t.staged_shown
     sources = explain.dust_sources(t.citations, t.shown_inspections, shown)
     return explain.reasons(shown, sources, t.params)
 
@@ -688,8 +691,8 @@ def briefing(t: StarTables) -> DataFrame:
     """Home figures; the previous run's Hot list is stood in for by entities with a record since June 2001."""
     earlier = (t.inspections.filter(F.col("open_date") >= F.lit("2001-06-01").cast("date")).select("facility_id").distinct()
                .select("facility_id", F.lit("2001-06-01").cast("date").alias("as_of"), F.lit(1).alias("run_seq")))
-    fresh = history.new_hot(t.shown.filter(F.col("tier") == rules.HOT).select("facility_id"), earlier, t.as_of)
-    return explain.briefing(t.shown, fresh, F.lit(True), _gaps(t))
+    fresh = history.new_hot(t.staged_shown.filter(F.col("tier") == rules.HOT).select("facility_id"), earlier, t.as_of)
+    return explain.briefing(t.staged_shown, fresh, F.lit(True), _gaps(t, t.staged_shown))
 
 
 # ----------------------------------------------------------------- run history
@@ -814,7 +817,7 @@ def _drafts(t: StarTables) -> DataFrame:
     """Two drafting attempts for every shown lead, with errors seeded by its number."""
     per_lead = t.shown_inspections.groupBy("facility_id").agg(
         F.count(F.lit(1)).alias("n_insp"), F.max("activity_nr").alias("newest_id"))
-    base = (t.shown.select("facility_id", "name", "industry").join(per_lead, "facility_id", "left")
+    base = (t.staged_shown.select("facility_id", "name", "industry").join(per_lead, "facility_id", "left")
             .withColumns({"n_insp": F.coalesce("n_insp", F.lit(0)), "industry": F.coalesce("industry", F.lit("")),
                           "kind": F.expr(DRAFT_KIND), "attempt": F.explode(F.array(F.lit(1), F.lit(2)))}))
     ids = (F.when(F.col("kind") == 3, F.array().cast("array<string>"))
@@ -873,19 +876,19 @@ verdict AS (SELECT draft_id, facility_id, count(*) AS attempts, arg_max(n_issues
 
 def _issues(t: StarTables) -> tuple[DataFrame, DataFrame]:
     drafts = _drafts(t)
-    return drafts, ground.issues(drafts, t.shown, t.shown_inspections, t.citations, t.as_of, p.SIGN_OFF)
+    return drafts, ground.issues(drafts, t.staged_shown, t.shown_inspections, t.citations, t.as_of, p.SIGN_OFF)
 
 
 @query("q_ungrounded_numbers", o.check("SELECT draft_id, facility_id, attempt, field, number FROM bad_numbers", DRAFT_CTES))
 def ungrounded_numbers(t: StarTables) -> DataFrame:
-    allowed = ground.allowed_numbers(t.shown, t.shown_inspections, t.citations, t.as_of)
+    allowed = ground.allowed_numbers(t.staged_shown, t.shown_inspections, t.citations, t.as_of)
     return ground.ungrounded_numbers(ground.draft_fields(_drafts(t)), allowed).select(
         "draft_id", "facility_id", "attempt", "field", "number")
 
 
 @query("q_count_claims", o.check("SELECT draft_id, facility_id, attempt, field, value, noun FROM bad_counts", DRAFT_CTES))
 def count_claims(t: StarTables) -> DataFrame:
-    allowed = ground.allowed_counts(t.shown, t.shown_inspections, t.citations)
+    allowed = ground.allowed_counts(t.staged_shown, t.shown_inspections, t.citations)
     return ground.wrong_counts(ground.draft_fields(_drafts(t)), allowed).select(
         "draft_id", "facility_id", "attempt", "field", "value", "noun")
 

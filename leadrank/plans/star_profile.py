@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import rules
 from ..operators import features, match, nested, score, staging
 from ..operators.features import param
+from ..session import stage_table
 
 S = "CAST({} AS STRING)".format
 DAY = "CAST({} AS DATE)".format
@@ -200,6 +201,12 @@ class StarTables:
     def facilities(self) -> DataFrame:
         return features.facilities(self.facility_inspections, self.params)
 
+    @property
+    def facts(self) -> DataFrame:
+        """Entity-level facts as a stage table: matching and scoring both read it."""
+        return self._once("facts", lambda: stage_table(features.facility_facts(
+            self.facility_inspections, self.violations, self.injuries, self.lookup, self.params), "facts"))
+
     @property
     def forms(self) -> DataFrame:
         rows = self.read("events").join(self.read("customer"), F.col("user_id") == F.col("c_custkey"))
@@ -208,7 +215,7 @@ class StarTables:
     @property
     def matched(self) -> DataFrame:
         """Form matches against the latest name, state and ZIP of each entity."""
-        return self._once("matched", lambda: match.matched_keys(self.forms, self.facilities))
+        return self._once("matched", lambda: match.matched_keys(self.forms, self.facts))
 
     @property
     def signals(self) -> DataFrame:
@@ -216,11 +223,7 @@ class StarTables:
 
     @property
     def scores(self) -> DataFrame:
-        def make():
-            facts = features.facility_facts(self.facility_inspections, self.violations, self.injuries,
-                                            self.lookup, self.params)
-            return score.score(facts, self.signals, self.params)
-        return self._once("scores", make)
+        return self._once("scores", lambda: score.score(self.facts, self.signals, self.params))
 
     @property
     def centroids(self) -> DataFrame:
@@ -237,10 +240,21 @@ class StarTables:
     def shown(self) -> DataFrame:
         return nested.shown_leads(self.scores)
 
+    @property
+    def staged_shown(self) -> DataFrame:
+        """Shown leads as a stage table, for queries that use them several times."""
+        return self._once("staged shown", lambda: stage_table(self.shown, "shown"))
+
+    @property
+    def shown_evidence(self) -> DataFrame:
+        """Evidence of the shown leads, as a stage table."""
+        return self._once("shown evidence", lambda: stage_table(
+            self.evidence.join(self.staged_shown.select("facility_id"), "facility_id", "left_semi"), "evidence"))
+
     @property
     def citations(self) -> DataFrame:
-        return nested.kept_citations(self.evidence, self.shown)
+        return nested.kept_citations(self.shown_evidence)
 
     @property
     def shown_inspections(self) -> DataFrame:
-        return nested.kept_inspections(self.evidence, self.shown)
+        return nested.kept_inspections(self.shown_evidence)

@@ -34,3 +34,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the shared root."""
     return f"{shared_root(spark)}/leadrank-{name}-{uuid.uuid4().hex}"
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as a Parquet table in the shared folder and read it back.
+
+    For a result with several consumers: it is computed once, and its readers get
+    column pruning and real size statistics.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
