@@ -18,7 +18,8 @@ from ..operators import (evaluate, explain, features, ground, history, link, lis
 from . import oracle as o
 from . import star_profile as p
 from .star_profile import StarTables
-from ..session import stage_table
+from ..session import scratch_path, stage_table
+from ..sources import archives, sinks, text_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -966,3 +967,127 @@ def project_points(t: StarTables) -> DataFrame:
     return points.fitted(points.projected(leads)).select(
         "facility_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"),
         F.round("px", 3).alias("px"), F.round("py", 3).alias("py"), F.col("height").cast("double").alias("height"))
+
+
+# ------------------------------------------------------------- sources and sinks
+_DOC = ["doc_id", "text", "lang", "source"]
+
+
+@query("q_csv_roundtrip", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents")
+def csv_roundtrip(t: StarTables) -> DataFrame:
+    """Whole texts, with quotes, commas and line breaks, through CSV chunks and back."""
+    path = scratch_path(t.spark, "csv")
+    (t.read("documents").selectExpr("CAST(doc_id AS STRING) AS doc_id", "text", "lang", "source")
+     .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    return text_files.read_csv_chunks(t.spark, path, _DOC)
+
+
+@query("q_csv_rejects", """SELECT count(*) FILTER (WHERE NOT bad) AS good_rows, count(*) FILTER (WHERE bad) AS rejected_rows,
+  CAST(sum(l_orderkey) FILTER (WHERE NOT bad) AS BIGINT) AS good_keys
+  FROM (SELECT *, l_linenumber = 7 OR l_quantity < 5 AS bad FROM lineitem)""")
+def csv_rejects(t: StarTables) -> DataFrame:
+    """Chunks in which some lines have a field too many or too few."""
+    path = scratch_path(t.spark, "rejects")
+    lines = t.read("lineitem").select(F.expr(
+        "concat(l_orderkey, ',\"', l_returnflag, ', x\"', CASE WHEN l_linenumber = 7 THEN ',1,2' "
+        "WHEN l_quantity < 5 THEN '' ELSE concat(',', l_linenumber) END)"))
+    lines.write.text(path)
+    rows = (t.spark.read.schema(text_files.text_schema(["key", "flag", "line"], (text_files.CORRUPT,)))
+            .option("quote", '"').option("escape", '"').option("columnNameOfCorruptRecord", text_files.CORRUPT)
+            .csv(path))
+    good, bad = text_files.split_rejects(rows)
+    return (good.agg(F.count(F.lit(1)).alias("good_rows"), F.sum(F.col("key").cast("long")).alias("good_keys"))
+            .join(bad.agg(F.count(F.lit(1)).alias("rejected_rows")), F.lit(True)))
+
+
+def _zip_writer(folder: str):
+    """Write each batch of rows as one archive of two CSV members; yields the archive names."""
+    def write(batches):
+        import io
+        import uuid
+        import zipfile
+        from ..sources.archives import writable
+        for batch in batches:
+            buffer = io.BytesIO()
+            half = len(batch) // 2
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                for i, rows in enumerate((batch.iloc[:half], batch.iloc[half:])):
+                    archive.writestr(f"chunk_{i}.csv", rows.to_csv(index=False, quoting=1))
+            name = f"{folder}/{uuid.uuid4().hex}.zip"
+            with writable(name) as out:
+                out.write(buffer.getvalue())
+            yield batch.iloc[:1][[]].assign(archive=name)
+    return write
+
+
+@query("q_archive_ingest", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders")
+def archive_ingest(t: StarTables) -> DataFrame:
+    """Rows of many archives of CSV chunks, one unit of work per chunk."""
+    folder = scratch_path(t.spark, "zips")
+    rows = t.read("orders").selectExpr("CAST(o_orderkey AS STRING) AS o_orderkey", "o_orderpriority", "o_orderstatus")
+    rows.mapInPandas(_zip_writer(folder), "archive string").write.format("noop").mode("overwrite").save()
+    return archives.read_archives(t.spark, f"{folder}/*.zip", ["o_orderkey", "o_orderstatus", "o_orderpriority"])
+
+
+_CELLS = ["page_id", "CASE page_id % 6 WHEN 0 THEN concat('=', url) WHEN 1 THEN concat('+', url) WHEN 2 THEN concat('-', url) "
+          "WHEN 3 THEN concat('@', url, ', \"x\"') WHEN 4 THEN url END AS cell", "CAST(page_id AS INT) - 100 AS number"]
+
+
+@query("q_export_csv_safe", f"""SELECT CAST(page_id AS VARCHAR) AS page_id, CASE WHEN regexp_matches(cell, '^[=+@-]') THEN concat(chr(39), cell)
+  ELSE cell END AS cell, CAST(number AS VARCHAR) AS number FROM (SELECT {', '.join(_CELLS)} FROM pages)""")
+def export_csv_safe(t: StarTables) -> DataFrame:
+    """Formula starts in text cells are neutralised; negative numbers stay numbers."""
+    path = scratch_path(t.spark, "safe")
+    sinks.write_safe_csv(t.read("pages").selectExpr(*_CELLS), path)
+    return text_files.read_csv_chunks(t.spark, path, ["page_id", "cell", "number"])
+
+
+@query("q_zip_centroids", f"SELECT zip5, lat, lon FROM (SELECT {', '.join(p.CENTROID)} FROM customer)")
+def zip_centroids(t: StarTables) -> DataFrame:
+    """Coordinates through the padded tab-separated gazetteer form."""
+    path = scratch_path(t.spark, "gazetteer")
+    padded = t.centroids.select(
+        F.concat("zip5", F.lit("  ")).alias("GEOID"), *[F.lit("0").alias(c) for c in "abcd"],
+        F.concat(F.lit(" "), F.col("lat").cast("string")).alias("INTPTLAT"),
+        F.concat(F.col("lon").cast("string"), F.lit("   ")).alias("INTPTLONG"))
+    padded.write.option("header", True).option("sep", "\t").csv(path)
+    return text_files.read_zip_centroids(t.spark, path)
+
+
+_RANKED = ["rank", "facility_id", "name", "city", "zip5", "industry", "total", "tier", "hold_reason", "evidence_date",
+           "n_inspections", "tri_air_chemicals"]
+
+
+@query("q_ranked_csv", o.check(f"""SELECT CAST(rank AS VARCHAR) AS rank, facility_id, {o.pretty('name')} AS name, {o.title('city')} AS city, zip5, industry,
+  CAST(total AS VARCHAR) AS total, tier, hold_reason, CAST(evidence_date AS VARCHAR) AS evidence_date, CAST(n_inspections AS VARCHAR) AS n_inspections,
+  array_to_string(chemicals, '; ') AS tri_air_chemicals FROM ranked"""))
+def ranked_csv(t: StarTables) -> DataFrame:
+    """The 26-column lead file, written and read back as text."""
+    path = scratch_path(t.spark, "leads")
+    sinks.write_ranked_csv(rank.global_rank(t.scores, rank.lead_order()), path)
+    return text_files.read_csv_chunks(t.spark, path).select(*_RANKED)
+
+
+@query("q_lead_json", o.check("""SELECT facility_id AS id, rank, total, tier, (SELECT count(*) FROM insps i WHERE i.facility_id = s.facility_id) AS n_inspections,
+  len(chemicals) AS n_chemicals FROM shown s"""))
+def lead_json(t: StarTables) -> DataFrame:
+    """Nested lead records as JSON lines, read back."""
+    path = scratch_path(t.spark, "json")
+    records = _records(t)
+    sinks.write_lead_json(records, path)
+    return t.spark.read.schema(records.schema).json(path).groupBy("id").agg(
+        F.min("rank").alias("rank"), F.min("score.total").alias("total"), F.min("tier").alias("tier"),
+        F.sum(F.size("inspections")).alias("n_inspections"),
+        F.max(F.size("tri_air_signal.chemicals")).alias("n_chemicals"))
+
+
+@query("q_screen_export", o.check(f"""SELECT CAST(row_number() OVER (ORDER BY rank) AS BIGINT) AS "Rank", {o.pretty('name')} AS "Name", {o.title('city')} AS "City", state AS "State", zip5 AS "ZIP",
+  industry AS "Industry", employees AS "Employees", total AS "Score", tier AS "Tier", dust_reason AS "Dust evidence", evidence_date AS "Evidence date",
+  CASE WHEN contains(hold_reason, 'contest') THEN 'On hold: contested citation' WHEN hold_reason IS NOT NULL THEN 'On hold: recent serious incident'
+    WHEN outreach_eligible THEN 'Ready' ELSE 'Not ready' END AS "Status",
+  CASE stage WHEN 'top' THEN 'Not contacted' WHEN 'reached' THEN 'Reached out' WHEN 'contact' THEN 'In contact' WHEN 'audit' THEN 'Assessment booked' ELSE 'On hold' END AS "Pipeline stage"
+  FROM staged_leads""", STAGED_CTES))
+def screen_export(t: StarTables) -> DataFrame:
+    """Rows of the on-screen list export."""
+    leads = rank.global_rank(_staged_leads(t, t.shown), rank.lead_order())
+    return sinks.safe_cells(lists.screen_rows(nested.public_lead(leads)))

@@ -21,14 +21,26 @@ from .text_files import text_schema
 BATCH_ROWS = 10_000
 
 
-def _open(uri: str):
-    """Random-access handle on a file of any file system that Arrow knows."""
+def _locate(uri: str):
+    """(file system, path) for any file system that Arrow knows."""
     if uri.startswith("file:/") and not uri.startswith("file:///"):
         uri = "file:///" + uri[len("file:/"):].lstrip("/")
-    system, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+
+
+def _open(uri: str):
+    """Random-access read handle."""
+    system, path = _locate(uri)
     return system.open_input_file(path)
 
 
+def writable(uri: str):
+    """Write handle on a new file; folders are made as needed."""
+    system, path = _locate(uri)
+    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    return system.open_output_stream(path)
+
+
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path in batch["path"]:

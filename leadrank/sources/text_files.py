@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import rules
 from ..operators.match import form_contract_breaches
+from ..session import stage_table
 
 CORRUPT = "_corrupt_record"
 
@@ -38,17 +39,14 @@ def read_csv_chunks(spark: SparkSession, path: str, columns: list[str] | None =
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected rows with their raw text).
+    """(good rows, raw text of rejected rows).
 
-    The parser prunes columns it need not read, and a pruned row cannot be judged,
-    so both sides name every column.
+    The parser prunes columns nobody reads, and a pruned row cannot be judged, so
+    the parsed rows are saved once, which the load does anyway.
     """
-    columns = [c for c in rows.columns if c != CORRUPT]
-    width = F.struct(*columns)  # keeps all columns in the scan
-    judged = rows.withColumn("_all", width)
-    good = judged.filter(F.col(CORRUPT).isNull()).select(*[F.col(f"_all.{c}").alias(c) for c in columns])
-    bad = judged.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, "_all")
-    return good, bad
+    saved = stage_table(rows, "parsed")
+    good = saved.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, saved.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
