@@ -19,7 +19,7 @@ def literal_map(pairs) -> Column:
 
 def strip_ws(c: Column) -> Column:
     """Drop white space of any kind at both ends (`trim` drops blanks only)."""
-    return F.regexp_replace(c, r"^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(" \t\n\r\x0b\f"))
 
 
 def words(c: Column) -> Column:
@@ -27,6 +27,11 @@ def words(c: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
+def blank_words(c: Column) -> Column:
+    """Words of a text whose only white space is the blank."""
+    return F.filter(F.split(c, " "), lambda w: w != "")
+
+
 def zip5_padded(c: Column) -> Column:
     """Digits only, padded or cut to five; all zeros means unknown."""
     digits = F.regexp_replace(F.coalesce(c, F.lit("")), "[^0-9]", "")
@@ -42,20 +47,21 @@ def zip5_key(c: Column) -> Column:
 def strip_record_prefix(c: Column) -> Column:
     """Drop an internal record number before the name and trailing stars."""
     body = F.regexp_replace(c, rules.RECORD_PREFIX, "")
-    return strip_ws(F.regexp_replace(body, r"[* ]+\z", ""))
+    return strip_ws(F.rtrim(body, F.lit("* ")))
 
 
 def plain_words(c: Column) -> Column:
     """Upper-case words made of letters and digits only."""
-    spelled = F.regexp_replace(F.upper(c), "&", " AND ")
-    return words(F.regexp_replace(spelled, "[^A-Z0-9 ]+", " "))
+    spelled = F.replace(F.upper(c), F.lit("&"), F.lit(" AND "))
+    return blank_words(F.regexp_replace(spelled, "[^A-Z0-9 ]+", " "))
 
 
 def normalize_name(c: Column, suffixes=rules.LEGAL_SUFFIXES) -> Column:
     legal_part = F.split(F.upper(strip_record_prefix(F.coalesce(c, F.lit("")))),
                          rules.TRADE_NAME_CUT, 2)[0]
     joined = F.regexp_replace(F.array_join(plain_words(legal_part), " "), r"\bL L C\b", "LLC")
-    return F.array_join(F.filter(words(joined), lambda w: ~w.isin(*suffixes)), " ")
+    dropped = ["", *suffixes]
+    return F.array_join(F.filter(F.split(joined, " "), lambda w: ~w.isin(*dropped)), " ")
 
 
 def normalize_address(c: Column, street_words=rules.STREET_WORDS) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .. import rules
+from .text import strip_ws
 
 _PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
 
@@ -41,10 +42,9 @@ def amount(c: Column) -> Column:
 
     Null marks a value that breaks the contract (not a number, or negative).
     """
-    text = F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+\z", "")
-    value = F.regexp_replace(text, ",", "")
-    parsed = F.when(value.rlike(_PLAIN_NUMBER), value.try_cast("decimal(28,6)"))
-    return (F.when((text == "") | F.upper(text).isin(*rules.BLANK_AMOUNTS), F.lit(0).cast("decimal(28,6)"))
+    text = F.upper(strip_ws(F.coalesce(c, F.lit(""))))
+    parsed = F.replace(text, F.lit(","), F.lit("")).try_cast("decimal(28,6)")
+    return (F.when(text.isin("", *rules.BLANK_AMOUNTS), F.lit(0).cast("decimal(28,6)"))
             .when(parsed >= 0, parsed))
 
 

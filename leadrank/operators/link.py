@@ -23,7 +23,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import normalize_address, normalize_name, strip_ws, words, zip5_key
+from ..functions.text import blank_words, normalize_address, normalize_name, strip_ws, zip5_key
+from ..session import stage_table
 from .components import connected_components
 
 BLOCK = ["address", "state", "zip"]
@@ -64,7 +65,7 @@ def block_members(keyed: DataFrame) -> DataFrame:
     """Distinct (block, key) rows; blocks need ZIP, state and an address with a digit."""
     return (keyed.filter((F.col("state") != "") & (F.col("zip") != "") & F.col("address").rlike("[0-9]"))
             .groupBy(*BLOCK, "key").agg(F.min("name").alias("name"))
-            .withColumn("word_set", F.array_sort(F.array_distinct(words(F.col("name"))))))
+            .withColumn("word_set", F.array_sort(F.array_distinct(blank_words(F.col("name"))))))
 
 
 def first_word_edges(members: DataFrame) -> DataFrame:
@@ -143,7 +144,8 @@ def short_id(root: Column) -> Column:
 
 def resolve(records: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
     """(record_id, facility_id, review_required) for every record."""
-    keyed = keyed_records(records)
+    # read five times below: normalise and key each record once
+    keyed = stage_table(keyed_records(records), "keyed")
     roots = connected_components(similarity_edges(keyed, subset_words))
     return (keyed.select("record_id", "review_required", F.col("key").alias("vertex"))
             .join(roots, "vertex", "left")

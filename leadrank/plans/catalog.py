@@ -248,12 +248,12 @@ def industry_prefix(t: StarTables) -> DataFrame:
 # ------------------------------------------------------------------------- codes
 @query("q_code_parse", o.check("SELECT standard, citation FROM lookup"))
 def code_parse(t: StarTables) -> DataFrame:
-    return t.lookup.select("standard", "citation")
+    return t.codes.select("standard", "citation")
 
 
 @query("q_code_class", o.check("SELECT standard, title, category FROM lookup"))
 def code_class(t: StarTables) -> DataFrame:
-    return t.lookup.select("standard", "title", "category")
+    return t.codes.select("standard", "title", "category")
 
 
 @query("q_range_lookup", f"""SELECT l_orderkey, l_linenumber, number, r.title, r.category FROM (
@@ -405,9 +405,9 @@ UNION ALL SELECT 14, (SELECT count(*) FROM scores s WHERE tri_air_pts <> CASE WH
                            f"JOIN (VALUES {o.values(list(enumerate(quality.CHECKS, 1)))}) c(no, name) ON check_no = no",
                            f"counted AS ({_CHECK_SQL})"))
 def checks(t: StarTables) -> DataFrame:
-    tables = {"inspections": t.inspections, "facility_map": t.facility_map, "facilities": t.facilities,
+    tables = {"inspections": t.inspections, "facility_map": t.facility_map, "facilities": t.facts,
               "violations": t.violations, "withdrawn": t.withdrawn, "standard_lookup": t.lookup,
-              "scores": t.scores, "evidence": t.evidence, "signals": t.signals, "run_params": t.params}
+              "scores": stage_table(t.scores, "scores"), "evidence": t.evidence, "signals": t.signals, "run_params": t.params}
     return quality.run_checks(tables, _STATES25, "1996-01-01").select(
         "check_no", "check_name", "bad_rows", "passed")
 
@@ -876,7 +876,7 @@ verdict AS (SELECT draft_id, facility_id, count(*) AS attempts, arg_max(n_issues
 
 
 def _issues(t: StarTables) -> tuple[DataFrame, DataFrame]:
-    drafts = _drafts(t)
+    drafts = stage_table(_drafts(t), "drafts")
     return drafts, ground.issues(drafts, t.staged_shown, t.shown_inspections, t.citations, t.as_of, p.SIGN_OFF)
 
 

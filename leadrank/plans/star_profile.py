@@ -188,9 +188,14 @@ class StarTables:
     def as_of(self):
         return param(self.params, "as_of")
 
+    @property
+    def codes(self) -> DataFrame:
+        return features.standard_lookup(self.violations)
+
     @property
     def lookup(self) -> DataFrame:
-        return self._once("lookup", lambda: features.standard_lookup(self.violations))
+        """Parsed codes as a stage table: each code is parsed once per query."""
+        return self._once("lookup", lambda: stage_table(self.codes, "codes"))
 
     @property
     def evidence(self) -> DataFrame:
@@ -253,8 +258,10 @@ class StarTables:
 
     @property
     def citations(self) -> DataFrame:
-        return nested.kept_citations(self.shown_evidence)
+        return self._once("citations", lambda: stage_table(
+            nested.kept_citations(self.shown_evidence), "citations"))
 
     @property
     def shown_inspections(self) -> DataFrame:
-        return nested.kept_inspections(self.shown_evidence)
+        return self._once("shown inspections", lambda: stage_table(
+            nested.kept_inspections(self.shown_evidence), "records"))
