@@ -52,8 +52,12 @@ def not_exactly_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def missing_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of `left` with a non-null key that `right` lacks (null keys are not judged)."""
-    return left.filter(F.col(key).isNotNull()).select(key).join(right.select(key), key, "left_anti")
+    """(key, n): non-null keys of `left` that `right` lacks, with their row counts (null keys are not judged).
+
+    Rows are counted per key first, so a key with many rows is one row in the join.
+    """
+    counted = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(right.select(key), key, "left_anti")
 
 
 def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str = rules.LOAD_START,
@@ -90,7 +94,7 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
     add(CHECKS[1], mapped, F.col("bad"), F.concat(_thousands(F.col("n")), F.lit(" facilities")))
     add(CHECKS[5], f, F.col("bad"), F.lit("states " + ", ".join(states)))
 
-    orphans = _count(missing_keys(viol, insp, "activity_nr"), "bad").join(_count(viol), one)
+    orphans = missing_keys(viol, insp, "activity_nr").agg(F.sum("n").alias("bad")).join(_count(viol), one)
     add(CHECKS[2], orphans, F.col("bad"), F.concat(_thousands(F.col("n")), F.lit(" citations")))
 
     key = ["activity_nr", "citation_id", "standard"]
@@ -100,7 +104,7 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
     pairs = kept.join(drawn, key).agg(F.sum(F.col("k") * F.col("w")).alias("bad"))
     add(CHECKS[3], pairs, F.col("bad"), F.lit("0 withdrawn citations kept"))
 
-    unclassified = _count(missing_keys(viol, t["standard_lookup"], "standard"), "bad").join(
+    unclassified = missing_keys(viol, t["standard_lookup"], "standard").agg(F.sum("n").alias("bad")).join(
         _count(t["standard_lookup"]), one)
     add(CHECKS[4], unclassified, F.col("bad"), F.concat(_thousands(F.col("n")), F.lit(" distinct standards")))
 

@@ -27,7 +27,7 @@ RAW_COLUMNS = {
 
 @dataclass
 class Build:
-    """One run over `raw` files, with stage tables in `work` and results in `out`."""
+    """One run over `raw` files (one folder of archives per table), with stage tables in `work` and results in `out`."""
 
     spark: SparkSession
     raw: str
@@ -46,7 +46,7 @@ class Build:
 
     def load(self) -> None:
         """Archives to scoped raw tables; the row count of each goes to `load_counts`."""
-        raw = {name: archives.read_archives(self.spark, f"{self.raw}/{name}*.zip", columns)
+        raw = {name: archives.read_archives(self.spark, f"{self.raw}/{name}/*.zip", columns)
                for name, columns in RAW_COLUMNS.items()}
         inspection = self._save("raw_inspection", staging.scope_filter(raw["inspection"], self.states, self.load_start))
         injury = self._save("raw_accident_injury", staging.children_of(
