@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
 from ..functions.text import normalize_disposition
+from .features import attach
 
 DEFAULT_K = 25
 
@@ -52,8 +53,7 @@ def evaluate_rankings(ranked: DataFrame, outcomes: DataFrame, k: int | None = DE
         F.count_if("positive").alias("hits"))
     base = labels.agg(F.count(F.lit(1)).alias("n_labels"), F.count_if("positive").alias("positives"))
     size = ranked.agg(F.count(F.lit(1)).alias("total"))
-    # three one-row tables
-    joined = head.join(base, F.lit(True)).join(size, F.lit(True))
+    joined = attach(attach(head, base), size)
     precision = _ratio(F.col("hits"), F.col("labeled"))
     base_rate = F.col("positives") / F.greatest(F.col("n_labels"), F.lit(1))
     some = F.col("total") > 0

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
 from ..functions.values import readable_date
-from .features import param
+from .features import attach, param
 from .nested import chemical_list
 
 
@@ -33,14 +33,18 @@ def dust_sources(citations: DataFrame, inspections: DataFrame, leads: DataFrame)
         "facility_id", F.col("opened").alias("day"), F.lit("program").alias("category"),
         F.lit(1).alias("kind"), "opened", "activity_nr", F.lit("").alias("standard"),
         F.concat("dust_program", F.lit(" inspection, opened "), readable_date(F.col("opened"))).alias("text"))
-    level = leads.select("facility_id", "dust_pts", "evidence_date")
     place = F.struct("kind", F.date_diff(F.lit("9999-01-01").cast("date"), "opened"), "activity_nr",
                      "category", "standard", "text")
+    # first item per entity, day and class before the join, so an entity with a large
+    # share of all items meets it as a few rows
+    firsts = (cited.unionByName(programs).groupBy("facility_id", "day", "category")
+              .agg(F.min(place).alias("first")))
+    level = leads.select("facility_id", "dust_pts", F.col("evidence_date").alias("day"))
     fits = (((F.col("dust_pts") == 3) & (F.col("category") == rules.DUST))
             | ((F.col("dust_pts") == 2) & F.col("category").isin(rules.ADJACENT, "program")))
-    return (cited.unionByName(programs).join(level, "facility_id")
-            .filter(fits & (F.col("day") == F.col("evidence_date")))
-            .groupBy("facility_id").agg(F.min_by("text", place).alias("source_text")))
+    return (firsts.join(level, ["facility_id", "day"]).filter(fits)
+            .groupBy("facility_id").agg(F.min("first").alias("first"))
+            .select("facility_id", F.col("first.text").alias("source_text")))
 
 
 def reasons(leads: DataFrame, sources: DataFrame, params: DataFrame,
@@ -135,8 +139,7 @@ def briefing(leads: DataFrame, new_hot: DataFrame, has_previous: Column, gaps: D
         F.max("evidence_date").alias("newest_evidence"))
     fresh = new_hot.agg(F.count(F.lit(1)).alias("fresh"))
     missing = gaps.agg(F.count(F.lit(1)).alias("gap_count"))
-    # three one-row tables
-    return shown.join(fresh, F.lit(True)).join(missing, F.lit(True)).select(
+    return attach(attach(shown, fresh), missing).select(
         F.when(has_previous, F.col("fresh")).otherwise(F.col("hot_count")).alias("headline_value"),
         F.when(~has_previous, "Hot leads in the territory")
         .when(F.col("fresh") == 1, "new Hot lead since the last run")

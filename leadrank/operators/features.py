@@ -35,6 +35,11 @@ def param(params: DataFrame, name: str) -> Column:
     return params.select(name).scalar()
 
 
+def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row table as scalar subqueries (no join)."""
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
+
+
 # ------------------------------------------------------------------- row tables
 def standard_lookup(violations: DataFrame) -> DataFrame:
     """Every distinct code with its parsed form; codes are parsed once each."""

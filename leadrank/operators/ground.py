@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import rules
 from ..functions.text import words
 from ..functions.values import numbers_in
+from .features import attach
 
 DRAFT = ["draft_id", "facility_id", "attempt"]
 
@@ -168,8 +169,7 @@ def run_summary(verdict: DataFrame, usage: DataFrame, price_in: float, price_out
         F.count_if(~F.col("passed")).alias("needs_human_edit"),
         F.coalesce(F.sum("n_issues"), F.lit(0)).alias("issues_caught"))
     cost = F.col("input_tokens") / 1e6 * price_in + F.col("output_tokens") / 1e6 * price_out
-    # two one-row tables
-    return counts.join(tokens, F.lit(True)).withColumn("cost_usd", F.bround(cost, 2))
+    return attach(counts, tokens).withColumn("cost_usd", F.bround(cost, 2))
 
 
 def issue_kind_counts(found: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import albers_xy
+from .features import attach
 from .lists import located
 
 
@@ -23,7 +24,6 @@ def fitted(points: DataFrame, width: float = 1000.0, pad: float = 10.0) -> DataF
     span = lambda lo, hi: F.coalesce(F.nullif(F.col(hi) - F.col(lo), F.lit(0.0)), F.lit(1.0))
     box = bounds(points).withColumn("scale", F.lit(width - 2 * pad) / span("min_x", "max_x"))
     box = box.withColumn("height", F.floor(span("min_y", "max_y") * F.col("scale") + 2 * pad + 0.5))
-    # `box` is one row
-    return points.join(F.broadcast(box), F.lit(True)).withColumns({
+    return attach(points, box).withColumns({
         "px": F.lit(pad) + (F.col("x") - F.col("min_x")) * F.col("scale"),
         "py": F.lit(pad) + (F.col("max_y") - F.col("y")) * F.col("scale")})

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
 from ..functions.text import starts_with_any
-from .features import param
+from .features import attach, param
 
 CHECKS = (
     "inspection IDs are unique",
@@ -41,14 +41,19 @@ def _count(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def _bad(counted: DataFrame) -> DataFrame:
+    return counted.agg(F.sum("n").alias("bad"))
+
+
 def _thousands(n: Column) -> Column:
     return F.format_number(n, 0)
 
 
 def not_exactly_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of `left` whose key does not occur exactly once in `right`."""
+    """(key, n): keys of `left` that do not occur exactly once in `right`, with their row counts."""
+    mine = left.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     counts = right.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    return left.select(key).join(counts, key, "left").filter(F.coalesce("_c", F.lit(0)) != 1)
+    return mine.join(counts, key, "left").filter(F.coalesce("_c", F.lit(0)) != 1)
 
 
 def missing_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -69,7 +74,6 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
     scores, evidence, signals and run_params.
     """
     insp, viol, fac, scores = t["inspections"], t["violations"], t["facilities"], t["scores"]
-    one = F.lit(True)
     out: list[DataFrame] = []
     add = lambda *a: out.append(_row(*a))
 
@@ -90,11 +94,11 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
 
     f = fac.agg(F.count(F.lit(1)).alias("n"), F.count_if(
         ~F.col("state").isin(*states) | ~starts_with_any(F.col("naics"), score_rules.prefixes)).alias("bad"))
-    mapped = _count(not_exactly_one(insp, t["facility_map"], "activity_nr"), "bad").join(f.select("n"), one)
+    mapped = attach(_bad(not_exactly_one(insp, t["facility_map"], "activity_nr")), f.select("n"))
     add(CHECKS[1], mapped, F.col("bad"), F.concat(_thousands(F.col("n")), F.lit(" facilities")))
     add(CHECKS[5], f, F.col("bad"), F.lit("states " + ", ".join(states)))
 
-    orphans = missing_keys(viol, insp, "activity_nr").agg(F.sum("n").alias("bad")).join(_count(viol), one)
+    orphans = attach(_bad(missing_keys(viol, insp, "activity_nr")), _count(viol))
     add(CHECKS[2], orphans, F.col("bad"), F.concat(_thousands(F.col("n")), F.lit(" citations")))
 
     key = ["activity_nr", "citation_id", "standard"]
@@ -104,11 +108,11 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
     pairs = kept.join(drawn, key).agg(F.sum(F.col("k") * F.col("w")).alias("bad"))
     add(CHECKS[3], pairs, F.col("bad"), F.lit("0 withdrawn citations kept"))
 
-    unclassified = missing_keys(viol, t["standard_lookup"], "standard").agg(F.sum("n").alias("bad")).join(
-        _count(t["standard_lookup"]), one)
+    unclassified = attach(_bad(missing_keys(viol, t["standard_lookup"], "standard")),
+                          _count(t["standard_lookup"]))
     add(CHECKS[4], unclassified, F.col("bad"), F.concat(_thousands(F.col("n")), F.lit(" distinct standards")))
 
-    add(CHECKS[8], _count(not_exactly_one(fac, scores, "facility_id"), "bad"), F.col("bad"),
+    add(CHECKS[8], _bad(not_exactly_one(fac, scores, "facility_id")), F.col("bad"),
         F.lit("1 score per facility"))
 
     parts = reduce(lambda a, b: a + b, [F.col(f"{p}_pts") for p in
@@ -133,9 +137,9 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
 
     # scores and signals both hold one row per entity, so a grouping of the signals is enough
     positive = (t["signals"].groupBy("facility_id").agg(F.max("release_lbs").alias("_lbs")))
-    tri = (scores.select("facility_id", "tri_air_pts").join(positive, "facility_id", "left")
-           .agg(F.count_if(F.col("tri_air_pts") != F.coalesce((F.col("_lbs") > 0).cast("int"), F.lit(0)))
-                .alias("bad")).join(_count(t["signals"]), one))
+    tri = attach(scores.select("facility_id", "tri_air_pts").join(positive, "facility_id", "left")
+                 .agg(F.count_if(F.col("tri_air_pts") != F.coalesce((F.col("_lbs") > 0).cast("int"), F.lit(0)))
+                      .alias("bad")), _count(t["signals"]))
     add(CHECKS[13], tri, F.col("bad"), F.concat(_thousands(F.col("n")), F.lit(" matched facility signals")))
 
     table = reduce(lambda a, b: a.unionByName(b), out)

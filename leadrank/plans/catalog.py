@@ -996,8 +996,9 @@ def csv_rejects(t: StarTables) -> DataFrame:
             .option("quote", '"').option("escape", '"').option("columnNameOfCorruptRecord", text_files.CORRUPT)
             .csv(path))
     good, bad = text_files.split_rejects(rows)
-    return (good.agg(F.count(F.lit(1)).alias("good_rows"), F.sum(F.col("key").cast("long")).alias("good_keys"))
-            .join(bad.agg(F.count(F.lit(1)).alias("rejected_rows")), F.lit(True)))
+    return features.attach(
+        good.agg(F.count(F.lit(1)).alias("good_rows"), F.sum(F.col("key").cast("long")).alias("good_keys")),
+        bad.agg(F.count(F.lit(1)).alias("rejected_rows")))
 
 
 def _zip_writer(folder: str):

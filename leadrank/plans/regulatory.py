@@ -103,7 +103,7 @@ class Build:
         evidence = self._save("shown_evidence", nested.shown_evidence(t["evidence"], shown))
         sinks.write_lead_json(nested.lead_records(shown, evidence), f"{self.out}/leads_json")
         t["new_hot"] = self._delta(ranked, as_of)
-        counts = lists.tier_counts(ranked).join(t["match_stats"], F.lit(True))  # two one-row tables
+        counts = features.attach(lists.tier_counts(ranked), t["match_stats"])
         sinks.append_run_log(counts.withColumn("as_of", as_of), f"{self.out}/run_log")
         t["ranked"], t["checks"] = ranked, checks
         return t
