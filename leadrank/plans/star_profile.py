@@ -176,13 +176,19 @@ class StarTables:
             self.inspections, None, self.dust_programs))
 
     @property
-    def params(self) -> DataFrame:
+    def run_params(self) -> DataFrame:
+        """Reads two date columns, nothing else."""
         def make():
             orders = self.read("orders").select(F.col("o_orderdate").cast("date").alias("open_date"))
             lines = (self.read("lineitem").filter(f"NOT ({WITHDRAWN})")
                      .select(F.col("l_shipdate").cast("date").alias("issuance_date")))
             return features.run_params(orders, lines)
-        return self._once("params", make)
+        return self._once("run params", make)
+
+    @property
+    def params(self) -> DataFrame:
+        """The one parameter row as a stage table: many predicates read it, the sources are scanned once."""
+        return self._once("params", lambda: stage_table(self.run_params, "params"))
 
     @property
     def as_of(self):
