@@ -8,10 +8,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import decontaminate, packing, quality_votes, secret_scan, simhash, spans, token_orc
+from . import (decontaminate, host_quality, packing, pii, quality_votes, secret_scan, simhash, spans, suffix_dedup,
+               token_orc, url_filter)
 from .common import table
 
 
+#: The rules that every url of `pages` is judged by (fixed values).
+RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame(RULES, "url string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), listed)
+
+
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-orc")
     token_orc.write(table(spark, sf_dir, "documents"), path)
@@ -30,6 +40,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    return suffix_dedup.remove_repeats(docs, key=["_file", "_index"]).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +75,51 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(packing.plan(cut.select("key", "length")), "key").drop("key")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spans.digest(pii.scan(docs, pii.fit(docs)), pii.KINDS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_orc, op3_simhash, op6_decontaminate, op7_secret_scan, op8_quality_votes, op9_packing)}
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (op1_url_filter, op2_token_orc, op3_simhash, op4_host_quality, op5_suffix_dedup,
+                            op6_decontaminate, op7_secret_scan, op8_quality_votes, op9_packing, op10_pii)}
+
+ORACLES: dict[str, str] = {
+    "op1_url_filter": r"""
+        WITH rules(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                                                   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        split AS (SELECT row_number() OVER () AS n, page_id,
+                         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+                  FROM pages),
+        fits AS (SELECT n, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+                        arg_max(r.verdict, length(r.host || r.path)) AS verdict
+                 FROM split s JOIN rules r ON ends_with('.' || s.host, '.' || r.host) AND starts_with(s.path, r.path)
+                 GROUP BY n)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN fits USING (n)""",
+    "op4_host_quality": r"""
+        WITH docs AS (SELECT row_number() OVER () AS n, doc_id, source, coalesce(text, '') AS text FROM documents),
+        split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+                         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                  FROM docs),
+        places AS (SELECT n, words, unnest(range(1, greatest(1, len(words) - 1))) AS i FROM split),
+        often AS (SELECT n, i FROM (SELECT n, i, count(*) OVER (PARTITION BY n, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS c
+                                    FROM places) WHERE c > 1),
+        covered AS (SELECT n, count(DISTINCT i + d) AS n_repeat_words FROM often, (VALUES (0), (1), (2)) v(d) GROUP BY n),
+        measured AS (SELECT n, doc_id, source, len(words) AS n_words,
+                            coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+                            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                            len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                            coalesce(n_repeat_words, 0) AS n_repeat_words
+                     FROM split LEFT JOIN covered USING (n)),
+        judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
+        hosts AS (SELECT source, count(*) AS c, count(*) FILTER (base_failed) AS f FROM judged WHERE source IS NOT NULL GROUP BY source),
+        common AS (SELECT sum(f) / sum(c) AS m FROM hosts),
+        spread AS (SELECT any_value(m) AS m, avg(power(f / c - m, 2)) - avg(m * (1 - m) / c) AS v FROM hosts, common),
+        prior AS (SELECT m, CASE WHEN v > 0 THEN least(1e6, greatest(1.0, m * (1 - m) / v - 1)) ELSE 1e6 END AS s FROM spread),
+        bad AS (SELECT source FROM hosts, prior WHERE (f + m * s) / (c + s) > 0.5)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND source NOT IN (SELECT source FROM bad) IS NOT FALSE AS kept
+        FROM judged""",
+}

@@ -1,7 +1,7 @@
 """Secrets in texts: base patterns, and long tokens that look more like random strings than like identifiers.
 
 Two first-order character models are learnt from labelled samples: values that the base patterns caught are random
-strings, other words are ordinary identifiers. A token counts as a secret if the log-likelihood ratio of the two
+strings; other words, and pairs of them joined in camel and snake case, are ordinary identifiers. A token counts as a secret if the log-likelihood ratio of the two
 models outweighs the prior odds.
 """
 from __future__ import annotations
@@ -23,14 +23,14 @@ _WORDS = ("passw", "secret", "token", "api")  # one of them is in every match, i
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the longest runs, so the same as runs of any length that are then measured
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-_IDENTIFIER = re.compile(r"[A-Za-z][A-Za-z0-9_]{5,}")
+_ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{3,}")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Documents that the models are learnt from: at most so many, by smallest hash of the id.
 SAMPLE = 3000
 #: Weight of the even distribution in the model of random strings (per row of the table), and of any one character in
 #: that of identifiers.
 EVEN_WEIGHT = 200.0
-SMOOTHING = 0.05
+SMOOTHING = 1.0
 #: A token is taken to be random once in so many.
 PRIOR_ODDS = 10_000.0
 MASK = "[SECRET]"
@@ -82,7 +82,10 @@ def pair_counts(texts: list[str]) -> np.ndarray:
     for text in texts:
         found = base_spans(text)
         samples = [(1, "".join(c for c in value if c in ALPHABET)) for *_, value in found]
-        samples += [(0, m[0]) for m in _IDENTIFIER.finditer(text) if not (found and overlaps(m.start(), m.end(), (s[:4] for s in found)))]
+        plain = [m[0] for m in _ORDINARY.finditer(text)
+                 if not (found and overlaps(m.start(), m.end(), (s[:4] for s in found)))]
+        # words also stand for the identifiers that are made of them
+        samples += [(0, form) for a, b in zip(plain, [*plain[1:], ""]) for form in (a, a + b.capitalize(), f"{a}_{b}")]
         for label in (0, 1):
             for token in (t for which, t in samples if which == label and t):
                 codes = _codes(token)
