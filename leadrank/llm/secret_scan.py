@@ -105,7 +105,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
         at = np.flatnonzero(counts)
         return pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["cell", "n"])
 
-    texts = docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("_id")).dropDuplicates(["_id"]).select(text)
+    texts = docs.select(F.col(doc_id).alias("_id"), text).join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).select(text)
     counts = np.zeros(shape).ravel()
     for row in map_batches(texts, work, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         counts[row.cell] = row.n
