@@ -6,6 +6,8 @@ from pyspark.sql import Column, functions as F
 from .. import rules
 from .text import strip_ws
 
+#: Two of these add up without loss.
+AMOUNT = "decimal(37,18)"
 _PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
 
 
@@ -40,12 +42,15 @@ def readable_date(d: Column) -> Column:
 def amount(c: Column) -> Column:
     """Reported amount as exact decimal: blank codes are zero, commas are dropped.
 
-    Null marks a value that breaks the contract (not a number, or negative).
+    Null marks a value that breaks the contract: not a number, negative, or beyond what an exact amount can hold
+    (19 whole digits and 18 decimals), so nothing is rounded away.
     """
     text = F.upper(strip_ws(F.coalesce(c, F.lit(""))))
-    parsed = F.replace(text, F.lit(","), F.lit("")).try_cast("decimal(28,6)")
-    return (F.when(text.isin("", *rules.BLANK_AMOUNTS), F.lit(0).cast("decimal(28,6)"))
-            .when(parsed >= 0, parsed))
+    plain = F.replace(text, F.lit(","), F.lit(""))
+    parsed = plain.try_cast(AMOUNT)
+    rounded = plain.rlike(r"\.\d{18}\d*[1-9]") | ((parsed == 0) & plain.rlike(r"^[^E]*[1-9]"))
+    return (F.when(text.isin("", *rules.BLANK_AMOUNTS), F.lit(0).cast(AMOUNT))
+            .when((parsed >= 0) & ~rounded, parsed))
 
 
 def whole_penalty(current: Column, initial: Column) -> Column:

@@ -4,14 +4,14 @@ Alternating large-star / small-star rounds (Kiveris et al., "Connected Component
 in MapReduce and Beyond", 2014). Each half-round is a partially aggregated
 minimum per vertex and an equi-join whose right side is unique per key, so a hub
 vertex costs one row per map task in the aggregation, and AQE can split its
-partition in the join. The edge count never grows. Every round ends in a
-checkpoint, which bounds the lineage and survives executor loss.
+partition in the join. The edge count never grows. Every round ends in a stage
+table, which bounds the lineage and survives executor loss.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_lineage
+from ..session import stage_table
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,20 +33,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def _fingerprint(edges: DataFrame):
     """Count and order-free hash sum of an edge set; equal sets give equal values."""
-    return edges.agg(F.count(F.lit(1)).alias("n"),
-                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+    h = F.xxhash64("u", "v")
+    return edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"),
+                     F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s")).first()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(vertex, root) for every vertex of `edges` (columns src, dst) that is not its own root."""
     pairs = edges.filter(F.col("src") != F.col("dst"))
-    stars = cut_lineage(pairs.select(F.greatest("src", "dst").alias("u"),
-                                     F.least("src", "dst").alias("v")).distinct())
+    stars = stage_table(pairs.select(F.greatest("src", "dst").alias("u"),
+                                     F.least("src", "dst").alias("v")).distinct(), "stars")
     seen = _fingerprint(stars)
     if seen.n == 0:
         return stars.select(F.col("u").alias("vertex"), F.col("v").alias("root"))
     for _ in range(max_rounds):
-        stars = cut_lineage(_small_star(_large_star(stars)).distinct())
+        stars = stage_table(_small_star(_large_star(stars)).distinct(), "stars")
         now = _fingerprint(stars)
         if now == seen:
             return stars.select(F.col("u").alias("vertex"), F.col("v").alias("root"))

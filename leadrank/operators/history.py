@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
+from ..functions.text import pretty_name, title_case
+from .features import attach
 
 
 def earlier_run(history: DataFrame, as_of: Column) -> DataFrame:
@@ -27,6 +29,24 @@ def new_hot(hot: DataFrame, history: DataFrame, as_of: Column) -> DataFrame:
     return hot.filter(previous.isNotNull()).join(seen, "facility_id", "left_anti")
 
 
+def new_hot_list(fresh: DataFrame, ranked: DataFrame) -> DataFrame:
+    """New Hot leads with rank, shown name, place, industry and score; ids come in the column facility_id."""
+    return (ranked.join(fresh.select("facility_id"), "facility_id", "left_semi")
+            .select("rank", "facility_id", pretty_name(F.col("name")).alias("name"), title_case(F.col("city")).alias("city"),
+                    "state", "industry", "total", "hold_reason", "outreach_eligible"))
+
+
+def run_record(counts: DataFrame, load_counts: DataFrame, checks: DataFrame, match_year: int) -> DataFrame:
+    """One row about a run: lead counts, the year of the matched forms, load counts, check results.
+
+    `counts` has one row, `load_counts` one per loaded table, `checks` one per check.
+    """
+    loads = load_counts.agg(F.array_sort(F.collect_list(F.struct("name", "n", "national", "rejected"))).alias("loads"))
+    results = checks.agg(F.array_sort(F.collect_list(F.struct("check_no", "check_name", "bad_rows", "passed"))).alias("checks"),
+                         F.count_if("passed").alias("checks_passed"))
+    return attach(attach(counts, loads), results).withColumn("match_year", F.lit(match_year))
+
+
 def upsert_run(history: DataFrame, entry: DataFrame, keep: int = rules.HISTORY_RUNS) -> DataFrame:
     """History with `entry` as the newest run: same-date rows replaced, latest `keep` runs kept.
 

@@ -10,14 +10,23 @@ from .rank import lead_order, top
 
 
 def assemble(scores: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Scored entities with the coordinates of their ZIP."""
-    return scores.join(centroids.select("zip5", "lat", "lon"), "zip5", "left")
+    """Scored entities with the coordinates of their ZIP. Of several places with one ZIP the southernmost, then
+    westernmost, counts, so every entity stays one row; places without coordinates do not count."""
+    places = centroids.filter("lat IS NOT NULL AND lon IS NOT NULL").groupBy("zip5").agg(F.min(F.struct("lat", "lon")).alias("_at"))
+    return (scores.join(places, "zip5", "left")
+            .withColumns({"lat": F.col("_at.lat"), "lon": F.col("_at.lon")}).drop("_at"))
 
 
 def with_stage(leads: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Stage of each lead: a valid saved one, else `hold` for held leads, else `top`."""
-    saved = (overrides.filter(F.col("stage").isin(*[s for s, _ in rules.STAGES]))
-             .select(F.col("lead_id").alias("facility_id"), F.col("stage").alias("_saved")))
+    """Stage of each lead: a valid saved one, else `hold` for held leads, else `top`.
+
+    Of several valid stages saved for a lead, the one saved last counts (column `saved_at`), else the furthest along.
+    """
+    places = {s: i for i, (s, _) in enumerate(rules.STAGES)}
+    place = F.coalesce(*[F.when(F.col("stage") == s, i) for s, i in places.items()])
+    newest = [F.col("saved_at")] if "saved_at" in overrides.columns else []
+    saved = (overrides.filter(F.col("stage").isin(*places)).groupBy(F.col("lead_id").alias("facility_id"))
+             .agg(F.max_by("stage", F.struct(*newest, place)).alias("_saved")))
     default = F.when(F.col("hold_reason").isNotNull(), "hold").otherwise("top")
     return (leads.join(saved, "facility_id", "left")
             .withColumn("stage", F.coalesce("_saved", default)).drop("_saved"))

@@ -1,11 +1,10 @@
 """Nested lead records: entity -> records[] -> citations[].
 
-The flat form is the working form: `kept_citations` and `kept_inspections` hold
-what a nested record shows, one row per citation and inspection, so explanations,
-searches and draft checks run on them as joins and groupings. Nesting is the last
-step before a sink. A document has no size bound by itself (one record may own a
-large part of all citations), so lists longer than a limit are continued in
-numbered parts; reading the parts in order gives the whole document.
+The flat form is the working form and the product at scale: `kept_citations` and
+`kept_inspections` hold what a nested record shows, one row per citation and
+inspection, and explanations, searches and draft checks run on them as joins and
+groupings. Nesting is the last step before a document sink and has one shape at
+every size: one document per lead, which therefore has to fit into memory.
 """
 from __future__ import annotations
 
@@ -14,10 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import rules
 from ..functions.text import clean_chemical, pretty_name, public_hold, record_link, title_case, violation_label
 from ..functions.values import whole_penalty
-from .rank import position_within
-
-CITATIONS_PER_PART = 500
-INSPECTIONS_PER_PART = 200
 
 
 def shown_evidence(evidence: DataFrame, shown: DataFrame) -> DataFrame:
@@ -47,41 +42,18 @@ def kept_inspections(evidence: DataFrame) -> DataFrame:
             .filter((F.col("citation_count") > 0) | F.col("dust_program").isNotNull()))
 
 
-def _parts(df: DataFrame, group: list[str], order: list[Column], size: int, name: str,
-           largest: int) -> DataFrame:
-    """Number the parts of each group; the costly placing runs only if some group is too long."""
-    if largest <= size:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    return (position_within(df, group, order, "_pos")
-            .withColumn(name, F.floor(F.col("_pos") / size).cast("long")).drop("_pos"))
-
-
-def nested_inspections(evidence: DataFrame, citations_per_part: int = CITATIONS_PER_PART,
-                       inspections_per_part: int = INSPECTIONS_PER_PART) -> DataFrame:
-    """(facility_id, part, inspections[]) with at most the given list lengths per part.
+def nested_inspections(evidence: DataFrame) -> DataFrame:
+    """(facility_id, inspections[]): newest record first, citations in a fixed order.
 
-    `evidence` is read several times: pass a stage table.
+    `evidence` is read twice: pass a stage table.
     """
     records = kept_inspections(evidence)
-    sizes = records.agg(F.max("citation_count").alias("citations")).first()
-    citation_order = [F.asc_nulls_last(c) for c in
-                      ("category", "standard", "issued", "type", "penalty_usd", "title", "under_contest")]
-    cites = _parts(kept_citations(evidence), ["facility_id", "activity_nr"], citation_order,
-                   citations_per_part, "cite_part", sizes.citations or 0)
     sort_key = [F.col(c) for c in ("category", "standard", "issued", "type", "penalty_usd")]
     item = F.struct(*sort_key, "title", "under_contest")
-    lists = cites.groupBy("facility_id", "activity_nr", "cite_part").agg(
+    lists = kept_citations(evidence).groupBy("facility_id", "activity_nr").agg(
         F.array_sort(F.collect_list(item)).alias("items"))
-    first = F.coalesce("cite_part", F.lit(0)) == 0
-    pieces = (records.join(lists, ["facility_id", "activity_nr"], "left")
-              .withColumns({"cite_part": F.coalesce("cite_part", F.lit(0)),
-                            "other_citations": F.when(first, F.col("other_citations")).otherwise(0)}))
-    longest = (pieces.groupBy("facility_id").agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.max("n").alias("n")).first().n or 0)
-    order = [F.desc("opened"), F.asc("activity_nr"), F.asc("cite_part")]
-    placed = _parts(pieces, ["facility_id"], order, inspections_per_part, "part", longest)
     inspection = F.struct(
-        F.date_diff(F.lit("9999-01-01").cast("date"), "opened").alias("_age"), "activity_nr", "cite_part",
+        F.date_diff(F.lit("9999-01-01").cast("date"), "opened").alias("_age"), "activity_nr",
         F.struct(
             F.col("activity_nr").cast("string").alias("inspection_id"), "opened", "dust_program",
             record_link(F.col("activity_nr")).alias("url"),
@@ -90,10 +62,9 @@ def nested_inspections(evidence: DataFrame, citations_per_part: int = CITATIONS_
                 c["type"].alias("type"), c["issued"].alias("issued"),
                 c["penalty_usd"].alias("penalty_usd"), c["under_contest"].alias("under_contest")))
             .alias("citations"), "other_citations").alias("inspection"))
-    return (placed.groupBy("facility_id", "part")
-            .agg(F.array_sort(F.collect_list(inspection)).alias("sorted"))
-            .select("facility_id", "part",
-                    F.transform("sorted", lambda x: x["inspection"]).alias("inspections")))
+    return (records.join(lists, ["facility_id", "activity_nr"], "left")
+            .groupBy("facility_id").agg(F.array_sort(F.collect_list(inspection)).alias("sorted"))
+            .select("facility_id", F.transform("sorted", lambda x: x["inspection"]).alias("inspections")))
 
 
 def shown_leads(leads: DataFrame) -> DataFrame:
@@ -107,17 +78,16 @@ def public_lead(leads: DataFrame) -> DataFrame:
         "hold": public_hold(F.col("hold_reason"))})
 
 
-def lead_records(shown: DataFrame, evidence: DataFrame, reporting_year: int = rules.EMISSION_YEAR,
-                 **limits) -> DataFrame:
-    """Nested record of every shown lead, from their evidence; extra parts repeat the lead's head."""
-    nested = nested_inspections(evidence, **limits)
+def lead_records(shown: DataFrame, evidence: DataFrame, reporting_year: int = rules.EMISSION_YEAR) -> DataFrame:
+    """Nested record of every shown lead, from their evidence: one row per lead."""
+    nested = nested_inspections(evidence)
     signal = F.when(F.col("release_lbs").isNotNull(), F.struct(
         "release_lbs", "chemicals", "forms", F.lit(reporting_year).alias("reporting_year")))
     score = F.struct(*[F.col(f"{k}_pts").alias(k) for k in
                        ("industry", "dust", "recency", "size", "tri_air")], F.col("total"))
     empty = F.array().cast(nested.schema["inspections"].dataType)
     return public_lead(shown).join(nested, "facility_id", "left").select(
-        F.col("facility_id").alias("id"), "rank", F.coalesce("part", F.lit(0)).alias("part"),
+        F.col("facility_id").alias("id"), "rank",
         "name", "city", "state", F.col("zip5").alias("zip"), "lat", "lon", "industry", "naics", "employees",
         score.alias("score"), signal.alias("tri_air_signal"), "tier", "confidence", "hold",
         "facility_match_review_required", "outreach_eligible", "dust_reason", "evidence_date",
@@ -128,7 +98,7 @@ def lead_records(shown: DataFrame, evidence: DataFrame, reporting_year: int = ru
 def facts(records: DataFrame, as_of: Column) -> DataFrame:
     """What a drafted text may rely on: a subset of the nested record."""
     return records.select(
-        "id", "part", F.struct(
+        "id", F.struct(
             as_of.alias("as_of"),
             F.struct("name", "city", "state", "industry", "naics",
                      F.col("employees").alias("employees_at_site")).alias("facility"),

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut_lineage
+from ..session import stage_table
 
 
 def lead_order() -> list[Column]:
@@ -19,7 +19,7 @@ def _range_sorted(df: DataFrame, order: list[Column]) -> DataFrame:
     the plan could cut the table elsewhere.
     """
     spot = F.monotonically_increasing_id()
-    placed = cut_lineage(df.orderBy(*order).withColumn("_spot", spot))
+    placed = stage_table(df.orderBy(*order).withColumn("_spot", spot), "placed")
     return placed.withColumns({
         "_part": F.shiftright("_spot", 33).cast("int"),
         "_index": F.col("_spot").bitwiseAND((1 << 33) - 1)}).drop("_spot")

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .. import rules
 from ..operators import features, history, link, lists, match, nested, quality, rank, score, staging
@@ -45,18 +46,41 @@ class Build:
         return self._saved(name)
 
     def load(self) -> None:
-        """Archives to scoped raw tables; the row count of each goes to `load_counts`."""
-        raw = {name: archives.read_archives(self.spark, f"{self.raw}/{name}/*.zip", columns)
-               for name, columns in RAW_COLUMNS.items()}
+        """Archives to scoped raw tables.
+
+        `load_counts` gets the rows kept, the rows of all states and the rejected lines of each table, counted while
+        the archives are read; rejected lines go to `rejects` with their archive and member.
+        """
+        parsed, seen = {}, {name: Observation(f"load of {name}") for name in RAW_COLUMNS}
+        for name, columns in RAW_COLUMNS.items():
+            rows = archives.parse_archives(self.spark, self._archives(name), columns)
+            bad = F.col(archives.REJECT).isNotNull()
+            parsed[name] = rows.observe(seen[name], F.count_if(~bad).alias("national"), F.count_if(bad).alias("rejected"))
+        raw = {name: rows.filter(F.col(archives.REJECT).isNull()).select(*RAW_COLUMNS[name]) for name, rows in parsed.items()}
         inspection = self._save("raw_inspection", staging.scope_filter(raw["inspection"], self.states, self.load_start))
         injury = self._save("raw_accident_injury", staging.children_of(
             raw["accident_injury"], inspection, "rel_insp_nr", "activity_nr"))
         for name in ("violation", "emphasis_codes"):
             self._save(f"raw_{name}", staging.children_of(raw[name], inspection, "activity_nr"))
         self._save("raw_accident", staging.children_of(raw["accident"], injury, "summary_nr"))
-        self._save("zip_centroids", text_files.read_zip_centroids(self.spark, f"{self.raw}/zip_gazetteer.txt"))
-        self._save("load_counts", text_files.load_counts(
-            {f"raw_{name}": self._saved(f"raw_{name}") for name in RAW_COLUMNS}))
+        places = archives.parse_archives(self.spark, f"{self.raw}/zip_gazetteer.zip", text_files.GAZETTEER,
+                                         delimiter="\t", own_header=False)
+        self._save("zip_centroids", text_files.centroids(places.filter(F.col(archives.REJECT).isNull())))
+        whole = self.spark.createDataFrame(
+            [(f"raw_{name}", counts["national"], counts["rejected"]) for name, counts in
+             ((name, seen[name].get) for name in RAW_COLUMNS)], "name string, national long, rejected long")
+        kept = text_files.load_counts({f"raw_{name}": self._saved(f"raw_{name}") for name in RAW_COLUMNS})
+        self._save("load_counts", kept.join(whole, "name"))
+        rejects = None
+        for name, columns in RAW_COLUMNS.items():
+            if seen[name].get["rejected"]:  # only tables that have some are read again
+                bad = archives.read_rejects(self.spark, self._archives(name), columns).select(F.lit(name).alias("name"), "*")
+                rejects = bad if rejects is None else rejects.unionByName(bad)
+        self._save("rejects", rejects if rejects is not None else self.spark.createDataFrame(
+            [], "name string, archive string, member string, text string"))
+
+    def _archives(self, name: str) -> str:
+        return f"{self.raw}/{name}/*.zip"
 
     def tables(self) -> dict[str, DataFrame]:
         """Staged, linked and scored tables."""
@@ -81,6 +105,7 @@ class Build:
             t["violations"], fi, t["standard_lookup"], t["run_params"]))
         t["facilities"] = self._save("facilities", features.facility_facts(
             fi, t["violations"], injuries, t["standard_lookup"], t["run_params"]))
+        text_files.require_files(self.emission_files, self.states)
         forms = text_files.require_contract(
             text_files.read_emission_files(self.spark, self.emission_files, self.states))
         matched = self._save("matched", match.matched_keys(forms, t["facilities"]))
@@ -103,30 +128,53 @@ class Build:
         evidence = self._save("shown_evidence", nested.shown_evidence(t["evidence"], shown))
         sinks.write_lead_json(nested.lead_records(shown, evidence), f"{self.out}/leads_json")
         t["new_hot"] = self._delta(ranked, as_of)
-        counts = features.attach(lists.tier_counts(ranked), t["match_stats"])
-        sinks.append_run_log(counts.withColumn("as_of", as_of), f"{self.out}/run_log")
+        self._report(t, ranked, checks, as_of)
         t["ranked"], t["checks"] = ranked, checks
         return t
 
-    def _delta(self, ranked: DataFrame, as_of) -> DataFrame:
-        """New Hot leads against the history table; the run then joins the history."""
+    def _report(self, t: dict[str, DataFrame], ranked: DataFrame, checks: DataFrame, as_of: Column) -> None:
+        """Summary, best leads, breakdowns, checks and new Hot leads as CSV; the run log gets the run's record."""
+        counts = features.attach(lists.tier_counts(ranked), t["match_stats"])
+        tables = {
+            "summary": counts,
+            "top25": lists.csv_columns(lists.brief_candidates(ranked)),
+            "by_state": lists.hot_by(ranked, lists.state_dimension(self.spark, self.states), "state"),
+            "by_industry": lists.hot_by(ranked, lists.industry_dimension(self.spark), "industry"),
+            "checks": checks,
+            "new_hot_leads": history.new_hot_list(t["new_hot"], ranked),
+        }
+        for name, table in tables.items():
+            sinks.write_safe_csv(table, f"{self.out}/report/{name}")
+        sinks.write_run_log(history.run_record(counts, self._saved("load_counts"), checks, rules.EMISSION_YEAR)
+                            .withColumn("as_of", as_of), f"{self.out}/run_log")
+
+    def _delta(self, ranked: DataFrame, as_of: Column) -> DataFrame:
+        """New Hot leads against the history; the run then joins history and snapshots, which keep the latest runs."""
         hot = ranked.filter(F.col("tier") == rules.HOT).select("facility_id")
-        path = f"{self.out}/history"
-        entry = hot.select(as_of.alias("as_of"), "facility_id")
-        if not _exists(self.spark, path):
-            history.write_run(entry.withColumn("run_seq", F.lit(1).cast("long")), path)
-            fresh = hot.limit(0)
-        else:
-            # read fully before the partition of this date is replaced
-            past = self._save("history_before", self.spark.read.parquet(path))
-            fresh = self._save("new_hot", history.new_hot(hot, past, as_of))
-            next_run = past.agg(F.coalesce(F.max("run_seq"), F.lit(0)) + 1).scalar()
-            history.write_run(entry.withColumn("run_seq", next_run), path)
-        snapshot = history.snapshot_score_run(ranked, as_of, F.current_timestamp())
-        history.write_run(snapshot, f"{self.out}/snapshots")
+        path, shots = f"{self.out}/history", f"{self.out}/snapshots"
+        past = _table(self.spark, path)
+        if past is None:
+            past = self.spark.createDataFrame([], "as_of date, facility_id string, run_seq long")
+        fresh = self._save("new_hot", history.new_hot(hot, past, as_of))
+        # a run without Hot leads is a run as well: a row without an id stands for it
+        entry = (hot.unionByName(self.spark.range(1).select(F.lit(None).cast("string").alias("facility_id")))
+                 .select(as_of.alias("as_of"), "facility_id"))
+        # what is kept is written out in full before the old table goes
+        kept = self._save("history", history.upsert_run(past, entry))
+        kept.write.mode("overwrite").parquet(path)
+        snapshot = self._save("snapshot", history.snapshot_score_run(ranked, as_of, F.current_timestamp()))
+        history.write_run(snapshot, shots)
+        stored, runs = self.spark.read.parquet(shots), kept.select("as_of").distinct()  # at most as many as are kept
+        if stored.join(F.broadcast(runs), "as_of", "left_anti").select("as_of").limit(1).count():
+            self._save("snapshots", stored.join(F.broadcast(runs), "as_of", "left_semi")).write.mode("overwrite").partitionBy("as_of").parquet(shots)
         return fresh
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at `path`, or None if there is no such folder yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

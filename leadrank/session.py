@@ -1,6 +1,7 @@
 """Shared-storage helpers: where lineage is cut and where scratch tables go."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,23 +13,19 @@ def shared_root(spark: SparkSession) -> str:
 
     `spark.checkpoint.dir` names it on a cluster. Only a local-mode session may
     fall back to a temporary folder, because there executors share that disk.
+    Tables are kept as long as the session may read them: delete the folder (its
+    name is a random id) when the session has ended.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if root is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="leadrank-"))
-        root = sc.getCheckpointDir()
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
+        root = sc.getConf().get("spark.checkpoint.dir")
+        if root is None:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+            root = tempfile.mkdtemp(prefix="leadrank-")
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared folder; survives the loss of executors."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # as Spark has resolved it: with scheme, and with a folder of this session below it
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

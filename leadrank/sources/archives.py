@@ -3,29 +3,31 @@
 A zip stream cannot be split, but its members can be read apart: one task lists
 the members of each archive from its directory, then every member is its own
 unit of work. Members are decompressed and parsed as a stream in batches, so
-memory does not grow with their size.
+memory does not grow with their size. Lines with a field too many or too few are
+not guessed at: they come out as rejects, with their text and where they were.
 """
 from __future__ import annotations
 
-import csv
-import io
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
-from pyarrow import fs
+import pyarrow as pa
+from pyarrow import csv, fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .text_files import text_schema
 
-BATCH_ROWS = 10_000
+ARCHIVE, MEMBER, REJECT = "_archive", "_member", "_reject"
 
 
 def _locate(uri: str):
-    """(file system, path) for any file system that Arrow knows."""
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = "file:///" + uri[len("file:/"):].lstrip("/")
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    """(file system, path) for any file system that Arrow knows; the scheme must be given, as Spark does."""
+    if "://" not in uri:
+        scheme, found, path = uri.partition(":/")
+        if not found:
+            raise ValueError(f"not a full URI: {uri}")
+        uri = f"{scheme}:///{path.lstrip('/')}"
+    return fs.FileSystem.from_uri(uri)
 
 
 def _open(uri: str):
@@ -41,47 +43,78 @@ def writable(uri: str):
     return system.open_output_stream(path)
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path in batch["path"]:
+        for path in batch.column(0).to_pylist():
             with _open(path) as handle, zipfile.ZipFile(handle) as archive:
                 names = [i.filename for i in archive.infolist() if not i.is_dir()]
-                yield pd.DataFrame({"path": path, "member": names})
+            yield pa.RecordBatch.from_pydict({"path": [path] * len(names), "member": names})
 
 
-def _reader(columns: list[str]):
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _reader(columns: list[str], delimiter: str = ",", own_header: bool = True):
+    names = [*columns, ARCHIVE, MEMBER, REJECT]
+    text = pa.schema([(n, pa.string()) for n in names])
+
+    def block(path: str, member: str, values: list[pa.Array], rejects: list[str]) -> pa.RecordBatch:
+        many, bad = len(values[0]) if values else 0, len(rejects)
+        full = [pa.concat_arrays([v, pa.nulls(bad, pa.string())]) for v in values] or [pa.nulls(bad, pa.string()) for _ in columns]
+        return pa.RecordBatch.from_arrays(
+            [*full, pa.array([path] * (many + bad)), pa.array([member] * (many + bad)),
+             pa.array([None] * many + rejects, pa.string())], schema=text)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, member in zip(batch["path"], batch["member"]):
-                with _open(path) as handle, zipfile.ZipFile(handle) as archive, archive.open(member) as raw:
-                    lines = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-                    header = next(lines, None)
-                    if header is None:
+            for path, member in zip(*(c.to_pylist() for c in batch.columns)):
+                rejects: list[str] = []
+
+                def keep(row: csv.InvalidRow) -> str:
+                    rejects.append(row.text)
+                    return "skip"
+
+                with _open(path) as handle, zipfile.ZipFile(handle) as archive:
+                    if not archive.getinfo(member).file_size:
                         continue
-                    place = [header.index(c) for c in columns]
-                    block: list[list] = []
-                    for line in lines:
-                        short = len(line) < len(header)
-                        block.append([None if short and i >= len(line) else (line[i] or None) for i in place])
-                        if len(block) == BATCH_ROWS:
-                            yield pd.DataFrame(block, columns=columns)
-                            block = []
-                    if block:
-                        yield pd.DataFrame(block, columns=columns)
+                    with archive.open(member) as raw:
+                        stream = csv.open_csv(
+                            raw, read_options=csv.ReadOptions() if own_header else csv.ReadOptions(column_names=columns, skip_rows=1),
+                            parse_options=csv.ParseOptions(delimiter=delimiter, newlines_in_values=own_header, invalid_row_handler=keep),
+                            convert_options=csv.ConvertOptions(
+                                column_types={c: pa.string() for c in columns}, include_columns=columns,
+                                null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=True))
+                        for part in stream:
+                            yield block(path, member, part.columns, rejects)
+                            rejects.clear()
+                if rejects:
+                    yield block(path, member, [], rejects)
     return rows
 
 
 def list_members(spark: SparkSession, glob: str) -> DataFrame:
     """(path, member) of every file inside the archives that match `glob`."""
     paths = spark.read.format("binaryFile").load(glob).select("path")  # the content column is not read
-    return paths.mapInPandas(_members, "path string, member string")
+    return paths.mapInArrow(_members, "path string, member string")
+
 
+def parse_archives(spark: SparkSession, glob: str, columns: list[str], parallelism: int | None = None,
+                   delimiter: str = ",", own_header: bool = True) -> DataFrame:
+    """Every row of every CSV member: the named columns as text (empty fields are null), archive, member, reject.
 
-def read_archives(spark: SparkSession, glob: str, columns: list[str],
-                  parallelism: int | None = None) -> DataFrame:
-    """Rows of every CSV member, the named columns as text; empty fields are null."""
+    Without `own_header` the first line is passed over and `columns` names all fields in order.
+    A row has either values or, in the column of rejects, the text of a line with a wrong number of fields.
+    """
     members = list_members(spark, glob)
     tasks = parallelism or max(spark.sparkContext.defaultParallelism,
                                int(spark.conf.get("spark.sql.shuffle.partitions")))
     spread = members.repartition(tasks, F.xxhash64("path", "member"))
-    return spread.mapInPandas(_reader(columns), text_schema(columns))
+    return spread.mapInArrow(_reader(columns, delimiter, own_header), text_schema([*columns, ARCHIVE, MEMBER, REJECT]))
+
+
+def read_archives(spark: SparkSession, glob: str, columns: list[str], parallelism: int | None = None) -> DataFrame:
+    """Rows of every CSV member with the right number of fields."""
+    return parse_archives(spark, glob, columns, parallelism).filter(F.col(REJECT).isNull()).select(*columns)
+
+
+def read_rejects(spark: SparkSession, glob: str, columns: list[str], parallelism: int | None = None) -> DataFrame:
+    """(archive, member, text) of every line with a wrong number of fields."""
+    bad = parse_archives(spark, glob, columns, parallelism).filter(F.col(REJECT).isNotNull())
+    return bad.select(F.col(ARCHIVE).alias("archive"), F.col(MEMBER).alias("member"), F.col(REJECT).alias("text"))

@@ -26,8 +26,10 @@ def write_safe_csv(df: DataFrame, path: str) -> None:
 
 def write_lead_json(records: DataFrame, path: str) -> None:
     """Nested lead records, one JSON document per line, best lead first."""
-    records.orderBy("rank", "part").write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    records.orderBy("rank").write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def append_run_log(run: DataFrame, path: str) -> None:
-    run.write.mode("append").parquet(path)
+def write_run_log(run: DataFrame, path: str) -> None:
+    """One record per run date: a re-run of a date replaces its record. `run` has the column as_of."""
+    (run.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("as_of").parquet(path))

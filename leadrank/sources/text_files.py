@@ -65,6 +65,11 @@ def read_zip_centroids(spark: SparkSession, path: str) -> DataFrame:
     """ZIP centroids from the tab-separated gazetteer; its header is replaced by our names."""
     raw = (spark.read.schema(text_schema(GAZETTEER)).option("header", True).option("sep", "\t")
            .option("enforceSchema", True).csv(path))
+    return centroids(raw)
+
+
+def centroids(raw: DataFrame) -> DataFrame:
+    """ZIP, latitude and longitude of padded gazetteer rows."""
     return raw.select(F.trim("geoid").alias("zip5"), F.trim("lat").cast("double").alias("lat"),
                       F.trim("lon").cast("double").alias("lon"))
 
@@ -75,6 +80,14 @@ def require_columns(columns: list[str], required, where: str) -> None:
         raise ValueError(f"{where} is missing columns: {', '.join(missing)}")
 
 
+def require_files(paths: list[str], states) -> None:
+    """An error that names the states without an emission file."""
+    have = {path.rsplit("/", 1)[-1].rsplit(".", 1)[0].rsplit("_", 1)[-1] for path in paths}
+    missing = [s for s in states if s not in have]
+    if missing:
+        raise ValueError(f"no emission file for: {', '.join(missing)}")
+
+
 def read_emission_files(spark: SparkSession, paths: list[str], states=rules.TERRITORY) -> DataFrame:
     """Emission forms of all state files, columns by role, with the state of the file name.
 

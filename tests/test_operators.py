@@ -132,25 +132,34 @@ def test_rank_over_many_partitions(spark):
     assert all(r.pos == (389 - r.id if r.g == "hot" else 399 - r.id) for r in got) and len(got) == 400
 
 
-def test_nested_parts_hold_everything(spark, world):
+def test_nested_records_have_one_shape(spark, world):
     fi, viol, _, params, lookup = world
     many = viol.unionByName(violations(spark, [
-        (4, "19100094 A01", "S", D(2023, 3, 1 + i % 28), None, None) for i in range(60)]))
+        (4, "19100094 A01", "S", D(2023, 3, 1 + i % 28), None, None) for i in range(1200)]))
     ev = features.evidence(many, fi, lookup, params)
-    whole = nested.nested_inspections(ev)
-    parts = nested.nested_inspections(ev, citations_per_part=7, inspections_per_part=3)
-    assert parts.agg(F.max("part")).first()[0] > 0
-    assert parts.select(F.max(F.size("inspections"))).first()[0] <= 3
-
-    def flat(df):
-        rows = (df.select("facility_id", "part", F.posexplode("inspections").alias("p", "i"))
-                .select("facility_id", "part", "p", "i.inspection_id", F.posexplode("i.citations").alias("q", "c"))
-                .orderBy("facility_id", "part", "p", "q").collect())
-        return [(r.facility_id, r.inspection_id, r.c.category, r.c.standard, r.c.issued) for r in rows]
-
-    assert flat(parts) == flat(whole) and len(flat(whole)) > 60
-    total = lambda df: df.select(F.explode("inspections").alias("i")).agg(F.sum("i.other_citations")).first()[0]
-    assert total(parts) == total(whole)
+    got = nested.nested_inspections(ev).collect()
+    assert len({r.facility_id for r in got}) == len(got)
+    lists_of = {i.inspection_id: i.citations for r in got for i in r.inspections}
+    assert len(lists_of) == sum(len(r.inspections) for r in got) and len(lists_of["4"]) >= 1200
+    assert sum(map(len, lists_of.values())) == nested.kept_citations(ev).count()
+
+
+def test_one_row_per_lead(spark):
+    leads = spark.createDataFrame([("a", "48104", None), ("b", None, None), ("c", "1", "x")], "facility_id string, zip5 string, hold_reason string")
+    places = spark.createDataFrame([("48104", 42.0, -83.0), ("48104", 41.0, -84.0), ("48104", 41.0, -82.0)], "zip5 string, lat double, lon double")
+    got = {r.facility_id: (r.lat, r.lon) for r in lists.assemble(leads, places).collect()}
+    assert got == {"a": (41.0, -84.0), "b": (None, None), "c": (None, None)}
+    saved = spark.createDataFrame([("a", "audit"), ("a", "reached"), ("a", "nowhere")], "lead_id string, stage string")
+    assert sorted(r.stage for r in lists.with_stage(leads, saved).collect()) == ["audit", "hold", "top"]
+    dated = saved.withColumn("saved_at", F.when(F.col("stage") == "reached", 2).otherwise(1))
+    assert sorted(r.stage for r in lists.with_stage(leads, dated).collect()) == ["hold", "reached", "top"]
+
+
+def test_exact_amounts(spark):
+    from leadrank.functions.values import amount
+    texts = ["1,234.5", "0.000000000000000001", "0.0000000000000000001", "9" * 19, "9" * 20, "1e3", "-1", "x", " na ", "", None, "0", "1e-30"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(amount(F.col("t"))).collect()]
+    assert [None if g is None else float(g) for g in got] == [1234.5, 1e-18, None, 1e19, None, 1000.0, None, None, 0.0, 0.0, 0.0, 0.0, None]
 
 
 FORM_COLUMNS = ("year", "facility_name", "state", "zip", "chemical", "metal", "form_type", "unit", "fugitive_air",

@@ -6,6 +6,8 @@ from datetime import date
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from leadrank import rules
 from leadrank.plans.regulatory import RAW_COLUMNS, Build
 from leadrank.sources import archives, text_files
@@ -82,24 +84,42 @@ def test_whole_build(spark, tmp_path):
     for name, rows in tables.items():
         (raw / name).mkdir()
         with zipfile.ZipFile(raw / name / "1.zip", "w") as z:
-            z.writestr("part_0.csv", as_csv(RAW_COLUMNS[name], rows))
-    (raw / "zip_gazetteer.txt").write_text("GEOID\ta\tb\tc\td\tLAT\tLON \n48104\t1\t1\t1\t1\t42.2\t -83.7  \n")
+            z.writestr("part_0.csv", as_csv(RAW_COLUMNS[name], rows) + ("1,2\n" if name == "violation" else ""))
+    with zipfile.ZipFile(raw / "zip_gazetteer.zip", "w") as z:
+        z.writestr("gaz.txt", "GEOID\ta\tb\tc\td\tLAT\tLON \n48104\t1\t1\t1\t1\t42.2\t -83.7  \n")
     files = [emission_file(raw / "TRI_2024_MI.csv", [{"4. FACILITY NAME": "Hill Forge", "9. ZIP": "48104", "37. CHEMICAL": "LEAD",
                                                       "51. 5.1 - FUGITIVE AIR": "2", "30. PRIMARY NAICS": "332"}])]
     build = Build(spark, str(raw), str(work), str(out), emission_files=files)
-    t = build.run()
+    with pytest.raises(ValueError, match="no emission file for: .*OH"):
+        build.run()
+    files += [emission_file(raw / f"TRI_2024_{s}.csv", []) for s in rules.TERRITORY if s != "MI"]
+    t = build.run(skip_load=True)
     assert [r.passed for r in t["checks"].collect()] == [True] * 14
     ranked = t["ranked"].orderBy("rank").collect()
     assert [(r.name, r.total, r.tier, r.outreach_eligible) for r in ranked] == [
         ("HILL FORGE INC", 12, "Hot", True), ("Oak Mill", 10, "Hot", False)]
     assert ranked[0].lat == 42.2 and ranked[0].release_lbs == 2.0 and ranked[1].hold_reason == "citation under contest"
-    assert {r.name: r.n for r in spark.read.parquet(str(work / "load_counts")).collect()} == {
-        "raw_inspection": 4, "raw_violation": 4, "raw_emphasis_codes": 1, "raw_accident_injury": 1, "raw_accident": 1}
+    assert {r.name: (r.n, r.national, r.rejected) for r in spark.read.parquet(str(work / "load_counts")).collect()} == {
+        "raw_inspection": (4, 6, 0), "raw_violation": (4, 5, 1), "raw_emphasis_codes": (1, 1, 0), "raw_accident_injury": (1, 2, 0),
+        "raw_accident": (1, 2, 0)}
+    assert [(r.name, r.member, r.text) for r in spark.read.parquet(str(work / "rejects")).collect()] == [("violation", "part_0.csv", "1,2")]
     lines = [json.loads(x) for f in sorted((out / "leads_json").glob("*.json")) for x in f.read_text().splitlines()]
     assert [(x["name"], len(x["inspections"])) for x in lines] == [("Hill Forge Inc", 2), ("Oak Mill", 1)]
     assert t["new_hot"].count() == 0  # first run
     again = build.run(skip_load=True)  # same date again: still nothing to compare with
-    assert again["new_hot"].count() == 0 and spark.read.parquet(str(out / "run_log")).count() == 2
+    assert again["new_hot"].count() == 0
+    log = spark.read.parquet(str(out / "run_log")).collect()
+    assert [(r.as_of, r.hot, r.match_year, r.checks_passed, len(r.loads)) for r in log] == [(date(2024, 6, 1), 2, 2024, 14, 5)]
+    for name in ("summary", "top25", "by_state", "by_industry", "checks", "new_hot_leads"):
+        assert list((out / "report" / name).glob("*.csv")), name
+    # other dates: the latest twelve runs stay, in history and snapshots
+    ranked = again["ranked"]
+    for month in range(1, 16):
+        fresh = build._delta(ranked.filter("total > 11") if month == 14 else ranked, F.lit(date(2025, 1, 1 + month)))
+        assert [r.facility_id for r in fresh.collect()] == ([r.facility_id for r in ranked.filter("total <= 11").collect()] if month == 15 else [])
+    for name in ("history", "snapshots"):
+        days = [r.as_of for r in spark.read.parquet(str(out / name)).select("as_of").distinct().collect()]
+        assert sorted(days) == [date(2025, 1, 1 + m) for m in range(4, 16)]
     assert spark.read.parquet(str(out / "snapshots")).select("as_of").distinct().collect()[0][0] == date(2024, 6, 1)
 
 
