@@ -1,7 +1,7 @@
 """What several operators need: reading tables, batches of texts, joins that withstand hot keys."""
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,12 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that a task turns into Python objects at once.
+ROWS_AT_ONCE = 1000
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most ROWS_AT_ONCE rows; empty ones are passed over."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply `work` to each Arrow batch of `df`; empty batches are skipped."""
+    """Apply `work` to `df` slice by slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+        return map(work, slices(batches))
     return df.mapInArrow(run, schema)
 
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import utf8
+from .common import slices, utf8
 
 Q = 10
 #: Edits per character of a window that still count as the same passage.
@@ -202,7 +202,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
-            for batch in batches:
+            for batch in slices(batches):
                 rows = []
                 for row, t in enumerate(utf8(batch.column(1))):
                     best: dict[int, tuple[int, int, int]] = {}
@@ -230,7 +230,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
         shared = docs.sparkSession.sparkContext.broadcast(_index(block, q, rate, window))
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 free = [next(shared.value.hits(normalise(t), q), None) is None for t in utf8(batch.column(place))]
                 yield batch.filter(pa.array(free, pa.bool_()))
 

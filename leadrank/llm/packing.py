@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage_table
-from .common import utf8
+from .common import slices, utf8
 from .tokens import VOCABULARY, encode
 
 CAPACITY = 2048
@@ -40,7 +40,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
            vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, doc_id, piece, start, length, ids) as a stage table; ids are little-endian unsigned 32-bit integers."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, data = [], []
             for row, ids in enumerate(encode(utf8(batch.column(1)), vocabulary)):
                 for number, (start, length) in enumerate(cuts(len(ids), capacity)):

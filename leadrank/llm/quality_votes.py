@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_batches, utf8
+from .common import map_batches, slices, utf8
 
 WORDS = 4096
 CLASSES = 16
@@ -183,8 +183,7 @@ def kept(docs: DataFrame, model: Model, text: str = "text", threshold: float = T
     place = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(shared.value.scores(utf8(batch.column(place)), neighbours) >= threshold))
+        for batch in slices(batches):
+            yield batch.filter(pa.array(shared.value.scores(utf8(batch.column(place)), neighbours) >= threshold))
 
     return docs.mapInArrow(work, docs.schema)

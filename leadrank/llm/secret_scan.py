@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches
+from .common import map_batches, slices
 from .spans import Span, mark, overlaps, redact
 
 KINDS = ["assign", "access", "hex"]
@@ -138,4 +138,4 @@ def redacted(docs: DataFrame, ratio: Ratio, text: str = "text", mask: str = MASK
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.set_column(place, text, pa.array([clean(t) for t in batch.column(place).to_pylist()], pa.string()))
 
-    return docs.mapInArrow(lambda batches: map(work, batches), docs.schema)
+    return docs.mapInArrow(lambda batches: map(work, slices(batches)), docs.schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage_table
-from .common import map_batches, utf8
+from .common import map_batches, slices, utf8
 
 LENGTH = 200
 GRAM = 32
@@ -86,7 +86,7 @@ def _suffixes(rows: DataFrame, key: list[str], text: str, seen: np.ndarray, leng
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maybe = np.unpackbits(shared.value).view(bool)
-        for batch in batches:
+        for batch in slices(batches):
             keys = list(zip(*(batch.column(i).to_pylist() for i in range(len(key)))))
             found: dict[tuple[int, bytes, bytes], list] = {}
             for row, t in zip(keys, utf8(batch.column(len(key)))):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import utf8
+from .common import slices, utf8
 from .tokens import VOCABULARY, encode
 
 STRIPE_BYTES = 16 << 20
@@ -29,9 +29,7 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             ids = encode(utf8(batch.column(1)), vocabulary)
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
             yield pa.RecordBatch.from_arrays(
