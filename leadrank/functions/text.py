@@ -7,6 +7,8 @@ from pyspark.sql import Column, functions as F
 
 from .. import rules
 
+NO_BREAK = "\u00a0"
+
 
 def sql_literal(v) -> str:
     """A number or text as SQL literal (rule tables become one parsed expression)."""
@@ -140,10 +142,20 @@ def violation_label(c: Column) -> Column:
     return F.coalesce(F.try_element_at(literal_map(rules.VIOLATION_TYPES), c), c)
 
 
+def keep_together(c: Column) -> Column:
+    """No-break blanks inside each innermost pair of brackets, so that a code in brackets is never split."""
+    def part(text: Column, place: Column) -> Column:
+        end = F.instr(text, ")")
+        return F.when((place > 0) & (end > 0), F.concat(
+            F.translate(F.substring(text, F.lit(1), end), " ", NO_BREAK), F.substr(text, end + 1))).otherwise(text)
+
+    return F.array_join(F.transform(F.split(c, r"\("), part), "(")
+
+
 def short_reason(c: Column) -> Column:
-    """First sentence of a reason, without its date tails and data-cut tail."""
+    """First sentence of a reason, without its date tails and data-cut tail, with codes in brackets kept together."""
     date = r"[A-Z][a-z]{2} \d{1,2}, \d{4}"
     first = F.regexp_replace(F.split(c, r"\.\s+(?=[A-Z][a-z]|\d)", 2)[0], r"\.\z", "")
     # only the first data-cut tail goes; the lazy head keeps any later one
     no_cut = F.regexp_replace(first, rf"^(.*?)\s+of the {date} data cut", "$1")
-    return F.regexp_replace(no_cut, rf",\s+(?:issued |opened )?{date}", "")
+    return keep_together(F.regexp_replace(no_cut, rf",\s+(?:issued |opened )?{date}", ""))

@@ -16,8 +16,14 @@ same components:
   gives the same components, in as many edges as there are holders. Only subsets
   with 2 * |S| >= |A| can qualify.
 
+Names with the same set of words are one case: the smallest key stands for them.
+
 Names with more than `subset_words` words have too many subsets. They go through
-a prefix-filtered join instead (see `long_name_edges`), exact for any length.
+a prefix-filtered join instead (see `long_name_edges`), exact for any length. It
+only looks at names with different first words, as equal first words have linked
+the others already, and yields each similar pair once. So its edges are linear
+where long names of a block begin alike; where they differ in their first words
+there is at most one edge per similar pair.
 """
 from __future__ import annotations
 
@@ -68,6 +74,19 @@ def block_members(keyed: DataFrame) -> DataFrame:
             .withColumn("word_set", F.array_sort(F.array_distinct(blank_words(F.col("name"))))))
 
 
+def word_sets(members: DataFrame) -> DataFrame:
+    """One row per block and word set: its smallest key, the first word of that key's name, its number of words."""
+    return (members.groupBy(*BLOCK, "word_set").agg(F.min(F.struct("key", "name")).alias("_least"))
+            .select(*BLOCK, "word_set", F.col("_least.key").alias("key"), F.size("word_set").alias("n"),
+                    F.substring_index("_least.name", " ", 1).alias("first")))
+
+
+def word_set_edges(members: DataFrame, sets: DataFrame) -> DataFrame:
+    hubs = sets.select(*BLOCK, "word_set", F.col("key").alias("dst"))
+    return (members.join(hubs, [*BLOCK, "word_set"]).filter(F.col("key") != F.col("dst"))
+            .select(F.col("key").alias("src"), "dst"))
+
+
 def first_word_edges(members: DataFrame) -> DataFrame:
     spots = members.withColumn("first", F.substring_index("name", " ", 1)).select(*BLOCK, "first", "key")
     hubs = (spots.groupBy(*BLOCK, "first").agg(F.min("key").alias("dst"), F.max("key").alias("_last"))
@@ -85,10 +104,10 @@ def _subsets(word_set: Column) -> Column:
     return F.filter(half, lambda s: F.size(s) > 0)
 
 
-def subset_edges(members: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
+def subset_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
     """Star edges through common word subsets, for names of up to `subset_words` words."""
-    holders = (members.filter(F.size("word_set") <= subset_words)
-               .select(*BLOCK, "key", F.size("word_set").alias("n"),
+    holders = (sets.filter(F.col("n") <= subset_words)
+               .select(*BLOCK, "key", "n",
                        F.explode(_subsets(F.col("word_set"))).alias("s"))
                .select(*BLOCK, "key", "n", F.size("s").alias("k"), F.array_join("s", " ").alias("s")))
     hubs = (holders.groupBy(*BLOCK, "s")
@@ -100,42 +119,53 @@ def subset_edges(members: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFr
             .select(F.col("key").alias("src"), "dst"))
 
 
-def long_name_edges(members: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
-    """Similar pairs with at least one name longer than `subset_words` words.
+def long_name_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
+    """Similar pairs with at least one name longer than `subset_words` words and with different first words.
 
     Prefix filtering with two words: two sets that share at least c words, put in
     one common order, share at least two words among the first n - c + 2 of each.
     c is at least half the size of either set, so each name joins on the word
     pairs of that prefix, rarest words of the block first. Candidates are tested
-    exactly. A partner of a long name has more than half as many words.
+    exactly, at the smallest pair of words that both prefixes have. A partner of a
+    long name has more than half as many words.
     """
     floor_words = (subset_words + 2) // 2
-    sized = members.withColumn("n", F.size("word_set")).filter(F.col("n") >= floor_words)
-    tokens = sized.select(*BLOCK, "key", "n", F.explode("word_set").alias("w"))
+    sized = sets.filter(F.col("n") >= floor_words)
+    tokens = sized.select(*BLOCK, "key", "n", "first", F.explode("word_set").alias("w"))
     rarity = tokens.groupBy(*BLOCK, "w").agg(F.count(F.lit(1)).alias("df"))
     # a name's own words: bounded by its text, not by the group
-    ordered = (tokens.join(rarity, [*BLOCK, "w"]).groupBy(*BLOCK, "key", "n")
+    ordered = (tokens.join(rarity, [*BLOCK, "w"]).groupBy(*BLOCK, "key", "n", "first")
                .agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ws"))
                .withColumn("ws", F.transform("ws", lambda x: x["w"])))
     prefix = F.slice("ws", 1, F.col("n") - F.ceil(F.col("n") / 2).cast("int") + 2)
     pairs = F.flatten(F.transform(prefix, lambda a, i: F.transform(
         F.slice(prefix, i + 2, F.size(prefix)), lambda b: F.concat_ws(" ", F.least(a, b), F.greatest(a, b)))))
-    probes = ordered.select(*BLOCK, "key", "n", "ws", F.explode(F.array_distinct(pairs)).alias("probe"))
+    probed = ordered.withColumn("probes", F.array_distinct(pairs))
+    probes = probed.select("*", F.explode("probes").alias("probe"))
+    # probes whose holders all begin with the same word have nothing to add
+    mixed = (probes.groupBy(*BLOCK, "probe").agg(F.min("first").alias("_lo"), F.max("first").alias("_hi"))
+             .filter(F.col("_lo") != F.col("_hi")).select(*BLOCK, "probe"))
+    probes = probes.join(mixed, [*BLOCK, "probe"], "left_semi")
     long_side = probes.filter(F.col("n") > subset_words)
-    partners = probes.select(*BLOCK, "probe", F.col("key").alias("dst"), F.col("n").alias("m"),
-                             F.col("ws").alias("vs"))
+    partners = probes.select(*BLOCK, "probe", F.col("key").alias("dst"), F.col("n").alias("m"), F.col("ws").alias("vs"),
+                             F.col("first").alias("begins"), F.col("probes").alias("others"))
     shared = F.size(F.array_intersect("ws", "vs"))
+    once = (F.col("m") <= subset_words) | (F.col("key") < F.col("dst"))
     return (long_side.join(partners, [*BLOCK, "probe"])
-            .filter((F.col("key") != F.col("dst")) & (3 * shared >= F.col("n") + F.col("m")))
+            .filter(once & (F.col("first") != F.col("begins"))
+                    & (F.array_min(F.array_intersect("probes", "others")) == F.col("probe"))
+                    & (3 * shared >= F.col("n") + F.col("m")))
             .select(F.col("key").alias("src"), "dst"))
 
 
 def similarity_edges(keyed: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
     """Edges whose components equal those of all similar pairs inside blocks."""
-    members = block_members(keyed)
+    members = stage_table(block_members(keyed), "members")
+    sets = stage_table(word_sets(members), "word-sets")
     return (first_word_edges(members)
-            .unionByName(subset_edges(members, subset_words))
-            .unionByName(long_name_edges(members, subset_words)))
+            .unionByName(word_set_edges(members, sets))
+            .unionByName(subset_edges(sets, subset_words))
+            .unionByName(long_name_edges(sets, subset_words)))
 
 
 def short_id(root: Column) -> Column:

@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
+from ..functions.text import pretty_name
 from .rank import lead_order, top
 
 
@@ -71,12 +72,12 @@ def folder(leads: DataFrame, folder_id: str) -> DataFrame:
 
 
 def search(leads: DataFrame, citations: DataFrame, query: str | None) -> DataFrame:
-    """Leads whose name, city, ZIP or cited codes and titles contain `query`, any case."""
+    """Leads whose shown name, city, ZIP or cited codes and titles contain `query`, any case."""
     q = (query or "").strip().lower()
     if not q:
         return leads
     cited = citations.filter(F.lower("standard").contains(q) | F.lower("title").contains(q)).select("facility_id")
-    own = (F.lower("name").contains(q) | F.lower(F.coalesce("city", F.lit(""))).contains(q)
+    own = (F.lower(pretty_name(F.col("name"))).contains(q) | F.lower(F.coalesce("city", F.lit(""))).contains(q)
            | F.coalesce("zip5", F.lit("")).contains(q))
     hits = cited.distinct().withColumn("_cited", F.lit(True))
     return (leads.join(hits, "facility_id", "left")
@@ -85,12 +86,12 @@ def search(leads: DataFrame, citations: DataFrame, query: str | None) -> DataFra
 
 def apply_filters(leads: DataFrame, citations: DataFrame, state: str | None = None,
                   industry: str | None = None, signal: str | None = None,
-                  ready_only: bool = False, query: str | None = None) -> DataFrame:
-    """All given filters together; an unknown signal means no filter."""
+                  ready_only: bool = False, query: str | None = None, states=None) -> DataFrame:
+    """All given filters together; a value that is no state, industry or signal means no filter."""
     wanted = []
-    if state:
+    if state in (rules.TERRITORY if states is None else states):
         wanted.append(F.col("state") == state)
-    if industry:
+    if industry in [label for label, *_ in rules.INDUSTRIES]:
         wanted.append(F.col("industry") == industry)
     if signal in rules.SIGNALS:
         wanted.append(F.col(f"sig_{signal}"))

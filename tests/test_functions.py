@@ -51,13 +51,18 @@ def test_readable(spark):
         "qualified", "not_now", "unknown", "unknown"]
 
 
+def test_codes_in_brackets_stay_together(spark):
+    got = spark.createDataFrame([("a b (c d) e (f (g h) i j) k l) m (n o",), (None,)], "t string").select(text.keep_together(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["a b (c\u00a0d) e (f (g\u00a0h) i j) k l) m (n o", None]
+
+
 def test_short_reason(spark):
     got = one_column(spark, [
         "Lead (29 CFR 1910.1025), issued Mar 4, 2001 during a X inspection.",
         "Dust evidence dated Mar 4, 2001, within 12 months of the Nov 4, 2001 data cut.",
         "700 employees at the site, just outside the 20–500 core range.", "80 employees at the site. 20–500 is the core range."],
         text.short_reason)
-    assert got == ["Lead (29 CFR 1910.1025) during a X inspection",
+    assert got == ["Lead (29\u00a0CFR\u00a01910.1025) during a X inspection",
                    "Dust evidence dated Mar 4, 2001, within 12 months",
                    "700 employees at the site, just outside the 20–500 core range", "80 employees at the site"]
 

@@ -66,6 +66,25 @@ def test_one_block_with_most_records(spark):
     assert len({mapping[str(i)] for i in range(600)}) == 1 and len(set(mapping.values())) == 201
 
 
+def test_long_names_that_begin_alike(spark):
+    """2,000 long names of one block with one first word: no pairs are formed."""
+    words = [f"W{i}" for i in range(30)]
+    rng = random.Random(8)
+    rows = [(str(i), "ALFA " + " ".join(rng.sample(words, 12)) + f" N{i}", "1 PARK RD", "33333", "CC") for i in range(2000)]
+    rows += [(str(2000 + i), "BETA " + " ".join(rng.sample(words, 3)), "1 PARK RD", "33333", "CC") for i in range(20)]
+    sets = link.word_sets(link.block_members(link.keyed_records(spark.createDataFrame(rows, SCHEMA))))
+    assert link.long_name_edges(sets).count() == 0
+    assert link.first_word_edges(link.block_members(link.keyed_records(spark.createDataFrame(rows, SCHEMA)))).count() == 2018
+
+
+def test_long_names_that_begin_differently(spark):
+    rows = [(str(i), f"A{i} " + " ".join(f"W{j}" for j in range(12)), "1 PARK RD", "33333", "CC") for i in range(60)]
+    rows += [(str(100 + i), " ".join(f"W{(j + i) % 12}" for j in range(12)), "1 PARK RD", "33333", "CC") for i in range(12)]
+    sets = link.word_sets(link.block_members(link.keyed_records(spark.createDataFrame(rows, SCHEMA))))
+    assert sets.count() == 61
+    assert link.long_name_edges(sets).count() == 61 * 60 // 2  # each pair once
+
+
 def test_review_and_states(spark):
     rows = [("1", "Alfa Mill", "1 Elm St", "", "AA"), ("2", "Alfa Mill", "1 Elm St", "", "AA"),
             ("3", "Alfa Mill", "1 Elm St", "44444", "AA"), ("4", "Alfa Mill", "1 Elm St", "44444", "BB"),
