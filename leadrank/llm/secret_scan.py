@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import map_batches, slices
-from .spans import Span, mark, overlaps, redact
+from .spans import Span, Taken, mark, redact
 
 KINDS = ["assign", "access", "hex"]
 RANDOM = "random"
@@ -81,9 +81,9 @@ def pair_counts(texts: list[str]) -> np.ndarray:
     counts = np.zeros((2, len(ALPHABET) + 1, len(ALPHABET)), np.int64)
     for text in texts:
         found = base_spans(text)
+        taken = Taken(s[:4] for s in found)
         samples = [(1, "".join(c for c in value if c in ALPHABET)) for *_, value in found]
-        plain = [m[0] for m in _ORDINARY.finditer(text)
-                 if not (found and overlaps(m.start(), m.end(), (s[:4] for s in found)))]
+        plain = [m[0] for m in _ORDINARY.finditer(text) if not taken.overlaps(*m.span())]
         # words also stand for the identifiers that are made of them
         samples += [(0, form) for a, b in zip(plain, [*plain[1:], ""]) for form in (a, a + b.capitalize(), f"{a}_{b}")]
         for label in (0, 1):
@@ -116,9 +116,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
 def find(text: str, ratio: Ratio, odds: float = PRIOR_ODDS) -> list[Span]:
     """Base spans, and tokens apart from them whose ratio outweighs the prior odds."""
     spans = [s[:4] for s in base_spans(text)]
-    threshold = float(np.log(odds))
+    threshold, taken = float(np.log(odds)), Taken(spans)
     return spans + [(m.start(), len(KINDS), m.end(), False) for m in _TOKEN.finditer(text)
-                    if ratio.of_token(m[0]) > threshold and not overlaps(m.start(), m.end(), spans)]
+                    if ratio.of_token(m[0]) > threshold and not taken.overlaps(*m.span())]
 
 
 def scan(docs: DataFrame, ratio: Ratio, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

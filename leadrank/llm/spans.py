@@ -1,6 +1,7 @@
 """Marked spans of texts: arrays of (kind, start, end, base) in code points, end exclusive."""
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
@@ -24,8 +25,28 @@ def mark(docs: DataFrame, find: Callable[[str], Iterable[Span]], kinds: list[str
                        f"doc_id {docs.schema[doc_id].dataType.simpleString()}, spans {TYPE}")
 
 
-def overlaps(start: int, end: int, spans: Iterable[Span]) -> bool:
-    return any(start < e and s < end for s, _, e, _ in spans)
+class Taken:
+    """Places that spans cover; asking takes logarithmic time."""
+
+    def __init__(self, spans: Iterable[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, _, end, _ in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        """Take a place that overlaps none so far."""
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
 
 
 def redact(text: str, spans: Iterable[Span], mask: str) -> str:

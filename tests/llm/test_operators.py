@@ -109,6 +109,17 @@ def test_token_files_round_trip(spark, odd, tmp_path):
     assert token_orc.read(spark, path + "-none").count() == 0
 
 
+def test_encoding_by_words_equals_encoding_at_once():
+    rng = random.Random(11)
+    tok = tokens._tokenizer(tokens.VOCABULARY)
+    bits = [" ", "  ", "\n", "\n ", " \n", "\t", "\u00a0", "\u3000", "\x1f", "don't", "it's", "word", "Wörter,", "123", "...", "<|endoftext|>", "漢字", "🙂", "Ċ", "'", "a", "_b", "ab,", "ab,,", "é.", "1.", "a1!", "Äß?", "a.\nB", "\nB,"]
+    texts = ["".join(rng.choice(bits + [" "] * 12) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += [" ".join(rng.choice(bits[9:]) for _ in range(40)) for _ in range(500)] + ["", " ", "  ", " a", "a ", "\n"]
+    got = tokens.encode([t.encode() for t in texts])
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, 0], repr(text)
+
+
 # 3 ------------------------------------------------------------------------------------------------------------------
 
 def plain_simhash(text):
@@ -311,6 +322,22 @@ def test_base_personal_data():
     assert not pii.base_spans("9" * 5000 + ".1.1.1")
 
 
+def test_emails_equal_their_pattern():
+    rng = random.Random(3)
+    pattern = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    for _ in range(3000):
+        text = "".join(rng.choice("ab.-_@@ é+") for _ in range(rng.randint(0, 30)))
+        assert list(pii._emails(text)) == [m.span() for m in pattern.finditer(text)], text
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000 + " (x@", "1" * 300_000 + ".", "1." * 100_000, "a@" * 100_000, "+1" + " " * 300_000,
+                                  "password" + " " * 300_000, "at dot " * 40_000, "f" * 300_000])
+def test_long_runs_take_linear_time(text):
+    model = pii.Trees([np.zeros(0)] * len(pii.features("", "", "")), [], 0.0, np.zeros(0), np.zeros(0))
+    pii.find(text, model)
+    secret_scan.find(text, secret_scan.Ratio.of(np.zeros((68, 67)), np.zeros((68, 67))))
+
+
 def test_trees_accept_what_is_like_personal_data(odd, docs_of):
     rng = random.Random(2)
     texts = []
