@@ -58,22 +58,22 @@ def reasons(leads: DataFrame, sources: DataFrame, params: DataFrame,
     return leads.join(sources, "facility_id", "left").withColumns({
         "reason_industry": F.concat("industry", F.lit(" (NAICS "), "naics", F.lit(").")),
         "reason_dust":
-            F.when(F.col("dust_pts") == 1, "A serious OSHA citation that is not dust-related.")
-            .when(F.col("dust_pts") == 0, "No qualifying citations in the last 36 months.")
+            F.when(F.col("dust_pts") == 1, rules.REASONS["serious"])
+            .when(F.col("dust_pts") == 0, rules.REASONS["no citations"])
             .otherwise(F.concat(F.coalesce("source_text", F.concat(
                 "dust_reason", F.lit(", "), readable_date(F.col("evidence_date")))), dot)),
         "reason_recency":
             F.when(F.col("evidence_date").isNull(),
-                   "There is no dust-related evidence, so recency earns nothing.")
+                   rules.REASONS["no dust"])
             .when(window.isNotNull(), F.concat(
                 when, F.lit(", within "), window.cast("string"), F.lit(" months of the "),
                 readable_date(as_of), F.lit(" data cut.")))
             .otherwise(F.concat(when, F.lit(", older than 36 months."))),
         "reason_size":
-            F.when(F.col("employees").isNull(), "Site headcount isn't on record.")
-            .when(F.col("size_pts") == 2, F.concat(people, F.lit(". 20–500 is the core range.")))
-            .when(F.col("size_pts") == 1, F.concat(people, F.lit(", just outside the 20–500 core range.")))
-            .otherwise(F.concat(people, F.lit(", outside the 10–1,000 range."))),
+            F.when(F.col("employees").isNull(), rules.REASONS["no headcount"])
+            .when(F.col("size_pts") == 2, F.concat(people, F.lit(rules.REASONS["core size"])))
+            .when(F.col("size_pts") == 1, F.concat(people, F.lit(rules.REASONS["near size"])))
+            .otherwise(F.concat(people, F.lit(rules.REASONS["other size"]))),
         "reason_tri_air":
             F.when(F.col("release_lbs").isNull(),
                    f"No {reporting_year} EPA TRI metal air release matched to this site.")
@@ -111,13 +111,10 @@ def spotlight(explained: DataFrame) -> DataFrame:
 
 
 def lead_status(hold: Column, eligible: Column) -> Column:
-    review = "A person should review the record before anyone contacts this plant."
     return (F.when(hold == "contested citation",
-                   f"On hold: contested citation. {review} A contested citation is not a sales talking point.")
-            .when(hold.isNotNull(), F.concat(F.lit("On hold: "), hold, F.lit(f". {review}")))
-            .when(eligible, "Ready for outreach. Check the public OSHA record before contacting anyone.")
-            .otherwise("Not outreach-ready: the headcount or industry code is uncertain, "
-                       "or the facility match needs review."))
+                   f"On hold: contested citation. {rules.REVIEW} {rules.NO_TALKING_POINT}")
+            .when(hold.isNotNull(), F.concat(F.lit("On hold: "), hold, F.lit(f". {rules.REVIEW}")))
+            .when(eligible, rules.READY).otherwise(rules.NOT_READY))
 
 
 def why_label(tier: Column) -> Column:

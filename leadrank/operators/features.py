@@ -36,8 +36,9 @@ def param(params: DataFrame, name: str) -> Column:
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a one-row table as scalar subqueries (no join)."""
-    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
+    """Add the columns of a one-row table: one scalar subquery, computed once, and no join."""
+    one = one_row.select(F.struct(*one_row.columns).alias("_one")).scalar()
+    return df.withColumn("_one", one).select(*df.columns, *[F.col("_one")[c].alias(c) for c in one_row.columns])
 
 
 # ------------------------------------------------------------------- row tables

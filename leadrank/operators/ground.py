@@ -107,7 +107,7 @@ def format_issues(drafts: DataFrame, sign_off: str, word_limit: int = rules.WORD
     body = F.col("email_body")
     n = F.size(words(body))
     found = F.array(
-        F.when(body.contains("$"), F.lit("email_body: contains a dollar amount")),
+        F.when(body.contains("$"), F.lit(rules.ISSUES["dollar"])),
         F.when(n > word_limit, F.concat(F.lit("email_body: "), n.cast("string"),
                                         F.lit(f" words (limit {word_limit})"))),
         F.when(~F.right(body, F.lit(80)).contains(sign_off),
@@ -130,8 +130,8 @@ def issues(drafts: DataFrame, leads: DataFrame, inspections: DataFrame, citation
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     point = text("talking point ", F.col("point_no").cast("string"))
     sources = bad_sources(drafts, inspections).withColumn("issue", F.when(
-        F.col("inspection_id").isNull(), text(point, " cites no inspection ID"))
-        .otherwise(text(point, " cites unknown inspection ID ", F.col("inspection_id"))))
+        F.col("inspection_id").isNull(), text(point, rules.ISSUES["no source"]))
+        .otherwise(text(point, rules.ISSUES["unknown source"], F.col("inspection_id"))))
     numbers = ungrounded_numbers(fields, allowed_numbers(leads, inspections, citations, as_of)).withColumn(
         "issue", text(F.col("field"), ": number ", F.col("number"), " is not in the records"))
     counts = wrong_counts(fields, allowed_counts(leads, inspections, citations)).withColumn(

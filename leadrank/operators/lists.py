@@ -206,7 +206,7 @@ def located(leads: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ export rows
 def csv_columns(ranked: DataFrame) -> DataFrame:
-    """The 26 columns of the ranked lead file, in file order."""
+    """The 26 columns of the ranked lead file, in file order (fixed values)."""
     from .nested import public_lead
     return public_lead(ranked).select(
         "rank", "facility_id", "name", "city", "state", "zip5", "industry", "naics", "employees",
@@ -218,7 +218,7 @@ def csv_columns(ranked: DataFrame) -> DataFrame:
 
 
 def screen_rows(ranked: DataFrame) -> DataFrame:
-    """The 13 columns of the on-screen list export; needs `hold` and `stage`."""
+    """The 13 columns of the on-screen list export (fixed values); needs `hold` and `stage`."""
     from ..functions.text import literal_map
     status = (F.when(F.col("hold").isNotNull(), F.concat(F.lit("On hold: "), "hold"))
               .when(F.col("outreach_eligible"), "Ready").otherwise("Not ready"))

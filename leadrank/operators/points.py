@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import albers_xy
+from ..session import stage_table
 from .features import attach
 from .lists import located
 
@@ -21,6 +22,7 @@ def bounds(points: DataFrame) -> DataFrame:
 
 def fitted(points: DataFrame, width: float = 1000.0, pad: float = 10.0) -> DataFrame:
     """Positions in a box of the given width, y pointing down, and the box height."""
+    points = stage_table(points, "points")  # read for its bounds and for its rows
     span = lambda lo, hi: F.coalesce(F.nullif(F.col(hi) - F.col(lo), F.lit(0.0)), F.lit(1.0))
     box = bounds(points).withColumn("scale", F.lit(width - 2 * pad) / span("min_x", "max_x"))
     box = box.withColumn("height", F.floor(span("min_y", "max_y") * F.col("scale") + 2 * pad + 0.5))

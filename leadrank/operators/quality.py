@@ -13,22 +13,7 @@ from .. import rules
 from ..functions.text import starts_with_any
 from .features import attach, param
 
-CHECKS = (
-    "inspection IDs are unique",
-    "every inspection maps to exactly one facility",
-    "every citation belongs to a loaded inspection",
-    "withdrawn citations are excluded",
-    "every cited standard was classified",
-    "facilities are in the territory and target industries",
-    "inspection dates are inside the load window",
-    "site headcounts are 1-4,999 or missing",
-    "every facility has exactly one score",
-    "scores are 0-12 and equal the sum of their parts",
-    "tiers match the score cutoffs",
-    "held or low-confidence leads are never outreach-eligible",
-    "every Hot lead has cited dust evidence",
-    "TRI points require a matched positive metal air release",
-)
+CHECKS = rules.CHECKS
 
 
 def _row(name: str, df: DataFrame, bad: Column, detail: Column) -> DataFrame:
@@ -106,14 +91,14 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
     kept = viol.groupBy(*key).agg(F.count(F.lit(1)).alias("k"))
     drawn = t["withdrawn"].groupBy(*key).agg(F.count(F.lit(1)).alias("w"))
     pairs = kept.join(drawn, key).agg(F.sum(F.col("k") * F.col("w")).alias("bad"))
-    add(CHECKS[3], pairs, F.col("bad"), F.lit("0 withdrawn citations kept"))
+    add(CHECKS[3], pairs, F.col("bad"), F.lit(rules.CHECK_NOTES["withdrawn"]))
 
     unclassified = attach(_bad(missing_keys(viol, t["standard_lookup"], "standard")),
                           _count(t["standard_lookup"]))
     add(CHECKS[4], unclassified, F.col("bad"), F.concat(_thousands(F.col("n")), F.lit(" distinct standards")))
 
     add(CHECKS[8], _bad(not_exactly_one(fac, scores, "facility_id")), F.col("bad"),
-        F.lit("1 score per facility"))
+        F.lit(rules.CHECK_NOTES["scores"]))
 
     parts = reduce(lambda a, b: a + b, [F.col(f"{p}_pts") for p in
                                         ("industry", "dust", "recency", "size", "tri_air")])
@@ -127,13 +112,13 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
         F.count_if(F.col("outreach_eligible") & (held | (F.col("confidence") == "Low")
                                                  | (F.col("tier") == rules.ARCHIVE))).alias("eligible"),
         F.count_if(held).alias("held"))
-    add(CHECKS[9], s, F.col("sums"), F.lit("all totals consistent"))
-    add(CHECKS[10], s, F.col("tiers"), F.lit("Hot 8-12, Warm 5-7, Archive 0-4 or no dust evidence"))
+    add(CHECKS[9], s, F.col("sums"), F.lit(rules.CHECK_NOTES["sums"]))
+    add(CHECKS[10], s, F.col("tiers"), F.lit(rules.CHECK_NOTES["tiers"]))
     add(CHECKS[11], s, F.col("eligible"), F.concat(_thousands(F.col("held")), F.lit(" leads on hold")))
 
     backed = t["evidence"].filter(F.col("category").isin(rules.DUST, rules.ADJACENT)).select("facility_id")
     bare = scores.filter(F.col("tier") == rules.HOT).select("facility_id").join(backed, "facility_id", "left_anti")
-    add(CHECKS[12], _count(bare, "bad"), F.col("bad"), F.lit("all Hot leads backed by records"))
+    add(CHECKS[12], _count(bare, "bad"), F.col("bad"), F.lit(rules.CHECK_NOTES["backed"]))
 
     # scores and signals both hold one row per entity, so a grouping of the signals is enough
     positive = (t["signals"].groupBy("facility_id").agg(F.max("release_lbs").alias("_lbs")))

@@ -55,10 +55,8 @@ def dust_level(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "dust_pts": F.when(dust, 3).when(adjacent, 2).when(F.col("serious"), 1).otherwise(0),
         "evidence_date": F.coalesce("dust_date", "adjacent_date"),
-        "dust_reason": F.when(dust, "dust-specific citation")
-                        .when(adjacent, "dust-related citation or dust-program inspection")
-                        .when(F.col("serious"), "serious citation, not dust-related")
-                        .otherwise("no citations in the last 36 months"),
+        "dust_reason": F.when(dust, rules.DUST_REASONS[0]).when(adjacent, rules.DUST_REASONS[1])
+                        .when(F.col("serious"), rules.DUST_REASONS[2]).otherwise(rules.DUST_REASONS[3]),
     })
 
 

@@ -277,6 +277,59 @@ ISSUE_KINDS = (
     ("words (limit", "email too long"),
     ("sign-off", "missing sign-off"),
 )
+# Data checks, in report order.
+CHECKS = (
+    "inspection IDs are unique",
+    "every inspection maps to exactly one facility",
+    "every citation belongs to a loaded inspection",
+    "withdrawn citations are excluded",
+    "every cited standard was classified",
+    "facilities are in the territory and target industries",
+    "inspection dates are inside the load window",
+    "site headcounts are 1-4,999 or missing",
+    "every facility has exactly one score",
+    "scores are 0-12 and equal the sum of their parts",
+    "tiers match the score cutoffs",
+    "held or low-confidence leads are never outreach-eligible",
+    "every Hot lead has cited dust evidence",
+    "TRI points require a matched positive metal air release",
+)
+# What a passed check reports where the text is whole.
+CHECK_NOTES = {
+    "withdrawn": "0 withdrawn citations kept",
+    "scores": "1 score per facility",
+    "sums": "all totals consistent",
+    "tiers": "Hot 8-12, Warm 5-7, Archive 0-4 or no dust evidence",
+    "backed": "all Hot leads backed by records",
+}
+# Evidence levels 3, 2, 1, 0.
+DUST_REASONS = (
+    "dust-specific citation",
+    "dust-related citation or dust-program inspection",
+    "serious citation, not dust-related",
+    "no citations in the last 36 months",
+)
+# Reasons of a score that hold no values.
+REASONS = {
+    "serious": "A serious OSHA citation that is not dust-related.",
+    "no citations": "No qualifying citations in the last 36 months.",
+    "no dust": "There is no dust-related evidence, so recency earns nothing.",
+    "no headcount": "Site headcount isn't on record.",
+    "core size": ". 20–500 is the core range.",
+    "near size": ", just outside the 20–500 core range.",
+    "other size": ", outside the 10–1,000 range.",
+}
+# Status lines of a lead.
+REVIEW = "A person should review the record before anyone contacts this plant."
+NO_TALKING_POINT = "A contested citation is not a sales talking point."
+READY = "Ready for outreach. Check the public OSHA record before contacting anyone."
+NOT_READY = "Not outreach-ready: the headcount or industry code is uncertain, or the facility match needs review."
+# Issue texts of drafts.
+ISSUES = {
+    "no source": " cites no inspection ID",
+    "unknown source": " cites unknown inspection ID ",
+    "dollar": "email_body: contains a dollar amount",
+}
 # ------------------------------------------------------------ end fixed values
 
 
