@@ -406,29 +406,29 @@ _STATES25 = [f"S{i:02d}" for i in range(25)]
 _EXPECTED_TIER = "CASE WHEN dust_pts > 0 AND total > 7 THEN 'Hot' WHEN dust_pts > 0 AND total > 4 THEN 'Warm' ELSE 'Archive' END"
 
 
-def _check_sql(since: str = "1996-01-01") -> str:
-    """Clauses that count bad rows table by table; `counted` has one row per check."""
+def _check_sql(since: str = "1996-01-01", of: str = "") -> str:
+    """Clauses that count bad rows table by table; `counted` has one row per check. `of`: prefix of the tables' names."""
     known = ", ".join(map(o.q, _STATES25))
     target = " OR ".join(f"starts_with(naics, {o.q(x)})" for x in rules.DEFAULT_RULES.prefixes)
     return f"""
-per_record AS (SELECT activity_nr, count(*) AS n FROM insp GROUP BY activity_nr),
-per_lead AS (SELECT facility_id, count(*) AS n FROM scores GROUP BY facility_id),
-c_insp AS (SELECT count_if(open_date < DATE '{since}' OR open_date > as_of) AS dates, count_if(employees < 1 OR employees > 4999) AS heads FROM insp, params),
+per_record AS (SELECT activity_nr, count(*) AS n FROM {of}insp GROUP BY activity_nr),
+per_lead AS (SELECT facility_id, count(*) AS n FROM {of}scores GROUP BY facility_id),
+c_insp AS (SELECT count_if(open_date < DATE '{since}' OR open_date > as_of) AS dates, count_if(employees < 1 OR employees > 4999) AS heads FROM {of}insp, params),
 c_record AS (SELECT sum(n - 1) AS twice, sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS mapped FROM per_record),
 c_viol AS (SELECT
-  (SELECT count(*) FROM viol ANTI JOIN insp USING (activity_nr)) AS orphans,
-  (SELECT count(*) FROM viol JOIN withdrawn USING (activity_nr, citation_id, standard)) AS back,
-  (SELECT count(standard) FROM viol ANTI JOIN lookup USING (standard)) AS unread),
+  (SELECT count(*) FROM {of}viol ANTI JOIN {of}insp USING (activity_nr)) AS orphans,
+  (SELECT count(*) FROM {of}viol JOIN {of}withdrawn USING (activity_nr, citation_id, standard)) AS back,
+  (SELECT count(standard) FROM {of}viol ANTI JOIN {of}lookup USING (standard)) AS unread),
 c_lead AS (SELECT count_if(state NOT IN ({known}) OR NOT ({target})) AS outside, count_if(coalesce(n, 0) <> 1) AS scored
-  FROM facilities LEFT JOIN per_lead USING (facility_id)),
-backed AS (SELECT DISTINCT facility_id FROM evidence WHERE category <> 'other'),
-given AS (SELECT facility_id, max(CASE WHEN release_lbs > 0 THEN 1 ELSE 0 END) AS due FROM signals GROUP BY facility_id),
+  FROM {of}facilities LEFT JOIN per_lead USING (facility_id)),
+backed AS (SELECT DISTINCT facility_id FROM {of}evidence WHERE category <> 'other'),
+given AS (SELECT facility_id, max(CASE WHEN release_lbs > 0 THEN 1 ELSE 0 END) AS due FROM {of}signals GROUP BY facility_id),
 c_score AS (SELECT
     count_if(total < 0 OR total > 12 OR total - industry_pts - dust_pts - recency_pts - size_pts - tri_air_pts <> 0) AS sums,
     count_if(tier <> {_EXPECTED_TIER}) AS tiers,
     count_if(outreach_eligible AND (tier = 'Archive' OR confidence = 'Low' OR hold_reason IS NOT NULL)) AS offers,
     count_if(tier = 'Hot' AND backed.facility_id IS NULL) AS bare, count_if(tri_air_pts <> coalesce(due, 0)) AS air
-  FROM scores LEFT JOIN backed USING (facility_id) LEFT JOIN given USING (facility_id)),
+  FROM {of}scores LEFT JOIN backed USING (facility_id) LEFT JOIN given USING (facility_id)),
 counted AS (
   SELECT unnest(bad)::BIGINT AS bad_rows, generate_subscripts(bad, 1) AS check_no FROM (
     SELECT [twice, mapped, orphans, back, unread, outside, dates, heads, scored, sums, tiers, offers, bare, air] AS bad
@@ -449,6 +449,53 @@ def _gate_tables(t: StarTables) -> dict[str, DataFrame]:
               "scores": stage_table(t.scores, "scores"), "evidence": stage_table(t.evidence, "evidence"), "signals": t.signals, "run_params": t.params}
 
 
+#: Faults for each check: what rows of a table are changed to (`*`: a list of columns with new values), or repeated by.
+_FAULTS = {
+    "insp": {"twice": "activity_nr % 97 = 0", "open_date": "CASE WHEN activity_nr % 89 = 0 THEN DATE '1990-01-01' ELSE open_date END",
+             "employees": "CASE WHEN activity_nr % 83 = 0 THEN 0 ELSE employees END"},
+    "viol": {"activity_nr": "CASE WHEN activity_nr % 79 = 0 THEN -activity_nr ELSE activity_nr END",
+             "standard": "CASE WHEN activity_nr % 71 = 0 THEN 'unseen' ELSE standard END"},
+    "facilities": {"state": "CASE WHEN length(facility_id) = 3 THEN 'ZZ' ELSE state END"},
+    "scores": {"twice": "employees % 61 = 0", "total": "CASE WHEN employees % 59 = 0 THEN total + 20 ELSE total END",
+               "tier": "CASE WHEN employees % 53 = 0 THEN 'Archive' WHEN employees % 47 = 0 THEN 'Hot' ELSE tier END",
+               "outreach_eligible": "outreach_eligible OR employees % 43 = 0",
+               "tri_air_pts": "CASE WHEN employees % 41 = 0 THEN 1 - tri_air_pts ELSE tri_air_pts END"},
+}
+
+
+def _faulty(name: str, columns: list[str]) -> tuple[list[str], str]:
+    """Select list and condition for repeated rows of a faulty table."""
+    faults = dict(_FAULTS[name])
+    again = faults.pop("twice", "1 = 0")
+    return [f"{faults[c]} AS {c}" if c in faults else c for c in columns], again
+
+
+def _fault_ctes() -> str:
+    out = []
+    for name, faults in _FAULTS.items():
+        changes = ", ".join(f"{e} AS {c}" for c, e in faults.items() if c != "twice")
+        out.append(f"bad_{name} AS (SELECT * REPLACE ({changes}) FROM (FROM {name} UNION ALL FROM {name} WHERE {faults.get('twice', '1 = 0')}))")
+    out.append("bad_withdrawn AS (SELECT activity_nr, citation_id, standard FROM withdrawn UNION ALL SELECT activity_nr, citation_id, standard FROM viol WHERE activity_nr % 67 = 0)")
+    out += ["bad_lookup AS (FROM lookup)", "bad_signals AS (FROM signals)", "bad_evidence AS (FROM evidence WHERE activity_nr % 3 > 0)"]
+    return ",\n".join(out)
+
+
+@query("q_checks_failing", o.check("SELECT check_no, name AS check_name, bad_rows, bad_rows = 0 AS passed FROM counted "
+                                   f"JOIN (VALUES {o.values(list(enumerate(quality.CHECKS, 1)))}) c(no, name) ON check_no = no",
+                                   _fault_ctes() + ",\n" + _check_sql(of="bad_")))
+def checks_failing(t: StarTables) -> DataFrame:
+    """The gate over tables with faults for every check."""
+    tables = _gate_tables(t)
+    for name, key in (("insp", "inspections"), ("viol", "violations"), ("facilities", "facilities"), ("scores", "scores")):
+        plain = tables[key]
+        columns, again = _faulty(name, plain.columns)
+        tables[key] = stage_table(plain.unionByName(plain.filter(again)).selectExpr(*columns), f"faulty-{name}")
+    tables["facility_map"] = tables["inspections"].select("activity_nr", "facility_id")
+    tables["withdrawn"] = t.withdrawn.unionByName(t.violations.filter("activity_nr % 67 = 0").select(*t.withdrawn.columns))
+    tables["evidence"] = tables["evidence"].filter("activity_nr % 3 > 0")
+    return quality.run_checks(tables, _STATES25, "1996-01-01").select("check_no", "check_name", "bad_rows", "passed")
+
+
 @query("q_duplicate_ids", """SELECT (SELECT count(*) FROM lineitem) AS n, (SELECT count(*) FROM
   (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS distinct_ids""")
 def duplicate_ids(t: StarTables) -> DataFrame:
