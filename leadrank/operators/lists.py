@@ -196,10 +196,6 @@ def dimension_values(leads: DataFrame, key: str) -> DataFrame:
     return leads.select(key).distinct().orderBy(key)
 
 
-def newest_evidence(leads: DataFrame) -> DataFrame:
-    return leads.agg(F.max("evidence_date").alias("newest_evidence"))
-
-
 def located(leads: DataFrame) -> DataFrame:
     return leads.dropna(subset=["lat", "lon"])
 
