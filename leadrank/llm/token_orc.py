@@ -54,5 +54,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.orc(path)
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))  # one row per file
     before = F.coalesce(F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return (rows.join(totals.select("part", before.alias("_before")), "part")
+    places = totals.select("part", before.alias("_before"))
+    return (rows.join(F.broadcast(places), "part")  # one row per file
             .select("doc_id", (F.col("_before") + F.col("part_start")).alias("start"), "n_tokens", "ids"))

@@ -1,19 +1,28 @@
-"""Whole texts to token ids with a public vocabulary file."""
+"""Whole texts to token ids with a public vocabulary file.
+
+The byte-level pattern starts a new piece at every blank that follows a character other than white space, and no piece
+depends on what comes before it. So a text without white space before a blank is the sum of its blank-separated words,
+and each different word is encoded once and remembered. Other texts are encoded as they are.
+"""
 from __future__ import annotations
 
 import functools
 import os
+import re
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
-
-from .common import map_batches, utf8
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0  # id that closes each document
-#: Bytes of text that are encoded at once, so that memory follows this and the longest text.
+#: Bytes of text that are taken at once, so that memory follows this and the longest text.
 GROUP_BYTES = 4_000_000
+#: Words that a Python worker remembers before it starts afresh, and words that are encoded in one call.
+WORDS_KEPT, WORDS_AT_ONCE = 600_000, 1000
+#: Longer words are encoded by themselves and forgotten at once.
+LONG_WORD = 100
+_MARKS = frozenset(",.;:!?")
+_LETTERS_BELOW = "\u0250"  # letters that every version of Unicode calls so
+_BOUND_BLANK = re.compile(r"\s ")
 
 
 @functools.lru_cache(maxsize=4)
@@ -27,28 +36,84 @@ def _tokenizer(vocabulary: str):
     return tokenizer
 
 
+def _direct(tokenizer, texts: list[str]) -> list[bytes]:
+    return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+@functools.lru_cache(maxsize=8)
+def _known(vocabulary: str, blank: str) -> dict[str, bytes]:
+    """Ids of words seen so far, each with `blank` before it."""
+    return {}
+
+
+def _learn(tokenizer, known: dict[str, bytes], words: set[str], blank: str, first: dict[str, bytes]) -> None:
+    """Encode new words in a few long texts, one a line.
+
+    Two rules keep the number of different words low: a mark that ends a word of plain letters is a piece of its own,
+    and so is a single line break between words, after which a piece starts as at the start of a text (`first`).
+    """
+    line = tokenizer.encode("\n", add_special_tokens=False).ids
+    alone = [w for w in words if len(w) > LONG_WORD or len(line) != 1]
+    known.update(zip(alone, _direct(tokenizer, [blank + w for w in alone])))
+    words = words.difference(alone)
+    broken = {w: w.split("\n") for w in words if "\n" in w}
+    broken = {w: lines for w, lines in broken.items() if w.split() == lines}
+    if broken:
+        words = words.difference(broken) | {lines[0] for lines in broken.values()}.difference(known)
+        tails = {t for lines in broken.values() for t in lines[1:]}.difference(first)
+        _learn(tokenizer, first, tails, "", first)
+    ended = {w for w in words if w[-1:] in _MARKS and w[:-1].isalpha() and max(w) < _LETTERS_BELOW}
+    words = (words - ended) | {w[:-1] for w in ended}.difference(known)
+    plain = [w for w in words if w.split() == [w]]
+    blocks = [plain[i:i + WORDS_AT_ONCE] for i in range(0, len(plain), WORDS_AT_ONCE)]
+    texts = ["\n".join(blank + w for w in block) for block in blocks]
+    for block, found in zip(blocks, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        ids = np.array(found.ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == line[0]), len(ids)).tolist()
+        data, at = ids.tobytes(), 0
+        for word, end in zip(block, ends, strict=True):
+            known[word] = data[4 * at:4 * end]
+            at = end + 1
+    odd = list(words.difference(plain))
+    known.update(zip(odd, _direct(tokenizer, [blank + w for w in odd])))
+    marks = dict(zip(_MARKS, _direct(tokenizer, list(_MARKS))))
+    known.update((w, known[w[:-1]] + marks[w[-1]]) for w in ended)
+    feed = np.array(line, "<u4").tobytes()
+    known.update((w, feed.join([known[lines[0]], *(first[t] for t in lines[1:])])) for w, lines in broken.items())
+
+
 def encode(texts: list[bytes], vocabulary: str = VOCABULARY, end: int = END) -> list[np.ndarray]:
     """Ids of each text as little-endian uint32, closed by `end`."""
     tokenizer, out, at = _tokenizer(vocabulary), [], 0
+    by_words = "ByteLevel" in str(tokenizer.pre_tokenizer)
+    first, later = _known(vocabulary, ""), _known(vocabulary, " ")
+    last = np.array([end], "<u4").tobytes()
     while at < len(texts):
         stop, size = at, 0
         while stop < len(texts) and (stop == at or size + len(texts[stop]) <= GROUP_BYTES):
             size += len(texts[stop])
             stop += 1
-        for found in tokenizer.encode_batch_fast([t.decode() for t in texts[at:stop]], add_special_tokens=False):
-            out.append(np.array([*found.ids, end], dtype="<u4"))
+        group = [t.decode() for t in texts[at:stop]]
+        whole = [i for i, t in enumerate(group) if not by_words or _BOUND_BLANK.search(t)]
+        encoded = dict(zip(whole, _direct(tokenizer, [group[i] for i in whole])))
+        parts = {i: t.split(" ") for i, t in enumerate(group) if i not in encoded}
+        long: list[tuple[dict[str, bytes], str]] = []
+        for known, blank, words_of in ((first, "", lambda words: words[:1]), (later, " ", lambda words: words[1:])):
+            if len(known) > WORDS_KEPT:
+                known.clear()
+            new: set[str] = set()
+            for words in parts.values():
+                new |= set(words_of(words)).difference(known)
+            _learn(tokenizer, known, new, blank, first)
+            long += [(known, w) for w in new if len(w) > LONG_WORD]
+        for i in range(len(group)):
+            if i in encoded:
+                ids = [encoded[i]]
+            else:
+                words = parts[i]
+                ids = [first[words[0]], *map(later.__getitem__, words[1:])]
+            out.append(np.frombuffer(b"".join([*ids, last]), "<u4"))
+        for known, word in long:
+            del known[word]
         at = stop
     return out
-
-
-def token_arrays(docs: DataFrame, keep: list[str], text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """The columns `keep`, n_tokens and ids (array of int) of every document; a null text is an empty one."""
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = encode(utf8(batch.column(batch.num_columns - 1)), vocabulary)
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype("i4")
-        ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found).astype("i4")))
-        counts = pa.array(np.diff(bounds).astype("i8"))
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], counts, ids], [*keep, "n_tokens", "ids"])
-
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return map_batches(docs.select(*keep, text), work, f"{kinds}, n_tokens bigint, ids array<int>")

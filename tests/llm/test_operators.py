@@ -114,7 +114,7 @@ def test_encoding_by_words_equals_encoding_at_once():
     tok = tokens._tokenizer(tokens.VOCABULARY)
     bits = [" ", "  ", "\n", "\n ", " \n", "\t", "\u00a0", "\u3000", "\x1f", "don't", "it's", "word", "Wörter,", "123", "...", "<|endoftext|>", "漢字", "🙂", "Ċ", "'", "a", "_b", "ab,", "ab,,", "é.", "1.", "a1!", "Äß?", "a.\nB", "\nB,"]
     texts = ["".join(rng.choice(bits + [" "] * 12) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
-    texts += [" ".join(rng.choice(bits[9:]) for _ in range(40)) for _ in range(500)] + ["", " ", "  ", " a", "a ", "\n"]
+    texts += [" ".join(rng.choice(bits[9:]) for _ in range(40)) for _ in range(500)] + ["x" * 5000 + ", " + "y.\n" * 3000 + "z é" + "ß" * 101] + ["", " ", "  ", " a", "a ", "\n"]
     got = tokens.encode([t.encode() for t in texts])
     for text, ids in zip(texts, got):
         assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, 0], repr(text)
