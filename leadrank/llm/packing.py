@@ -10,8 +10,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -123,6 +122,13 @@ def pack_partition(rows: pd.DataFrame, *, capacity: int, last: bool) -> pd.DataF
     return pd.DataFrame({"key": rows.key, "part": rows.part, "bin": bin_of, "offset": offset, "open": pooled[bin_of]})
 
 
+def _packer(capacity: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def pack_one(rows: pd.DataFrame) -> pd.DataFrame:
+        return pack_partition(rows, capacity=capacity, last=last)
+
+    return pack_one
+
+
 def plan(lengths: DataFrame, capacity: int = CAPACITY, pieces_at_once: int = PIECES_AT_ONCE) -> DataFrame:
     """(key, sequence_id, offset) for (key, length) with lengths from 1 to `capacity`. `lengths` must be stored."""
     full = lengths.filter(F.col("length") == capacity)
@@ -133,7 +139,7 @@ def plan(lengths: DataFrame, capacity: int = CAPACITY, pieces_at_once: int = PIE
         last = parts == 1
         dealt = pool.select("key", "length", F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(parts)).alias("part"))
         packed = stage_table(dealt.groupBy("part").applyInPandas(
-            partial(pack_partition, capacity=capacity, last=last),
+            _packer(capacity, last),
             "key bigint, part bigint, bin bigint, offset bigint, open boolean"), f"packed-{turn}")
         # ids of different rounds and partitions differ; full pieces have the ids from 0 on
         number = -(F.lit(turn) * F.lit(1 << 56) + F.col("part") * F.lit(1 << 32) + F.col("bin"))
