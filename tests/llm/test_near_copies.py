@@ -1,0 +1,66 @@
+"""Near copies against all pairs, and the stage on what a fingerprint misses."""
+import random
+
+import pytest
+
+import corpus_pipeline
+from leadrank.llm import near_copies, simhash
+
+from .test_operators import ODD, clash, plain_components, plain_simhash, prose
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plain_set(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def plain_groups(texts):
+    sets, root = [plain_set(t) for t in texts], list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if root[i] != root[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    return root
+
+
+def replaced(text, share, seed):
+    """Every so many words another one."""
+    words, rng = text.split(), random.Random(seed)
+    for i in range(rng.randrange(share), len(words), share):
+        words[i] = f"new{seed}x{i}"
+    return " ".join(words)
+
+
+def family(n):
+    """Near copies of each other or of a neighbour, with a line that all texts share."""
+    line, out = prose(999, 30), [None, "", "x", "x", "a b c d", "A b  c d", prose(1, 5000)]
+    for seed in range(n):
+        base = prose(seed, 150 + 7 * seed) + " " + line
+        out += [base, base, base.upper(), replaced(base, 12, seed), replaced(base, 30, seed), replaced(base, 45, seed),
+                replaced(base, 60, seed), replaced(replaced(base, 60, seed), 55, seed + 1), base + " " + prose(seed + 500, 40)]
+    return out
+
+
+@pytest.mark.parametrize("common", [1, 3, 1000])
+def test_groups_equal_all_pairs(spark, docs_of, monkeypatch, common):
+    monkeypatch.setattr(near_copies, "COMMON", common)
+    texts = family(8)
+    docs = docs_of(list(enumerate(texts))).withColumnRenamed("n_chars", "other").selectExpr("*", "doc_id * 3 AS row")
+    got = {r.doc_id: r.component for r in near_copies.groups(docs, "row").collect()}
+    want = plain_groups(texts)
+    first = {}
+    for i, c in sorted(got.items()):
+        first.setdefault(c, i)
+    assert [first[got[i]] for i in range(len(texts))] == want
+    assert 8 < len(set(want)) < len(texts)
+
+
+def test_stage_drops_what_fingerprints_miss(spark, docs_of):
+    texts = [prose(1, 300), replaced(prose(1, 300), 50, 1), replaced(prose(1, 300), 15, 2), prose(3, 300)]
+    similar = [len(plain_set(texts[0]) & plain_set(t)) / len(plain_set(texts[0]) | plain_set(t)) for t in texts]
+    apart = [(plain_simhash(texts[0]) ^ plain_simhash(t)).bit_count() for t in texts]
+    assert 0.8 <= similar[1] < 0.9 and apart[1] > simhash.RADIUS and similar[2] < 0.8
+    kept = corpus_pipeline.simhash_near_dedup(spark, clash(docs_of(list(enumerate(texts)))), SMALL).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2, 3]
