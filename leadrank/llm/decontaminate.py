@@ -5,6 +5,10 @@ place where it occurs, on diagonals (place in the document minus place in the pa
 Diagonal bands of width 2 (e + 1) that overlap by half hold every such span. So a document is only compared with a
 passage where one band has enough different q-grams of it, and there the edit distance is computed on that band.
 
+Parts of a passage count as well: every run of SHORT + STEP - 1 normalised bytes of an item, 59 (some 13 words of 4.5 bytes
+with their blank), holds a whole window of SHORT bytes, so a document with that run, as it stands, is always found. Shorter
+runs may be; with edits a window is found within its own budget.
+
 The benchmark is cut into windows and worked off in blocks of bounded size, so what is broadcast does not grow with
 it; every document is read once per block.
 """
@@ -22,10 +26,14 @@ from .common import slices, utf8
 Q = 10
 #: Edits per character of a window that still count as the same passage.
 EDIT_RATE = 0.08
-#: Longer items are looked for by windows of so many bytes, each half over the one before; any window is a hit.
+#: Longer items are looked for by windows of so many bytes, each half over the one before, and parts of all items by
+#: short windows; any window is a hit.
 WINDOW = 200
-#: Bytes of normalised benchmark text in one broadcast block.
-BLOCK_BYTES = 4_000_000
+#: Windows for parts of items: bytes, and bytes from one to the next.
+SHORT = 48
+STEP = 12
+#: Bytes of normalised benchmark text in one broadcast block; each is in some five windows.
+BLOCK_BYTES = 1_000_000
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 #: Odd multiplier of the rolling q-gram code.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -56,10 +64,13 @@ def edit_budget(length: int, q: int = Q, rate: float = EDIT_RATE) -> int:
 
 
 def windows(length: int, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Cuts of an item; the last window ends with the item."""
-    if length <= window:
-        return [(0, length)]
-    return [(s, s + window) for s in [*range(0, length - window, window // 2), length - window]]
+    """Cuts of an item, the long ones first; of each length the last window ends with the item."""
+    def cuts(size: int, step: int) -> list[tuple[int, int]]:
+        if length <= size:
+            return [(0, length)]
+        return [(s, s + size) for s in [*range(0, length - size, step), length - size]]
+
+    return list(dict.fromkeys(cuts(window, window // 2) + cuts(min(SHORT, window), STEP)))
 
 
 @dataclass
@@ -67,6 +78,7 @@ class Index:
     """Windows of a block of benchmark items, with the places of each q-gram."""
     items: list
     texts: list[bytes]
+    part: list[bool]  # a short window for a part of its item
     budget: np.ndarray
     need: np.ndarray
     codes: np.ndarray  # sorted, different
@@ -78,12 +90,13 @@ class Index:
 
     @staticmethod
     def of(items: list[tuple[object, bytes]], q: int, rate: float, window: int) -> Index:
-        names, texts = [], []
+        names, texts, part = [], [], []
         for name, text in items:
             for lo, hi in windows(len(text), window):
                 if hi - lo >= q:
                     names.append(name)
                     texts.append(text[lo:hi])
+                    part.append(hi - lo < min(window, len(text)))
         budget = np.array([edit_budget(len(t), q, rate) for t in texts], np.int64)
         need = np.array([len(t) - q + 1 for t in texts], np.int64) - q * budget
         grams = [gram_codes(t, q) for t in texts]
@@ -92,13 +105,16 @@ class Index:
         codes, first = np.unique(code[order], return_index=True)
         maybe = np.zeros(1 << _FILTER_BITS, bool)
         maybe[(codes & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-        return Index(names, texts, budget, need, codes, np.append(first, len(code)),
+        return Index(names, texts, part, budget, need, codes, np.append(first, len(code)),
                      np.repeat(np.arange(len(texts)), [len(g) for g in grams])[order],
                      np.concatenate([*(np.arange(len(g)) for g in grams), np.empty(0, np.int64)])[order],
                      max(map(len, texts), default=0), maybe)
 
     def hits(self, text: bytes, q: int) -> Iterator[tuple[int, int, int, int]]:
-        """(window, start, end, edits) of windows that occur in `text`, by band, until their item is found without edits."""
+        """(window, start, end, edits) of windows that occur in `text`, by band, until their item is found without edits.
+
+        Short windows only if no long one of their item occurs.
+        """
         if not self.texts:
             return
         code = gram_codes(text, q)
@@ -135,16 +151,18 @@ class Index:
         group = key[np.append(True, key[1:] != key[:-1])] // long
         begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         shared = np.diff(np.append(begin, len(group)))
-        group, whole = group[begin], set()
+        group, whole, long_found = group[begin], set(), set()
         for i in np.flatnonzero(shared >= self.need[group // wide]):
             w, b = int(group[i] // wide), int(group[i] % wide) + low
-            if self.items[w] in whole:
+            if self.items[w] in whole or self.part[w] and self.items[w] in long_found:
                 continue
             pattern, e = self.texts[w], int(self.budget[w])
             low_d, high_d = b * (e + 1) - e, (b + 2) * (e + 1) + e
             exact = text.find(pattern, max(0, low_d), max(0, high_d) + len(pattern))
             edits, end = (0, exact + len(pattern)) if exact >= 0 else banded_distance(pattern, text, low_d, high_d)
             if edits <= e:
+                if not self.part[w]:
+                    long_found.add(self.items[w])
                 yield w, max(0, end - len(pattern)), end, edits
             if edits == 0:
                 whole.add(self.items[w])  # no place of this item can be better
@@ -190,7 +208,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                  window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, start, end, edits): one row per document and item found in it, at its best place.
 
-    Places count bytes of the normalised text. An item shorter than q normalised bytes cannot be told from chance and
+    Places count bytes of the normalised text; of an item of which only a part is found, they are those of the best short
+    window. An item shorter than q normalised bytes cannot be told from chance and
     is never found; null texts hold nothing; repeated documents or items give repeated rows; of equally good places
     the first counts. An empty benchmark or table gives no rows.
     """
