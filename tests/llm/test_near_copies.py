@@ -64,3 +64,11 @@ def test_stage_drops_what_fingerprints_miss(spark, docs_of):
     assert 0.8 <= similar[1] < 0.9 and apart[1] > simhash.RADIUS and similar[2] < 0.8
     kept = corpus_pipeline.simhash_near_dedup(spark, clash(docs_of(list(enumerate(texts)))), SMALL).collect()
     assert sorted(r.doc_id for r in kept) == [0, 2, 3]
+
+
+def test_stage_keeps_different_texts_under_one_id(spark, docs_of):
+    rows = [(1, prose(1, 90)), (1, prose(2, 90)), (0, prose(1, 90)), (0, prose(1, 90)), (2, prose(2, 90)), (None, "no id")]
+    for order in (rows, rows[::-1]):
+        kept = corpus_pipeline.simhash_near_dedup(spark, clash(docs_of(order)).repartition(3), SMALL).collect()
+        assert sorted((r.doc_id, r.text) for r in kept if r.doc_id is not None) == [(0, prose(1, 90)), (1, prose(2, 90))]
+        assert len(kept) == 3
