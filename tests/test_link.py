@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from leadrank.operators import link
+from leadrank.operators import components, link
 from leadrank.operators.components import connected_components
 
 SCHEMA = "record_id string, name string, address string, zip string, state string"
@@ -108,3 +108,44 @@ def test_components_chain_and_star(spark):
     got = {r.vertex: r.root for r in connected_components(spark.createDataFrame(edges, "src string, dst string")).collect()}
     assert got == {**{f"c{i:03}": "c000" for i in range(1, 91)}, **{f"t{i}": "s" for i in range(50)}}
     assert connected_components(spark.createDataFrame([], "src string, dst string")).count() == 0
+
+
+def plain_roots(edges):
+    root = {v: v for e in edges for v in e}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {v: find(v) for v in root if find(v) != v}
+
+
+CHAIN = [(i, i + 1) for i in range(3000)]
+STAR = [(7000, i) for i in range(3000)] + [(i, 7000) for i in range(50)] + [(5, 5)]
+SCATTERED = [(random.Random(i).randrange(900), random.Random(-i).randrange(900)) for i in range(700)]
+
+
+@pytest.mark.parametrize("edges", [CHAIN, STAR, SCATTERED, [], [(4, 4)]])
+@pytest.mark.parametrize("rest", [0, components.REST])
+def test_roots_by_contraction(spark, monkeypatch, edges, rest):
+    monkeypatch.setattr(components, "EDGES_AT_ONCE", 100)
+    frame = spark.createDataFrame(edges + [(None, 1)], "src bigint, dst bigint").repartition(4)
+    got = {r.vertex: r.root for r in connected_components(frame, rest).collect()}
+    assert got == plain_roots(edges)
+
+
+def test_roots_of_names(spark):
+    edges = [(f"näme {a}", f"näme {b}") for a, b in SCATTERED]
+    got = connected_components(spark.createDataFrame(edges, "src string, dst string"), 100).collect()
+    assert {r.vertex: r.root for r in got} == plain_roots(edges)
+
+
+@pytest.mark.parametrize("edges", [CHAIN, STAR, SCATTERED])
+def test_a_round_halves_the_edges(spark, edges):
+    frame = spark.createDataFrame(edges, "u bigint, v bigint").filter("u != v").repartition(4)
+    after = components._relabelled(frame, components._pointers(frame, 0))
+    assert 2 * after.count() <= len(edges)
