@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import decontaminate, near_copies, packing, quality_votes, secret_scan
+from leadrank.llm import decontaminate, packing, quality_votes, secret_scan, simhash
 from leadrank.llm.common import table
 from leadrank.session import stage_table
 
@@ -22,16 +22,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: the one with the smallest doc_id, and of those the smallest hash.
+    """One row of each group of the SimHash operator, with its own shingle length and bit distance.
 
-    Near copies have a Jaccard similarity of 0.8 or more of five-word shingles. A fingerprint of 64 bits does not reach
-    that (at 0.8 some 10 bits differ), so the stage joins the shingles themselves. Different texts under one id are
-    judged apart. Rows without an id cannot be named as the one that stays; they all stay.
+    It is the row with the smallest doc_id, and of those with the smallest hash; rows without an id come last. Different
+    texts under one id are judged apart; of rows that are equal in all columns one stays. Texts without words (null,
+    blank, empty) have fingerprint zero, so all of them are one group and one stays.
     """
     rows = docs.withColumn(ROW, F.xxhash64(*docs.columns))
-    chosen = near_copies.chosen(rows, ROW).withColumnRenamed("row", ROW)
-    kept = rows.join(chosen, ["doc_id", ROW], "left_semi").dropDuplicates(["doc_id", ROW])
-    return kept.unionByName(rows.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    chosen = simhash.chosen(rows, ROW).select(F.col("doc_id").alias("_corpus_id"), F.col("row").alias("_corpus_chosen"))
+    same = F.col("doc_id").eqNullSafe(F.col("_corpus_id")) & (F.col(ROW) == F.col("_corpus_chosen"))
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["doc_id", ROW]).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

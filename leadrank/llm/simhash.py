@@ -51,14 +51,21 @@ def simhash(text: bytes, width: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > shingles).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed long. Null and empty texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS,
+                 row: str | None = None) -> DataFrame:
+    """(doc_id, fp) or, with a long column `row`, (doc_id, row, fp): fp holds the 64 bits as a signed long.
+
+    Null and empty texts have fingerprint 0.
+    """
+    kept = [doc_id] if row is None else [doc_id, row]
+    names = ["doc_id", "row"][:len(kept)]
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.array([simhash(t, width) for t in utf8(batch.column(1))], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+        found = np.array([simhash(t, width) for t in utf8(batch.column(len(names)))], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(found)], [*names, "fp"])
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return map_batches(docs.select(doc_id, text), work, f"doc_id {kind}, fp bigint")
+    kinds = [f"{name} {docs.schema[c].dataType.simpleString()}" for name, c in zip(names, kept)]
+    return map_batches(docs.select(*kept, text), work, ", ".join([*kinds, "fp bigint"]))
 
 
 def _masks(bits: int, flips: int) -> np.ndarray:
@@ -151,6 +158,13 @@ def ball_links(distinct: DataFrame, radius: int = RADIUS, prefix_bits: int | Non
             .mapInArrow(work, "src bigint, dst bigint").distinct())
 
 
+def _rooted(distinct: DataFrame, radius: int) -> DataFrame:
+    """`distinct` (a column fp without repeats, and others) with the root of each fingerprint's component."""
+    roots = connected_components(ball_links(distinct.select("fp"), radius))
+    return stage_table(distinct.join(roots.withColumnRenamed("vertex", "fp"), "fp", "left")
+                       .withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS,
                     radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of `docs`.
@@ -161,10 +175,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     marked = stage_table(fingerprints(docs, doc_id, text, width), "simhash")
     distinct = stage_table(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = connected_components(ball_links(distinct.select("fp"), radius))
-    rooted = stage_table(distinct.join(roots.withColumnRenamed("vertex", "fp"), "fp", "left")
-                         .withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
+    rooted = _rooted(distinct, radius)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     groups = join_unique(rooted, smallest, "root", F.col("fp")).select("fp", "component_id")
     return join_unique(marked, groups, "fp", F.col("doc_id")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def chosen(docs: DataFrame, row: str, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS,
+           radius: int = RADIUS) -> DataFrame:
+    """(doc_id, row): of each component the row with the smallest id, and of those the smallest `row` (a long column).
+
+    Rows without an id come last, so one is chosen only where a component has no other.
+    """
+    marked = fingerprints(docs, doc_id, text, width, row)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("best")
+    rooted = _rooted(stage_table(marked.groupBy("fp").agg(best), "simhash-distinct"), radius)
+    return rooted.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.row")
