@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import (decontaminate, host_quality, packing, pii, quality_votes, secret_scan, simhash, spans, suffix_dedup,
-               token_orc, url_filter)
-from .common import table
+from . import (decontaminate, host_quality, packing, periodic_runs, pii, quality_votes, secret_scan, simhash, spans,
+               spelling, suffix_dedup, token_orc, toxic_passages, url_filter)
+from .common import map_batches, table, utf8
 
 
 #: The rules that every url of `pages` is judged by (fixed values).
@@ -80,9 +80,53 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.digest(pii.scan(docs, pii.fit(docs)), pii.KINDS)
 
 
+def _misspelt(doc_id: int, run: str) -> str:
+    """The run as op11 takes it from a document: about one in 31 loses a code point."""
+    if doc_id is None:
+        return run
+    h = zlib.crc32(f"{doc_id}:{run}".encode())
+    return run if h % 31 else run[:h % len(run)] + run[h % len(run) + 1:]
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), change=_misspelt)
+    return spelling.forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxic_passages.fit(docs, table(spark, sf_dir, "labels"))
+    return toxic_passages.score(docs, model).select(
+        "doc_id", toxic_passages.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxic_passages.THRESHOLD).cast("int").alias("predicted"), "evidence",
+        F.size("passages").cast("long").alias("n_passages"))
+
+
+def _with_loops(doc_id: int | None, text: bytes) -> bytes:
+    """The text as op13 takes it: one in ten repeats a stretch of its words to its end."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    words = text.split() if h % 10 == 0 else []
+    if not words:
+        return text
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)])
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [_with_loops(i, t) for i, t in zip(batch.column(0).to_pylist(), utf8(batch.column(1)))]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["doc_id", "text"])
+
+    docs = map_batches(table(spark, sf_dir, "documents").select("doc_id", "text"), work, "doc_id bigint, text string")
+    return periodic_runs.digest(periodic_runs.scan(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_token_orc, op3_simhash, op4_host_quality, op5_suffix_dedup,
-                            op6_decontaminate, op7_secret_scan, op8_quality_votes, op9_packing, op10_pii)}
+                            op6_decontaminate, op7_secret_scan, op8_quality_votes, op9_packing, op10_pii,
+                            op11_spelling, op12_toxic_passages, op13_periodic_runs)}
 
 ORACLES: dict[str, str] = {
     "op1_url_filter": r"""
