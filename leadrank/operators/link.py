@@ -18,15 +18,17 @@ same components:
 
 Names with the same set of words are one case: the smallest key stands for them.
 
-Names with more than `subset_words` words have too many subsets. They go through
-a prefix-filtered join instead (see `long_name_edges`), exact for any length. It
-only looks at names with different first words, as equal first words have linked
-the others already, and yields each similar pair once. So its edges are linear
-where long names of a block begin alike; where they differ in their first words
-there is at most one edge per similar pair.
+Names with more than `subset_words` words have too many subsets. They meet at
+pairs of rare words instead (see `long_name_edges`), exact for any length: the
+names of one meeting are compared in a task, and only a forest of verified pairs
+leaves it. So edges are linear in the names.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import blank_words, normalize_address, normalize_name, strip_ws, zip5_key
@@ -35,6 +37,8 @@ from .components import connected_components
 
 BLOCK = ["address", "state", "zip"]
 SUBSET_WORDS = 10
+#: Names with a common pair of words that one task compares; a cell of two parts has twice as many.
+HOLDERS = 20_000
 
 
 def keyed_records(records: DataFrame) -> DataFrame:
@@ -119,15 +123,18 @@ def subset_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame
             .select(F.col("key").alias("src"), "dst"))
 
 
-def long_name_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
-    """Similar pairs with at least one name longer than `subset_words` words and with different first words.
+def long_name_probes(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
+    """(g, b, cell, key, first, ws): names that meet at a pair of words of one block, as rows of one comparison.
 
     Prefix filtering with two words: two sets that share at least c words, put in
     one common order, share at least two words among the first n - c + 2 of each.
     c is at least half the size of either set, so each name joins on the word
-    pairs of that prefix, rarest words of the block first. Candidates are tested
-    exactly, at the smallest pair of words that both prefixes have. A partner of a
-    long name has more than half as many words.
+    pairs of that prefix, rarest words of the block first. A partner of a long
+    name has more than half as many words. Two hashes, g and b, name a pair of
+    words in its block.
+
+    A pair of words that more than HOLDERS names have is dealt out: its holders
+    go to parts by a hash, and each two parts meet in a cell of their own.
     """
     floor_words = (subset_words + 2) // 2
     sized = sets.filter(F.col("n") >= floor_words)
@@ -140,22 +147,100 @@ def long_name_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFr
     prefix = F.slice("ws", 1, F.col("n") - F.ceil(F.col("n") / 2).cast("int") + 2)
     pairs = F.flatten(F.transform(prefix, lambda a, i: F.transform(
         F.slice(prefix, i + 2, F.size(prefix)), lambda b: F.concat_ws(" ", F.least(a, b), F.greatest(a, b)))))
-    probed = ordered.withColumn("probes", F.array_distinct(pairs))
-    probes = probed.select("*", F.explode("probes").alias("probe"))
-    # probes whose holders all begin with the same word have nothing to add
-    mixed = (probes.groupBy(*BLOCK, "probe").agg(F.min("first").alias("_lo"), F.max("first").alias("_hi"))
-             .filter(F.col("_lo") != F.col("_hi")).select(*BLOCK, "probe"))
-    probes = probes.join(mixed, [*BLOCK, "probe"], "left_semi")
-    long_side = probes.filter(F.col("n") > subset_words)
-    partners = probes.select(*BLOCK, "probe", F.col("key").alias("dst"), F.col("n").alias("m"), F.col("ws").alias("vs"),
-                             F.col("first").alias("begins"), F.col("probes").alias("others"))
-    shared = F.size(F.array_intersect("ws", "vs"))
-    once = (F.col("m") <= subset_words) | (F.col("key") < F.col("dst"))
-    return (long_side.join(partners, [*BLOCK, "probe"])
-            .filter(once & (F.col("first") != F.col("begins"))
-                    & (F.array_min(F.array_intersect("probes", "others")) == F.col("probe"))
-                    & (3 * shared >= F.col("n") + F.col("m")))
-            .select(F.col("key").alias("src"), "dst"))
+    named = [*map(F.col, BLOCK), F.col("probe")]
+    probes = stage_table(ordered.select("*", F.explode(F.array_distinct(pairs)).alias("probe")).select(
+        F.xxhash64(*named).alias("g"), F.xxhash64(F.lit("b"), *named).alias("b"), "key", "n", "first", "ws"), "probes")
+    # pairs of words whose holders all begin with the same word, or are all short, have nothing to add
+    mixed = (probes.groupBy("g", "b").agg(F.min("first").alias("_lo"), F.max("first").alias("_hi"),
+                                          F.max("n").alias("_most"), F.count(F.lit(1)).alias("_holders"))
+             .filter((F.col("_lo") != F.col("_hi")) & (F.col("_most") > subset_words))
+             .select("g", "b", F.ceil(F.col("_holders") / HOLDERS).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
+                        lambda j: F.least(part, j) * F.col("parts") + F.greatest(part, j))
+    return probes.join(mixed, ["g", "b"]).select("g", "b", F.explode(cells).alias("cell"), "key", "first", "ws")
+
+
+def family_links(codes: np.ndarray, starts: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of similar names that join what all similar pairs join; `codes` are the names' words, name after name.
+
+    Names with the same number in `first` belong together from the start. A name
+    is compared with all others at once, and only names outside the largest
+    family need be: what joins two families has an end in a smaller one. So a
+    group that is one family takes one comparison for each name.
+    """
+    size = np.diff(np.append(starts, len(codes)))
+    _, family = np.unique(first, return_inverse=True)
+    compared = np.zeros(len(size), bool)
+    mark = np.zeros(int(codes.max(initial=0)) + 1, np.int64)
+    links = []
+    while True:
+        largest = np.bincount(family).argmax()
+        rest = np.flatnonzero(~compared & (family != largest))
+        if not len(rest):
+            return links
+        i = int(rest[0])
+        compared[i] = True
+        own = codes[starts[i]:starts[i] + size[i]]
+        mark[own] = 1
+        shared = np.add.reduceat(mark[codes], starts)
+        mark[own] = 0
+        found = (3 * shared >= size + size[i]) & (family != family[i])
+        if found.any():
+            joined, at = np.unique(family[found], return_index=True)
+            links += [(i, int(j)) for j in np.flatnonzero(found)[at]]
+            family[np.isin(family, joined)] = family[i]
+
+
+def long_name_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
+    """Edges that join similar names, at least one of them longer than `subset_words` words, with different first words.
+
+    Each comparison yields a forest of verified pairs: fewer edges than names.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, 3):
+            words = rows.column("ws").combine_chunks()
+            codes = words.flatten().dictionary_encode().indices.to_numpy()
+            starts = words.offsets.to_numpy()[:-1] - words.offsets[0].as_py()
+            first = rows.column("first").combine_chunks().dictionary_encode().indices.to_numpy()
+            keys = rows.column("key")
+            src, dst = [], []
+            for lo, hi in _runs(rows, 3):
+                end = starts[hi] if hi < len(starts) else len(codes)
+                for i, j in family_links(codes[starts[lo]:end], starts[lo:hi] - starts[lo], first[lo:hi]):
+                    src.append(lo + i)
+                    dst.append(lo + j)
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(x, pa.int64())).combine_chunks() for x in (src, dst)], ["src", "dst"])
+
+    groups = long_name_probes(sets, subset_words)
+    return (groups.repartition("g", "b", "cell").sortWithinPartitions("g", "b", "cell")
+            .mapInArrow(work, "src string, dst string"))
+
+
+def _runs(rows: pa.Table, keys: int) -> list[tuple[int, int]]:
+    """(first, end) of each run of rows that are equal in the first `keys` columns, whole numbers."""
+    key = np.stack([rows.column(i).to_numpy() for i in range(keys)])
+    cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), rows.num_rows]))
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Sorted rows in tables that cut no run of rows with equal keys."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        first, last = ([batch.column(i)[at].as_py() for i in range(keys)] for at in (0, -1))
+        if held and first != [held[-1].column(i)[-1].as_py() for i in range(keys)]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if first != last:  # what comes before the last run is whole
+            cut = _runs(pa.Table.from_batches([batch]), keys)[-1][0]
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held, batch = [], batch.slice(cut)
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def similarity_edges(keyed: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:

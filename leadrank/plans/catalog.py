@@ -303,18 +303,21 @@ def entity_resolution(t: StarTables) -> DataFrame:
     return link.resolve(_link_records(t))
 
 
-_LONG_NAME = ("array_to_string(string_split(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), ' ')[1:CAST(8 + doc_id % 13 AS INTEGER)], ' ') AS name")
-_LONG_PLACE = [f"{p.S('doc_id')} AS record_id", f"concat({p.S('doc_id % 5')}, ' Main Street') AS address", "'48104' AS zip", "lang AS state"]
+_LONG_RECORD = [
+    f"{p.S('p_partkey')} AS record_id",
+    f"concat('K', {p.S('p_partkey % 97')}, ' ', p_name, ' ', p_type, ' B', substr(p_brand, 7), ' Z', {p.S('p_size')}, "
+    + ", ".join(f"' {letter}', {p.S(f'p_partkey % {n}')}" for letter, n in zip("CDEFGH", (2, 3, 5, 7, 11, 13)))
+    + ", CASE WHEN p_partkey % 4 > 0 THEN ' Y1 Y2 Y3' ELSE '' END) AS name",
+    f"concat({p.S('p_size % 5')}, ' Main Street') AS address", "'48104' AS zip", f"concat('s', {p.S('p_partkey % 3')}) AS state"]
 
 
-@query("q_entity_resolution_long", f"""WITH RECURSIVE recs AS (SELECT {_LONG_NAME}, {', '.join(_LONG_PLACE)} FROM documents),
+@query("q_entity_resolution_long", f"""WITH RECURSIVE recs AS (SELECT {', '.join(_LONG_RECORD)} FROM part),
 {LINK_CTES.strip().split(chr(10), 1)[1]}
 SELECT record_id, 'f' || substr(sha1(root), 1, 10) AS facility_id, review AS review_required FROM keyed
 JOIN (SELECT src AS key, min(dst) AS root FROM reach GROUP BY src) USING (key)""")
 def entity_resolution_long(t: StarTables) -> DataFrame:
-    """Names of 8 to 20 words: the beginnings of all documents."""
-    name = "substring_index(regexp_replace(text, '[^A-Za-z]+', ' '), ' ', CAST(8 + doc_id % 13 AS INT)) AS name"
-    return link.resolve(t.read("documents").selectExpr(name, *_LONG_PLACE))
+    """Names of 11 to 15 words that mostly begin differently."""
+    return link.resolve(t.read("part").selectExpr(*_LONG_RECORD))
 
 
 @query("q_name_normalize", f"SELECT p_partkey, {o.norm_name('name')} AS normalized FROM "

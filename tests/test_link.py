@@ -1,10 +1,12 @@
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 
 from leadrank.operators import components, link
 from leadrank.operators.components import connected_components
+from leadrank.session import stage_table
 
 SCHEMA = "record_id string, name string, address string, zip string, state string"
 
@@ -42,8 +44,9 @@ def groups(mapping):
     return {frozenset(g) for g in out.values()}
 
 
-@pytest.mark.parametrize("seed, longest, subset_words", [(1, 5, 10), (2, 9, 4), (3, 16, 10)])
-def test_same_groups_as_all_pairs(spark, seed, longest, subset_words):
+@pytest.mark.parametrize("seed, longest, subset_words, holders", [(1, 5, 10, 9), (2, 9, 4, link.HOLDERS), (2, 9, 4, 3), (3, 16, 10, 5)])
+def test_same_groups_as_all_pairs(spark, monkeypatch, seed, longest, subset_words, holders):
+    monkeypatch.setattr(link, "HOLDERS", holders)
     rng = random.Random(seed)
     vocabulary = [f"W{i}" for i in range(14)]
     rows = []
@@ -82,7 +85,34 @@ def test_long_names_that_begin_differently(spark):
     rows += [(str(100 + i), " ".join(f"W{(j + i) % 12}" for j in range(12)), "1 PARK RD", "33333", "CC") for i in range(12)]
     sets = link.word_sets(link.block_members(link.keyed_records(spark.createDataFrame(rows, SCHEMA))))
     assert sets.count() == 61
-    assert link.long_name_edges(sets).count() == 61 * 60 // 2  # each pair once
+    assert link.long_name_edges(sets).distinct().count() < 2 * 61  # a forest, where all pairs would be 1,830
+
+
+@pytest.mark.parametrize("holders", [link.HOLDERS, 400])
+def test_many_long_names_of_one_family(spark, monkeypatch, holders):
+    """Names of one block, all similar and all with their own first word: edges and time stay linear."""
+    monkeypatch.setattr(link, "HOLDERS", holders)
+    names = 6000 if holders == link.HOLDERS else 1500
+    common = " ".join(f"W{j}" for j in range(11))
+    rows = [(str(i), f"A{i} {common}", "1 PARK RD", "33333", "CC") for i in range(names)]
+    rows += [(f"x{i}", f"B{i} " + " ".join(f"V{i}X{j}" for j in range(9)) + " W0 W1", "1 PARK RD", "33333", "CC") for i in range(30)]
+    sets = stage_table(link.word_sets(link.block_members(link.keyed_records(spark.createDataFrame(rows, SCHEMA)))), "sets")
+    edges = stage_table(link.long_name_edges(sets), "edges")
+    cells = stage_table(link.long_name_probes(sets), "cells")
+    most = cells.groupBy("g", "b", "cell").count().agg({"count": "max"}).first()[0]
+    assert edges.count() < cells.count() < 30 * names * (-(-names // holders) + 1) and most <= 3 * holders
+    roots = connected_components(edges)
+    assert roots.count() == names - 1 and roots.select("root").distinct().count() == 1
+
+
+def test_groups_over_any_batches():
+    rng = random.Random(4)
+    rows = sorted((rng.randrange(5), rng.randrange(3), 0, i) for i in range(200))
+    table = pa.table([[r[c] for r in rows] for c in range(4)], names=["g", "b", "cell", "x"])
+    for size in (1, 7, 40, 500):
+        parts = list(link._whole_groups(iter(table.to_batches(max_chunksize=size)), 3))
+        groups = [[tuple(r.values()) for r in t.slice(a, b - a).to_pylist()] for t in parts for a, b in link._runs(t, 3)]
+        assert [x for g in groups for x in g] == rows and len(groups) == len({r[:3] for r in rows})
 
 
 def test_review_and_states(spark):
