@@ -19,7 +19,8 @@ from . import oracle as o
 from . import star_profile as p
 from .star_profile import StarTables
 from ..session import scratch_path, stage_table
-from ..sources import archives, sinks, text_files
+from ..sources import archives, csv_ranges, incremental, sinks, text_files
+from ..sources.store import Store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1273,3 +1274,69 @@ def screen_export(t: StarTables) -> DataFrame:
     """Rows of the on-screen list export."""
     leads = rank.global_rank(_staged_leads(t, t.shown), rank.lead_order())
     return sinks.safe_cells(lists.screen_rows(nested.public_lead(leads)))
+
+
+@query("q_csv_ranges", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents")
+def csv_ranges_query(t: StarTables) -> DataFrame:
+    """Whole texts, with quotes, commas and line breaks, read from CSV files in ranges of half a megabyte."""
+    path = scratch_path(t.spark, "csv-ranges")
+    (t.read("documents").selectExpr("CAST(doc_id AS STRING) AS doc_id", "text", "lang", "source")
+     .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    return csv_ranges.read_csv_ranges(t.spark, path, _DOC, 1 << 19).drop(csv_ranges.REJECT)
+
+
+def _bucket_writer(folder: str):
+    """Write the rows of a partition as one archive for each of their buckets, a member for each batch."""
+    def write(batches):
+        import zipfile
+        from pyspark import TaskContext
+        from ..sources.archives import writable
+        part, out = TaskContext.get().partitionId(), {}
+        for i, batch in enumerate(batches):
+            for bucket, rows in batch.groupby("bucket"):
+                if bucket not in out:
+                    handle = writable(f"{folder}/bucket-{bucket}-{part}.zip")
+                    out[bucket] = handle, zipfile.ZipFile(handle, "w", zipfile.ZIP_DEFLATED)
+                out[bucket][1].writestr(f"chunk-{i}.csv", rows.drop(columns="bucket").to_csv(index=False))
+            yield batch[["bucket"]].head(0)
+        for handle, archive in out.values():
+            archive.close()
+            handle.close()
+    return write
+
+
+@query("q_incremental_load", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 4 = 2 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+  CAST(CASE WHEN o_orderkey % 4 = 2 THEN 2 ELSE 1 END AS BIGINT) AS load FROM orders""")
+def incremental_load(t: StarTables) -> DataFrame:
+    """Orders in archives of four kinds, loaded; those of one kind change, and a second load parses them only."""
+    folder = scratch_path(t.spark, "zips")
+    orders = t.read("orders").selectExpr("CAST(o_orderkey AS STRING) AS o_orderkey", "o_orderstatus", "CAST(o_orderkey % 4 AS INT) AS bucket")
+    store, parts = Store(t.spark, scratch_path(t.spark, "store")), int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(rows: DataFrame) -> None:
+        # the same key goes to the same partition each time, so an archive is written anew under its name
+        (rows.repartition(parts, "o_orderkey").mapInPandas(_bucket_writer(folder), "bucket int")
+         .write.format("noop").mode("overwrite").save())
+
+    write(orders)
+    incremental.load(t.spark, f"{folder}/*.zip", ["o_orderkey", "o_orderstatus"], store, "orders")
+    write(orders.filter("bucket = 2").withColumn("o_orderstatus", F.lit("X")))
+    rows = incremental.load(t.spark, f"{folder}/*.zip", ["o_orderkey", "o_orderstatus"], store, "orders")
+    return rows.select("o_orderkey", "o_orderstatus", F.col(incremental.LOAD).alias("load"))
+
+
+@query("q_history_commit", f"""WITH {RUN_SQL.strip()},
+last AS (SELECT DISTINCT as_of, run_seq FROM hist WHERE as_of < DATE '2001-06-01' ORDER BY run_seq DESC LIMIT 12)
+SELECT as_of, run_seq, facility_id FROM hist SEMI JOIN last USING (as_of)""")
+def history_commit(t: StarTables) -> DataFrame:
+    """The history until May is stored; June's run is written and never committed, so May's state is what is read."""
+    store, runs = Store(t.spark, scratch_path(t.spark, "runs")), _history(t)
+    kept = runs.filter(F.col("as_of") < F.lit("2001-06-01").cast("date"))
+    april, may = (F.lit(f"2001-0{m}-01").cast("date") for m in (4, 5))
+    store.commit(history={"": store.write("history", kept.filter(F.col("as_of") <= april))})
+    for day, table in ((may, kept), (F.lit("2001-06-01").cast("date"), runs)):
+        entry = table.filter(F.col("as_of") == day).select("as_of", "facility_id")
+        folder = store.write("history", history.upsert_run(store.read("history"), entry))
+        if table is kept:
+            store.commit(history={"": folder})
+    return store.read("history").select("as_of", "run_seq", "facility_id")

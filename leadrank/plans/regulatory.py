@@ -1,19 +1,20 @@
 """The regulatory profile end to end: raw files to ranked leads, gate, exports, history.
 
 Stages that several consumers read are Parquet tables below `work`; everything
-between them is lazy. Nothing is collected but the one-row run date and the
-fourteen-row check table.
+between them is lazy. Nothing is collected but the run date, the fourteen-row
+check table, and the manifests' sums and the kept runs' dates.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import rules
 from ..operators import features, history, link, lists, match, nested, quality, rank, score, staging
-from ..sources import archives, sinks, text_files
+from ..sources import archives, incremental, sinks, text_files
+from ..sources.store import Store
 
 RAW_COLUMNS = {
     "inspection": ["activity_nr", "estab_name", "site_address", "site_city", "site_state", "site_zip", "naics_code",
@@ -45,17 +46,24 @@ class Build:
         df.write.mode("overwrite").parquet(f"{self.work}/{name}")
         return self._saved(name)
 
+    @property
+    def loaded(self) -> Store:
+        """Parsed rows of all archives, with the manifest of what they were parsed from."""
+        return Store(self.spark, f"{self.work}/loaded")
+
+    @property
+    def runs(self) -> Store:
+        """History (Hot leads of the latest runs) and score snapshots (one part a run)."""
+        return Store(self.spark, f"{self.out}/runs")
+
     def load(self) -> None:
-        """Archives to scoped raw tables.
+        """Archives to scoped raw tables. Members that have not changed since the last load are not parsed again.
 
-        `load_counts` gets the rows kept, the rows of all states and the rejected lines of each table, counted while
-        the archives are read; rejected lines go to `rejects` with their archive and member.
+        `load_counts` gets the rows kept, the rows of all states and the rejected lines of each table; rejected lines
+        go to `rejects` with their archive and member.
         """
-        parsed, seen = {}, {name: Observation(f"load of {name}") for name in RAW_COLUMNS}
-        for name, columns in RAW_COLUMNS.items():
-            rows = archives.parse_archives(self.spark, self._archives(name), columns)
-            bad = F.col(archives.REJECT).isNotNull()
-            parsed[name] = rows.observe(seen[name], F.count_if(~bad).alias("national"), F.count_if(bad).alias("rejected"))
+        parsed = {name: incremental.load(self.spark, self._archives(name), columns, self.loaded, name)
+                  for name, columns in RAW_COLUMNS.items()}
         raw = {name: rows.filter(F.col(archives.REJECT).isNull()).select(*RAW_COLUMNS[name]) for name, rows in parsed.items()}
         inspection = self._save("raw_inspection", staging.scope_filter(raw["inspection"], self.states, self.load_start))
         injury = self._save("raw_accident_injury", staging.children_of(
@@ -63,21 +71,17 @@ class Build:
         for name in ("violation", "emphasis_codes"):
             self._save(f"raw_{name}", staging.children_of(raw[name], inspection, "activity_nr"))
         self._save("raw_accident", staging.children_of(raw["accident"], injury, "summary_nr"))
-        places = archives.parse_archives(self.spark, f"{self.raw}/zip_gazetteer.zip", text_files.GAZETTEER,
-                                         delimiter="\t", own_header=False)
+        places = incremental.load(self.spark, f"{self.raw}/zip_gazetteer.zip", text_files.GAZETTEER, self.loaded, "places",
+                                  delimiter="\t", own_header=False)
         self._save("zip_centroids", text_files.centroids(places.filter(F.col(archives.REJECT).isNull())))
-        whole = self.spark.createDataFrame(
-            [(f"raw_{name}", counts["national"], counts["rejected"]) for name, counts in
-             ((name, seen[name].get) for name in RAW_COLUMNS)], "name string, national long, rejected long")
+        whole = self.spark.createDataFrame([(f"raw_{name}", *incremental.counts(self.loaded, name)) for name in RAW_COLUMNS],
+                                           "name string, national long, rejected long")
         kept = text_files.load_counts({f"raw_{name}": self._saved(f"raw_{name}") for name in RAW_COLUMNS})
         self._save("load_counts", kept.join(whole, "name"))
-        rejects = None
-        for name, columns in RAW_COLUMNS.items():
-            if seen[name].get["rejected"]:  # only tables that have some are read again
-                bad = archives.read_rejects(self.spark, self._archives(name), columns).select(F.lit(name).alias("name"), "*")
-                rejects = bad if rejects is None else rejects.unionByName(bad)
-        self._save("rejects", rejects if rejects is not None else self.spark.createDataFrame(
-            [], "name string, archive string, member string, text string"))
+        rejects = reduce(DataFrame.unionByName, [rows.filter(F.col(archives.REJECT).isNotNull()).select(
+            F.lit(name).alias("name"), F.col(archives.ARCHIVE).alias("archive"), F.col(archives.MEMBER).alias("member"),
+            F.col(archives.REJECT).alias("text")) for name, rows in parsed.items()])
+        self._save("rejects", rejects)
 
     def _archives(self, name: str) -> str:
         return f"{self.raw}/{name}/*.zip"
@@ -149,32 +153,19 @@ class Build:
                             .withColumn("as_of", as_of), f"{self.out}/run_log")
 
     def _delta(self, ranked: DataFrame, as_of: Column) -> DataFrame:
-        """New Hot leads against the history; the run then joins history and snapshots, which keep the latest runs."""
+        """New Hot leads against the history; the run then joins history and snapshots, in one commit."""
         hot = ranked.filter(F.col("tier") == rules.HOT).select("facility_id")
-        path, shots = f"{self.out}/history", f"{self.out}/snapshots"
-        past = _table(self.spark, path)
+        past = self.runs.read("history")
         if past is None:
             past = self.spark.createDataFrame([], "as_of date, facility_id string, run_seq long")
         fresh = self._save("new_hot", history.new_hot(hot, past, as_of))
         # a run without Hot leads is a run as well: a row without an id stands for it
         entry = (hot.unionByName(self.spark.range(1).select(F.lit(None).cast("string").alias("facility_id")))
                  .select(as_of.alias("as_of"), "facility_id"))
-        # what is kept is written out in full before the old table goes
-        kept = self._save("history", history.upsert_run(past, entry))
-        kept.write.mode("overwrite").parquet(path)
-        snapshot = self._save("snapshot", history.snapshot_score_run(ranked, as_of, F.current_timestamp()))
-        history.write_run(snapshot, shots)
-        stored, runs = self.spark.read.parquet(shots), kept.select("as_of").distinct()  # at most as many as are kept
-        if stored.join(F.broadcast(runs), "as_of", "left_anti").select("as_of").limit(1).count():
-            self._save("snapshots", stored.join(F.broadcast(runs), "as_of", "left_semi")).write.mode("overwrite").partitionBy("as_of").parquet(shots)
+        kept = self.runs.write("history", history.upsert_run(past, entry))
+        snapshot = self.runs.write("snapshots", history.snapshot_score_run(ranked, as_of, F.current_timestamp()))
+        days = [str(r.as_of) for r in self.spark.read.parquet(f"{self.runs.path}/{kept}").select("as_of").distinct().collect()]
+        today = str(self.spark.range(1).select(as_of).first()[0])
+        shots = {**self.runs.parts("snapshots"), today: snapshot}  # one part a run, of the runs that history keeps
+        self.runs.commit(history={"": kept}, snapshots={day: folder for day, folder in shots.items() if day in days})
         return fresh
-
-
-def _table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at `path`, or None if there is no such folder yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise

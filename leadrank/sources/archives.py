@@ -30,7 +30,7 @@ def _locate(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def _open(uri: str):
+def open_file(uri: str):
     """Random-access read handle."""
     system, path = _locate(uri)
     return system.open_input_file(path)
@@ -46,9 +46,12 @@ def writable(uri: str):
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column(0).to_pylist():
-            with _open(path) as handle, zipfile.ZipFile(handle) as archive:
-                names = [i.filename for i in archive.infolist() if not i.is_dir()]
-            yield pa.RecordBatch.from_pydict({"path": [path] * len(names), "member": names})
+            with open_file(path) as handle, zipfile.ZipFile(handle) as archive:
+                files = [i for i in archive.infolist() if not i.is_dir()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path] * len(files), pa.string()), pa.array([i.filename for i in files], pa.string()),
+                 pa.array([i.file_size for i in files], pa.int64()), pa.array([i.CRC for i in files], pa.int64())],
+                ["archive", "member", "size", "checksum"])
 
 
 def _reader(columns: list[str], delimiter: str = ",", own_header: bool = True):
@@ -71,7 +74,7 @@ def _reader(columns: list[str], delimiter: str = ",", own_header: bool = True):
                     rejects.append(row.text)
                     return "skip"
 
-                with _open(path) as handle, zipfile.ZipFile(handle) as archive:
+                with open_file(path) as handle, zipfile.ZipFile(handle) as archive:
                     if not archive.getinfo(member).file_size:
                         continue
                     with archive.open(member) as raw:
@@ -89,26 +92,37 @@ def _reader(columns: list[str], delimiter: str = ",", own_header: bool = True):
     return rows
 
 
+def member_facts(spark: SparkSession, glob: str) -> DataFrame:
+    """(archive, member, size, checksum) of every file inside the archives that match `glob`, from their directories."""
+    paths = spark.read.format("binaryFile").load(glob).select("path")  # the content column is not read
+    return paths.mapInArrow(_members, "archive string, member string, size long, checksum long")
+
+
 def list_members(spark: SparkSession, glob: str) -> DataFrame:
     """(path, member) of every file inside the archives that match `glob`."""
-    paths = spark.read.format("binaryFile").load(glob).select("path")  # the content column is not read
-    return paths.mapInArrow(_members, "path string, member string")
+    return member_facts(spark, glob).select(F.col("archive").alias("path"), "member")
 
 
-def parse_archives(spark: SparkSession, glob: str, columns: list[str], parallelism: int | None = None,
-                   delimiter: str = ",", own_header: bool = True) -> DataFrame:
-    """Every row of every CSV member: the named columns as text (empty fields are null), archive, member, reject.
+def parse_members(members: DataFrame, columns: list[str], parallelism: int | None = None,
+                  delimiter: str = ",", own_header: bool = True) -> DataFrame:
+    """Every row of the given CSV members (path, member): the named columns as text (empty fields are null), archive, member, reject.
 
     Without `own_header` the first line is passed over and `columns` names all fields in order.
     A row has either values or, in the column of rejects, the text of a line with a wrong number of fields.
     """
-    members = list_members(spark, glob)
+    spark = members.sparkSession
     tasks = parallelism or max(spark.sparkContext.defaultParallelism,
                                int(spark.conf.get("spark.sql.shuffle.partitions")))
     spread = members.repartition(tasks, F.xxhash64("path", "member"))
     return spread.mapInArrow(_reader(columns, delimiter, own_header), text_schema([*columns, ARCHIVE, MEMBER, REJECT]))
 
 
+def parse_archives(spark: SparkSession, glob: str, columns: list[str], parallelism: int | None = None,
+                   delimiter: str = ",", own_header: bool = True) -> DataFrame:
+    """`parse_members` of every member of the archives that match `glob`."""
+    return parse_members(list_members(spark, glob), columns, parallelism, delimiter, own_header)
+
+
 def read_archives(spark: SparkSession, glob: str, columns: list[str], parallelism: int | None = None) -> DataFrame:
     """Rows of every CSV member with the right number of fields."""
     return parse_archives(spark, glob, columns, parallelism).filter(F.col(REJECT).isNull()).select(*columns)

@@ -22,17 +22,17 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_csv_chunks(spark: SparkSession, path: str, columns: list[str] | None = None,
-                    with_rejects: bool = False, multi_line: bool = True) -> DataFrame:
+                    with_rejects: bool = False, multi_line: bool = True, delimiter: str = ",") -> DataFrame:
     """Many CSV chunks as one all-text table, quoting set explicitly.
 
     `multi_line` accepts line breaks inside quotes, at the price of one task per
-    file; the chunks of an archive are small. With `with_rejects`, a row that does
+    file; `csv_ranges` reads large files by many tasks. With `with_rejects`, a row that does
     not fit the header keeps its raw text in `_corrupt_record`.
     """
     columns = columns or csv_header(spark, path)
     schema = text_schema(columns, (CORRUPT,) if with_rejects else ())
     reader = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-              .option("multiLine", multi_line).option("enforceSchema", True).option("mode", "PERMISSIVE"))
+              .option("sep", delimiter).option("multiLine", multi_line).option("enforceSchema", True).option("mode", "PERMISSIVE"))
     if with_rejects:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.csv(path)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from leadrank import rules
 from leadrank.plans.regulatory import RAW_COLUMNS, Build
-from leadrank.sources import archives, text_files
+from leadrank.sources import archives, incremental, text_files
+from leadrank.sources.store import Store
 
 
 def as_csv(header, rows):
@@ -60,7 +61,7 @@ def test_emission_files(spark, tmp_path):
         text_files.require_contract(text_files.read_emission_files(spark, [wrong]))
 
 
-def test_whole_build(spark, tmp_path):
+def test_whole_build(spark, tmp_path, monkeypatch):
     raw, work, out = (tmp_path / n for n in ("raw", "work", "out"))
     raw.mkdir()
     tables = {
@@ -93,7 +94,8 @@ def test_whole_build(spark, tmp_path):
     with pytest.raises(ValueError, match="no emission file for: .*OH"):
         build.run()
     files += [emission_file(raw / f"TRI_2024_{s}.csv", []) for s in rules.TERRITORY if s != "MI"]
-    t = build.run(skip_load=True)
+    t = build.run()  # the second load finds the archives unchanged and parses none
+    assert {name: list(build.loaded.parts(name)) for name in RAW_COLUMNS} == {name: ["1"] for name in RAW_COLUMNS}
     assert [r.passed for r in t["checks"].collect()] == [True] * 14
     ranked = t["ranked"].orderBy("rank").collect()
     assert [(r.name, r.total, r.tier, r.outreach_eligible) for r in ranked] == [
@@ -118,8 +120,56 @@ def test_whole_build(spark, tmp_path):
         fresh = build._delta(ranked.filter("total > 11") if month == 14 else ranked, F.lit(date(2025, 1, 1 + month)))
         assert [r.facility_id for r in fresh.collect()] == ([r.facility_id for r in ranked.filter("total <= 11").collect()] if month == 15 else [])
     for name in ("history", "snapshots"):
-        days = [r.as_of for r in spark.read.parquet(str(out / name)).select("as_of").distinct().collect()]
+        days = [r.as_of for r in build.runs.read(name).select("as_of").distinct().collect()]
         assert sorted(days) == [date(2025, 1, 1 + m) for m in range(4, 16)]
+    assert len(build.runs._commits()) == 2 and len(list((out / "runs").glob("snapshots-*"))) == 13  # of two commits
+    # a run that stops between write and commit leaves the former state
+    before = build.runs.state()
+    monkeypatch.setattr(Store, "commit", lambda *a, **b: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        build._delta(ranked, F.lit(date(2025, 3, 1)))
+    assert build.runs.state() == before and build.runs.read("history").filter("as_of = DATE '2025-03-01'").count() == 0
+
+
+def zipped(path, **members):
+    with zipfile.ZipFile(path, "w") as z:
+        for name, rows in members.items():
+            z.writestr(f"{name}.csv", as_csv(["id", "x"], rows) + ("1,2,3\n" if name == "bad" else ""))
+
+
+def test_only_changed_members_are_parsed(spark, tmp_path):
+    store, glob = Store(spark, str(tmp_path / "store")), f"{tmp_path}/*.zip"
+
+    def load(columns=("id", "x")):
+        rows = incremental.load(spark, glob, list(columns), store, "t")
+        good = rows.filter(F.col(archives.REJECT).isNull())
+        assert incremental.counts(store, "t") == (good.count(), rows.count() - good.count())
+        full = archives.read_archives(spark, glob, list(columns))
+        assert sorted(map(str, good.select(*columns).collect())) == sorted(map(str, full.collect()))
+        return {(r[archives.ARCHIVE].rsplit("/", 1)[1], r[archives.MEMBER][:-4]): r[incremental.LOAD]
+                for r in rows.select(archives.ARCHIVE, archives.MEMBER, incremental.LOAD).distinct().collect()}
+
+    zipped(tmp_path / "a.zip", p=[("1", "u"), ("2", "v")], q=[("3", "w")], none=[])
+    zipped(tmp_path / "b.zip", bad=[("4", "x")])
+    assert load() == {("a.zip", "p"): 1, ("a.zip", "q"): 1, ("b.zip", "bad"): 1}
+    assert load() == load() and list(store.parts("t")) == ["1"]
+    zipped(tmp_path / "a.zip", p=[("1", "u"), ("2", "v")], q=[("3", "other")])  # one member changed, one gone
+    assert load() == {("a.zip", "p"): 1, ("a.zip", "q"): 2, ("b.zip", "bad"): 1}
+    (tmp_path / "b.zip").unlink()
+    zipped(tmp_path / "c.zip", r=[("9", "z")])
+    assert load() == {("a.zip", "p"): 1, ("a.zip", "q"): 2, ("c.zip", "r"): 3}
+    assert set(load(("x",)).values()) == {4}  # other columns: all anew
+    assert list(store.parts("t")) == ["4"]
+
+
+def test_many_loads_are_written_as_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "COMPACT", 2)
+    store, glob = Store(spark, str(tmp_path / "store")), f"{tmp_path}/*.zip"
+    for i in range(4):
+        zipped(tmp_path / f"{i}.zip", m=[(str(i), "x")])
+        rows = incremental.load(spark, glob, ["id"], store, "t")
+        assert sorted(r.id for r in rows.collect()) == [str(j) for j in range(i + 1)]
+    assert len(store.parts("t")) <= 2
 
 
 def test_build_stops_on_failed_check(spark, tmp_path):
