@@ -8,8 +8,9 @@
 3. Extreme values. In ordinary text of n words, a segment of score S or more is met K * n * exp(-lambda * S) times on
    average (Karlin and Altschul, 1990). lambda and K are fitted by likelihood to the best segments of all rows of the
    calibration fold that are labelled not toxic. A segment with E = K * n * exp(-lambda * S) <= SIGNIFICANT is a passage.
-4. Score. The evidence of a text is the sum of log(1 + 1 / E) over its segments. A logistic curve, fitted to all labelled
-   rows of the calibration fold, turns its logarithm into a probability.
+4. Score. The evidence of a text is -log of the chance that ordinary text has r segments whose scores add up so high
+   (Karlin and Altschul, 1993), for the number r of best segments that makes it most unlikely, each further segment at the
+   price of a factor 2. A logistic curve, fitted to all labelled rows of the calibration fold, turns it into a probability.
 
 Words are counted on at most `LABELLED` rows of each label, those with the smallest hashes of their ids; everything else
 covers all rows. The rows of fold 0 are never learnt from, those of fold `CALIBRATION` are kept from the counts.
@@ -38,12 +39,14 @@ GRAMS, SEEN = 1 << 18, 4
 IN_ONE_TEXT = 3
 SHORTEST, LONGEST, WHOLE = 3, 10, 40
 PRIOR = 10.0
-DRIFT = 0.5
+DRIFT = 1.0
+#: Log-odds that a prior has at most.
+MOST = 8.0
 SIGNIFICANT = 0.05
 THRESHOLD = 0.5
 #: Different words whose scores a Python worker remembers.
 WORDS_KEPT = 400_000
-#: Width of the bins of scores and of log evidence that fits read, so that the driver gets a bounded table.
+#: Width of the bins of scores and of evidence that fits read, so that the driver gets a bounded table.
 BIN = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
 TYPE = "array<struct<start: bigint, end: bigint, score: double>>"
@@ -71,7 +74,7 @@ def log_odds(counts: Iterable[tuple[str, int, int]], words: tuple[int, int]) ->
     found: dict[str, float] = {}
     for gram, c0, c1 in sorted(counts, key=lambda r: (r[0][-1:] == " ", len(r[0]), r[0])):
         shorter = (gram[:k] for k in range(min(len(gram.rstrip(" ")) - 1, LONGEST), SHORTEST - 1, -1))
-        prior = next((found[g] for g in shorter if g in found), 0.0)
+        prior = max(-MOST, min(MOST, next((found[g] for g in shorter if g in found), 0.0)))
         part = math.exp(prior) * toxic / (math.exp(prior) * toxic + ordinary)
         found[gram] = math.log((c1 + PRIOR * part) / toxic) - math.log((c0 + PRIOR * (1 - part)) / ordinary)
     return found
@@ -120,6 +123,11 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(first, end, hi - lo) for first, end, lo, hi, _ in kept]
 
 
+def on_curve(evidence: float) -> float:
+    """Evidence as the logistic curve sees it: large values count by their logarithm."""
+    return math.log1p(evidence)
+
+
 @dataclass
 class Model:
     odds: dict[str, float] = field(default_factory=dict)
@@ -128,17 +136,23 @@ class Model:
     offset: float = 0.0   # of the logistic curve
     slope: float = 0.0
 
-    def evidence(self, found: list[tuple[int, int, float]], words: int) -> float:
-        if not found:
+    def evidence(self, scores: np.ndarray, words: int) -> float:
+        """Of a text of so many words, from the scores of its segments. What is to be expected is no evidence."""
+        if not len(scores):
             return 0.0
-        e = self.log_k + math.log(words) - self.rate * np.array([s for _, _, s in found])
-        return float(np.logaddexp(0, -e).sum())
+        excess = self.rate * np.sort(scores)[::-1] - self.log_k - math.log(words)
+        many = np.arange(1, len(scores) + 1)
+        total = np.cumsum(excess)
+        choices = np.append(0, np.cumsum(np.log(many)))  # log of factorials
+        above = np.maximum(total, 1)
+        unlikely = np.where(total > 1, above - (many - 1) * np.log(above) + choices[many] + choices[many - 1], excess[0])
+        return max(0.0, float((unlikely - many * math.log(2)).max()))
 
     def significant(self, score: float, words: int) -> bool:
         return self.log_k + math.log(words) - self.rate * score <= math.log(SIGNIFICANT)
 
     def probability(self, evidence: float) -> float:
-        return 1 / (1 + math.exp(-(self.offset + self.slope * math.log(evidence + 1e-3))))
+        return 1 / (1 + math.exp(-(self.offset + self.slope * on_curve(evidence))))
 
 
 def extreme_law(cells: Iterable[tuple[float, float, float]]) -> tuple[float, float]:
@@ -178,19 +192,19 @@ def logistic(cells: Iterable[tuple[float, float, float]]) -> tuple[float, float]
     return (float(w[0]), float(w[1])) if w[1] > 0 else (math.log(toxic.sum() / (many.sum() - toxic.sum())), 0.0)
 
 
-def _training(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
-    """(id, text, label, fold) of the labelled rows that may be learnt from; a doc_id with both labels counts as toxic."""
-    known = (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id"))
-             .agg(F.max(label).cast("int").alias("_label")))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"), fold(F.col(doc_id)).alias("_fold"))
-    return rows.filter(F.col("_fold") != 0).join(known, "_id")
+def _known(labels: DataFrame, label: str) -> DataFrame:
+    """(id, label) of the labelled ids that may be learnt from; an id with both labels counts as toxic."""
+    return (labels.filter(F.col(label).isin(0, 1) & (fold(F.col("doc_id")) != 0)).groupBy(F.col("doc_id").alias("_id"))
+            .agg(F.max(label).cast("int").alias("_label")))
 
 
-def _counted(rows: DataFrame) -> tuple[list[tuple[str, int, int]], tuple[int, int]]:
-    """Counts of beginnings on a bounded number of rows of each label, and of all words."""
-    nth = F.xxhash64("_id", "_text")
-    some = [rows.filter((F.col("_fold") != CALIBRATION) & (F.col("_label") == y)).orderBy(nth, "_id").limit(LABELLED)
+def _counted(docs: DataFrame, known: DataFrame, doc_id: str, text: str) -> tuple[list[tuple[str, int, int]], tuple[int, int]]:
+    """Counts of beginnings on a bounded number of labelled texts, and of all words."""
+    some = [known.filter((fold(F.col("_id")) != CALIBRATION) & (F.col("_label") == y)).orderBy(F.xxhash64("_id"), "_id").limit(LABELLED)
             for y in (0, 1)]
+    chosen = stage_table(some[0].unionAll(some[1]), "toxic-chosen")
+    rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text")).join(
+        F.broadcast(chosen), "_id")  # at most LABELLED ids of each label
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -206,7 +220,7 @@ def _counted(rows: DataFrame) -> tuple[list[tuple[str, int, int]], tuple[int, in
                 yield pa.RecordBatch.from_arrays([pa.array(names), *(pa.array([c[x] for x in names], pa.int64()) for c in counts)],
                                                  ["gram", "c0", "c1"])
 
-    found = (some[0].unionAll(some[1]).select("_text", "_label").repartition(16, F.xxhash64("_text"))
+    found = (rows.select("_text", "_label")
              .mapInArrow(work, "gram string, c0 bigint, c1 bigint").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
              .filter(F.col("c0") + F.col("c1") >= SEEN).orderBy(F.desc(F.col("c0") + F.col("c1")), "gram").limit(GRAMS + 1)).toArrow()
     rows = list(zip(*(found.column(i).to_pylist() for i in range(3))))
@@ -233,15 +247,28 @@ def _segments_of(docs: DataFrame, kept: list[str], text: str, odds: dict[str, fl
     return docs.select(*kept, text).mapInArrow(work, f"{kinds}, words bigint, found array<double>")
 
 
+def _placed(judged: DataFrame, model: Model) -> DataFrame:
+    """(_label, x): the place of each text on the logistic curve."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words, found = (batch.column(i).to_pylist() for i in (1, 2))
+            x = [on_curve(model.evidence(np.array(s), n)) for n, s in zip(words, found)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.float64())], ["_label", "x"])
+
+    return judged.select("_label", "words", "found").mapInArrow(work, "_label int, x double")
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model from labelled rows; `labels` has doc_id and `label` (0 or 1, other values are passed over).
 
     Without rows of both labels the model has no words, and every text gets the rate of the label among what there is.
     """
-    rows = _training(docs, labels, doc_id, text, label)
-    counts, words = _counted(rows)
+    known = stage_table(_known(labels, label), "toxic-labels")
+    counts, words = _counted(docs, known, doc_id, text)
     model = Model(log_odds(counts, words) if min(words) else {})
-    judged = stage_table(_segments_of(rows.filter(F.col("_fold") == CALIBRATION), ["_label"], "_text", model.odds), "toxic-segments")
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).filter(fold(F.col("_id")) == CALIBRATION)
+    # texts are not shuffled, only what is found in them
+    judged = stage_table(_segments_of(rows, ["_id"], "_text", model.odds).join(known, "_id"), "toxic-segments")
 
     def binned(value: Column) -> Column:
         return (F.floor(value / BIN) * BIN + BIN / 2)
@@ -253,11 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     cells = zip(*(law.column(i).to_numpy() for i in range(3)))
     model.rate, model.log_k = extreme_law((2 ** ((size + 0.5) / 4), x, many) for size, x, many in cells)
 
-    def term(score: Column) -> Column:
-        return F.log1p(F.exp(F.least(score * model.rate - model.log_k - F.log("words"), F.lit(500.0))))
-
-    evidence = F.aggregate("found", F.lit(0.0), lambda total, s: total + term(s))
-    curve = (judged.groupBy(binned(F.log(evidence + 1e-3)).alias("x"))
+    curve = (_placed(judged, model).groupBy(binned(F.col("x")).alias("x"))
              .agg(F.count(F.lit(1)).alias("texts"), F.sum("_label").alias("toxic")).toArrow())
     model.offset, model.slope = logistic(zip(*(curve.column(i).to_numpy() for i in range(3))))
     return model
@@ -282,7 +305,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 told = [(a, b, s) for a, b, s in found if fitted.significant(s, len(words))]
                 places = [m.span() for m in _WORD.finditer(t)] if told else []
                 passages.append([(places[a][0], places[b - 1][1], s) for a, b, s in told])
-                evidence.append(fitted.evidence(found, len(words)))
+                evidence.append(fitted.evidence(np.array([s for _, _, s in found]), len(words)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(fitted.probability, evidence), pa.float64()),
                  pa.array(evidence, pa.float64()), pa.array(passages, _ARROW)], ["doc_id", "score", "evidence", "passages"])
