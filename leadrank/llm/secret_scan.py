@@ -1,8 +1,10 @@
-"""Secrets in texts: base patterns, and long tokens that look more like random strings than like identifiers.
+"""Secrets in texts: base patterns, and tokens that look more like random strings than like identifiers.
 
-Two first-order character models are learnt from labelled samples: values that the base patterns caught are random
-strings; other words, and pairs of them joined in camel and snake case, are ordinary identifiers. A token counts as a secret if the log-likelihood ratio of the two
-models outweighs the prior odds.
+Two first-order character models are learnt from labelled samples, over all documents: values that the base patterns
+caught are random strings; all other words, and pairs of neighbouring words joined in camel case, are ordinary
+identifiers. Both are interpolated with the same plain distribution of characters, so a pair that neither has seen says
+nothing. The marks / _ - = part an identifier: each part begins anew. A token counts as a secret if the log-likelihood
+ratio of the two models outweighs the prior odds and it has enough different characters (a ruler has not).
 """
 from __future__ import annotations
 
@@ -22,27 +24,34 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _WORDS = ("passw", "secret", "token", "api")  # one of them is in every match, in some case
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the longest runs, so the same as runs of any length that are then measured
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-_ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{3,}")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: Documents that the models are learnt from: at most so many, by smallest hash of the id.
-SAMPLE = 3000
-#: Weight of the even distribution in the model of random strings (per row of the table), and of any one character in
-#: that of identifiers.
-EVEN_WEIGHT = 200.0
-SMOOTHING = 1.0
+#: Characters of ALPHABET that count; the marks after them only part.
+INNER = 63
+#: Share of the plain distribution in the model of random strings and in that of identifiers.
+RANDOM_PLAIN, ORDINARY_PLAIN = 0.5, 0.1
+#: Different characters that a random token has at least.
+DIFFERENT = 8
 #: A token is taken to be random once in so many.
 PRIOR_ODDS = 10_000.0
 MASK = "[SECRET]"
 
-_CODE = np.full(128, len(ALPHABET), np.intp)
+START = len(ALPHABET)  # row of the table for the first character of a part
+_OUT = START + 1
+_CODE = np.full(129, _OUT, np.intp)  # the last place stands for all other characters
 for _i, _c in enumerate(ALPHABET):
     _CODE[ord(_c)] = _i
-START = len(ALPHABET)  # row of the table for the first character
 
 
-def _codes(token: str) -> np.ndarray:
-    return _CODE[np.frombuffer(token.encode("ascii"), np.uint8)]
+def _codes(text: str) -> np.ndarray:
+    """Number of each code point in ALPHABET, or _OUT."""
+    return _CODE[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 128)]
+
+
+def _before(codes: np.ndarray) -> np.ndarray:
+    """The row of the table that each character is looked up in."""
+    before = np.full(len(codes), START)
+    before[1:] = np.where(codes[:-1] < INNER, codes[:-1], START)
+    return before
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, bool, str]]:
@@ -63,62 +72,77 @@ class Ratio:
 
     @staticmethod
     def of(random: np.ndarray, ordinary: np.ndarray) -> Ratio:
-        """From pair counts, rows by first character (START for none)."""
-        n = len(ALPHABET)
-        random = random + EVEN_WEIGHT / n
-        ordinary = ordinary + SMOOTHING
-        # where a first character was hardly seen, the plain frequencies of characters help out
-        ordinary = ordinary + 5 * ordinary.sum(0) / ordinary.sum()
-        return Ratio(np.log(random / random.sum(1, keepdims=True)) - np.log(ordinary / ordinary.sum(1, keepdims=True)))
+        """From pair counts, rows by first character (START for none). Without any, every ratio is even."""
+        random, ordinary = (np.asarray(x, float)[:, :INNER] for x in (random, ordinary))
+        pooled = (random.sum(0) + 1) / (random.sum() + INNER) + (ordinary.sum(0) + 1) / (ordinary.sum() + INNER)
+        plain = pooled / 4 + 0.5 / INNER
+
+        def mixed(counts: np.ndarray, share: float) -> np.ndarray:
+            total = counts.sum(1, keepdims=True)
+            return np.where(total > 0, (1 - share) * counts / np.maximum(total, 1) + share * plain, plain)
+
+        table = np.zeros((START + 2, _OUT + 1))
+        table[:START + 1, :INNER] = np.log(mixed(random, RANDOM_PLAIN)) - np.log(mixed(ordinary, ORDINARY_PLAIN))
+        return Ratio(table)
 
     def of_token(self, token: str) -> float:
         codes = _codes(token)
-        return float(self.table[START, codes[0]] + self.table[codes[:-1], codes[1:]].sum())
+        return float(self.table[_before(codes), codes].sum())
 
 
 def pair_counts(texts: list[str]) -> np.ndarray:
     """(2, rows, characters): pairs in labelled samples of ordinary identifiers (0) and random strings (1)."""
-    counts = np.zeros((2, len(ALPHABET) + 1, len(ALPHABET)), np.int64)
+    random, plain = [], []
     for text in texts:
         found = base_spans(text)
-        taken = Taken(s[:4] for s in found)
-        samples = [(1, "".join(c for c in value if c in ALPHABET)) for *_, value in found]
-        plain = [m[0] for m in _ORDINARY.finditer(text) if not taken.overlaps(*m.span())]
-        # words also stand for the identifiers that are made of them
-        samples += [(0, form) for a, b in zip(plain, [*plain[1:], ""]) for form in (a, a + b.capitalize(), f"{a}_{b}")]
-        for label in (0, 1):
-            for token in (t for which, t in samples if which == label and t):
-                codes = _codes(token)
-                counts[label, START, codes[0]] += 1
-                np.add.at(counts[label], (codes[:-1], codes[1:]), 1)
+        random += [value for *_, value in found]
+        plain.append(redact(text, [s[:4] for s in found], "\x00") if found else text)
+    counts = np.zeros((2, START + 1, START), np.int64)
+    for label, joined in ((0, "\n".join(plain)), (1, "\n".join(random))):
+        codes = _codes(joined)
+        pairs = [(_before(codes), codes)]
+        if label == 0:  # words also stand for the identifiers that are made of them
+            inner = codes < INNER
+            starts = np.flatnonzero(inner & np.append(True, ~inner[:-1])) if len(codes) else np.zeros(0, np.intp)
+            ends = np.flatnonzero(inner & np.append(~inner[1:], True)) if len(codes) else starts
+            upper = np.where(codes[starts] < 26, codes[starts] + 26, codes[starts])
+            longer = ends > starts
+            pairs += [(codes[ends[:-1]], upper[1:]), (upper[longer], codes[starts[longer] + 1])]
+        for a, b in pairs:
+            fits = b < INNER
+            counts[label] += np.bincount(a[fits] * START + b[fits], minlength=(START + 1) * START).reshape(START + 1, START)
     return counts
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Ratio:
-    """Learn both models from at most `sample` documents. Without any, both are even and no token is a secret."""
-    chosen = (docs.filter(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id")).distinct()
-              .orderBy(F.xxhash64("_id"), "_id").limit(sample))
-    shape = (2, len(ALPHABET) + 1, len(ALPHABET))
-
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Ratio:
+    """Learn both models from all documents. Without any, both are even and no token is a secret."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts = pair_counts([t or "" for t in batch.column(0).to_pylist()]).ravel()
         at = np.flatnonzero(counts)
         return pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["cell", "n"])
 
-    texts = docs.select(F.col(doc_id).alias("_id"), text).join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).select(text)
-    counts = np.zeros(shape).ravel()
-    for row in map_batches(texts, work, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        counts[row.cell] = row.n
-    ordinary, random = counts.reshape(shape)
+    counts = np.zeros(2 * (START + 1) * START)
+    for row in map_batches(docs.select(text), work, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[row.cell] = row.n  # one row a cell
+    ordinary, random = counts.reshape(2, START + 1, START)
     return Ratio.of(random, ordinary)
 
 
 def find(text: str, ratio: Ratio, odds: float = PRIOR_ODDS) -> list[Span]:
     """Base spans, and tokens apart from them whose ratio outweighs the prior odds."""
     spans = [s[:4] for s in base_spans(text)]
-    threshold, taken = float(np.log(odds)), Taken(spans)
-    return spans + [(m.start(), len(KINDS), m.end(), False) for m in _TOKEN.finditer(text)
-                    if ratio.of_token(m[0]) > threshold and not taken.overlaps(*m.span())]
+    codes = _codes(text)
+    if not len(codes):
+        return spans
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], codes < START, [False]]).astype(np.int8)))
+    start, end = edges[::2], edges[1::2]
+    total = np.append(0, np.cumsum(ratio.table[_before(codes), codes]))
+    at = np.flatnonzero((end - start >= DIFFERENT) & (total[end] - total[start] > np.log(odds)))
+    if len(at):
+        taken = Taken(spans)
+        spans += [(a, len(KINDS), b, False) for a, b in zip(start[at].tolist(), end[at].tolist())
+                  if len(np.unique(codes[a:b][codes[a:b] < INNER])) >= DIFFERENT and not taken.overlaps(a, b)]
+    return spans
 
 
 def scan(docs: DataFrame, ratio: Ratio, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
