@@ -21,11 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ROWS_AT_ONCE = 1000
 
 
-def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut to at most ROWS_AT_ONCE rows; empty ones are passed over."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most `rows` rows; empty ones are passed over."""
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(at, ROWS_AT_ONCE)
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage_table
-from .common import slices, utf8
-from .tokens import VOCABULARY, encode
+from .common import slices
+from .tokens import TEXTS_AT_ONCE, VOCABULARY, encode
 
 CAPACITY = 2048
 #: Pieces that one partition packs in the first round.
@@ -39,9 +39,9 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
            vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, doc_id, piece, start, length, ids) as a stage table; ids are little-endian unsigned 32-bit integers."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, TEXTS_AT_ONCE):
             rows, data = [], []
-            for row, ids in enumerate(encode(utf8(batch.column(1)), vocabulary)):
+            for row, ids in enumerate(encode(batch.column(1), vocabulary)):
                 for number, (start, length) in enumerate(cuts(len(ids), capacity)):
                     rows.append((row, number, start, length))
                     data.append(ids[start:start + length].tobytes())

@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import slices, utf8
-from .tokens import VOCABULARY, encode
+from .common import slices
+from .tokens import TEXTS_AT_ONCE, VOCABULARY, encode
 
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
@@ -29,8 +29,8 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
-            ids = encode(utf8(batch.column(1)), vocabulary)
+        for batch in slices(batches, TEXTS_AT_ONCE):
+            ids = encode(batch.column(1), vocabulary)
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.full(len(ids), part, np.int32)), pa.array(at + bounds[:-1]),

@@ -1,28 +1,36 @@
 """Whole texts to token ids with a public vocabulary file.
 
 The byte-level pattern starts a new piece at every blank that follows a character other than white space, and no piece
-depends on what comes before it. So a text without white space before a blank is the sum of its blank-separated words,
-and each different word is encoded once and remembered. Other texts are encoded as they are.
+depends on what comes before it. So a text without white space before a blank and without special tokens is the sum
+of its blank-separated words. Arrow splits a group of texts and numbers its different words; each of those is looked up
+or encoded once, and numpy deals out their ids. Other texts are encoded as they are.
 """
 from __future__ import annotations
 
 import functools
 import os
-import re
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0  # id that closes each document
 #: Bytes of text that are taken at once, so that memory follows this and the longest text.
-GROUP_BYTES = 4_000_000
-#: Words that a Python worker remembers before it starts afresh, and words that are encoded in one call.
-WORDS_KEPT, WORDS_AT_ONCE = 600_000, 1000
-#: Longer words are encoded by themselves and forgotten at once.
+GROUP_BYTES = 6_000_000
+#: Texts that callers give to `encode` at once: the more, the fewer words are looked up again.
+TEXTS_AT_ONCE = 4000
+#: Words that a Python worker remembers before it forgets half of them, and words that are encoded in one call.
+WORDS_KEPT, WORDS_AT_ONCE = 800_000, 1000
+#: Longer words are encoded by themselves and soon forgotten.
 LONG_WORD = 100
-_MARKS = frozenset(",.;:!?")
+_MARKS = ",.;:!?"
+_ENDED = f"^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[{_MARKS}]$"
 _LETTERS_BELOW = "\u0250"  # letters that every version of Unicode calls so
-_BOUND_BLANK = re.compile(r"\s ")
+#: White space before a blank, for Arrow's regular expressions.
+_BOUND_BLANK = "[\\t-\\r\\x1c-\\x1f\\x{85}\\p{Z}] "
 
 
 @functools.lru_cache(maxsize=4)
@@ -31,89 +39,159 @@ def _tokenizer(vocabulary: str):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
-    return tokenizer
+    return Tokenizer.from_file(public_tokenizers.path(vocabulary))
 
 
 def _direct(tokenizer, texts: list[str]) -> list[bytes]:
     return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+class _Memory:
+    """Ids of words seen before, in arrays: Arrow finds words, numpy takes their ids."""
+
+    def __init__(self):
+        self.words = pa.array([], pa.string())
+        self.flat = np.zeros(0, "<u4")
+        self.starts = self.many = self.used = np.zeros(0, np.int64)
+        self.turn = 0
+
+    def find(self, words: pa.StringArray) -> np.ndarray:
+        """Places of the words, -1 for those not seen."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, ids: dict[str, bytes]) -> None:
+        if not ids:
+            return
+        many = np.fromiter(map(len, ids.values()), np.int64, len(ids)) // 4
+        self.words = pa.concat_arrays([self.words, pa.array(ids, pa.string())])
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(many) - many)
+        self.flat = np.append(self.flat, np.frombuffer(b"".join(ids.values()), "<u4"))
+        self.many = np.append(self.many, many)
+        self.used = np.append(self.used, np.full(len(ids), self.turn))
+
+    def trim(self) -> None:
+        """Forget long words, and of too many words those that were not used for longest."""
+        self.turn += 1
+        keep = pc.binary_length(self.words).to_numpy(zero_copy_only=False) <= 4 * LONG_WORD
+        if len(keep) > WORDS_KEPT:
+            keep &= self.used >= np.partition(self.used, -WORDS_KEPT // 2)[-WORDS_KEPT // 2]
+        if not keep.all():
+            many = self.many[keep]
+            ends = np.cumsum(many)
+            self.flat = self.flat[np.repeat(self.starts[keep] - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)]
+            self.words, self.used, self.many, self.starts = self.words.filter(pa.array(keep)), self.used[keep], many, ends - many
+
+
 @functools.lru_cache(maxsize=8)
-def _known(vocabulary: str, blank: str) -> dict[str, bytes]:
-    """Ids of words seen so far, each with `blank` before it."""
-    return {}
+def _memory(vocabulary: str, blank: str) -> _Memory:
+    """Words with `blank` before them."""
+    return _Memory()
 
 
-def _learn(tokenizer, known: dict[str, bytes], words: set[str], blank: str, first: dict[str, bytes]) -> None:
-    """Encode new words in a few long texts, one a line.
+@functools.lru_cache(maxsize=4)
+def _letters_model(vocabulary: str):
+    """Encodes words of plain letters, each a single piece, by the tokenizer's own model: no pieces need be looked for."""
+    from tokenizers import pre_tokenizers
+
+    model = _tokenizer(vocabulary).model
+    as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def ids_of(words: list[str], blank: str) -> Iterator[bytes]:
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            (mapped, _), = as_bytes.pre_tokenize_str("\n".join(blank + w for w in words[at:at + WORDS_AT_ONCE]))
+            for piece in mapped.split(feed):
+                yield array("I", [t.id for t in model.tokenize(piece)]).tobytes()
+
+    (feed, _), = as_bytes.pre_tokenize_str("\n")
+    return ids_of
+
+
+def _learn(new: list[str], blank: str, vocabulary: str) -> dict[str, bytes]:
+    """Ids of different new words: those of plain letters by the model, all others by the whole tokenizer."""
+    letters, odd = [], []
+    for w in new:
+        plain = w.isalpha() and (w.isascii() or max(w) < _LETTERS_BELOW) and len(w) <= LONG_WORD
+        (letters if plain else odd).append(w)
+    out = dict(zip(letters, _letters_model(vocabulary)(letters, blank)))
+    out.update(zip(odd, _direct(_tokenizer(vocabulary), [blank + w for w in odd])))
+    return out
 
-    Two rules keep the number of different words low: a mark that ends a word of plain letters is a piece of its own,
-    and so is a single line break between words, after which a piece starts as at the start of a text (`first`).
+
+def _ids_of(words: pa.StringArray, blank: str, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, numbers): the ids of each of these different words, one after another, and how many each has.
+
+    A mark that ends a word of plain letters is a piece of its own, so only the letters before it are looked up.
+    """
+    memory = _memory(vocabulary, blank)
+    memory.trim()
+    ended = pc.match_substring_regex(words, _ENDED)
+    coded = pc.if_else(ended, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+    stems = coded.dictionary
+    at = memory.find(stems)
+    missing = np.flatnonzero(at < 0)
+    if len(missing):
+        at[missing] = len(memory.words) + np.arange(len(missing))
+        new = stems.take(pa.array(missing)).to_pylist()
+        fresh = _learn(new, blank, vocabulary)
+        memory.add({w: fresh[w] for w in new})
+    memory.used[at] = memory.turn
+    at = at[coded.indices.to_numpy()]
+    mark = ended.to_numpy(zero_copy_only=False)
+    many = memory.many[at]
+    number = many + mark
+    own = np.ones(int(number.sum()), bool)
+    own[np.cumsum(number)[mark] - 1] = False
+    ids = np.empty(len(own), "<u4")
+    ids[own] = memory.flat[np.repeat(memory.starts[at] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
+    marks = np.array([np.frombuffer(x, "<u4")[0] for x in _direct(_tokenizer(vocabulary), list(_MARKS))], "<u4")
+    ids[~own] = marks[pc.index_in(pc.utf8_slice_codeunits(words.filter(ended), -1), value_set=pa.array(list(_MARKS))).to_numpy()]
+    return ids, number
+
+
+def _group(texts: pa.StringArray, vocabulary: str, last: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts in one array, and where each text's begin and end: words are told apart and dealt out by Arrow."""
+    tokenizer = _tokenizer(vocabulary)
+    odd = pc.match_substring_regex(texts, _BOUND_BLANK)
+    if "ByteLevel" not in str(tokenizer.pre_tokenizer):
+        odd = pa.array([True] * len(texts))
+    for token in tokenizer.get_added_tokens_decoder().values():
+        odd = pc.or_(odd, pc.match_substring(texts, token.content))
+    whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+    units = [last, *_direct(tokenizer, texts.filter(odd).to_pylist())]
+    split = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+    starts = split.offsets.to_numpy()
+    coded = split.values.dictionary_encode()
+    words, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    begin = np.unique(code[starts[:-1]])
+    # one table of units: the end, whole texts, first words, later words
+    tables = [(np.frombuffer(b"".join(units), "<u4"), np.fromiter(map(len, units), np.int64, len(units)) // 4),
+              _ids_of(words.take(pa.array(begin)), "", vocabulary), _ids_of(words, " ", vocabulary)]
+    ids, many = (np.concatenate([t[i] for t in tables]) for i in (0, 1))
+    places = np.cumsum(many) - many
+    first = len(units) + np.searchsorted(begin, code[starts[:-1]])
+    first[whole] = 1 + np.arange(len(whole))
+    code += len(units) + len(begin)
+    code[starts[:-1]] = first
+    code = np.insert(code, starts[1:], 0)
+    lengths = many[code]
+    ends = np.cumsum(lengths)
+    at = np.repeat((places[code] - ends + lengths).astype(np.int32), lengths)
+    at += np.arange(ends[-1], dtype=np.int32)
+    return ids[at], np.append(0, ends[starts[1:] + np.arange(len(texts))])
+
+
+def encode(texts: list[bytes] | pa.StringArray, vocabulary: str = VOCABULARY, end: int = END) -> list[np.ndarray]:
+    """Ids of each text as little-endian uint32, closed by `end`. A null text is an empty one.
+
+    They are those of the plain library call without added special tokens: where a special token's own string stands in
+    a text, it is that token.
     """
-    line = tokenizer.encode("\n", add_special_tokens=False).ids
-    alone = [w for w in words if len(w) > LONG_WORD or len(line) != 1]
-    known.update(zip(alone, _direct(tokenizer, [blank + w for w in alone])))
-    words = words.difference(alone)
-    broken = {w: w.split("\n") for w in words if "\n" in w}
-    broken = {w: lines for w, lines in broken.items() if w.split() == lines}
-    if broken:
-        words = words.difference(broken) | {lines[0] for lines in broken.values()}.difference(known)
-        tails = {t for lines in broken.values() for t in lines[1:]}.difference(first)
-        _learn(tokenizer, first, tails, "", first)
-    ended = {w for w in words if w[-1:] in _MARKS and w[:-1].isalpha() and max(w) < _LETTERS_BELOW}
-    words = (words - ended) | {w[:-1] for w in ended}.difference(known)
-    plain = [w for w in words if w.split() == [w]]
-    blocks = [plain[i:i + WORDS_AT_ONCE] for i in range(0, len(plain), WORDS_AT_ONCE)]
-    texts = ["\n".join(blank + w for w in block) for block in blocks]
-    for block, found in zip(blocks, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-        ids = np.array(found.ids, "<u4")
-        ends = np.append(np.flatnonzero(ids == line[0]), len(ids)).tolist()
-        data, at = ids.tobytes(), 0
-        for word, end in zip(block, ends, strict=True):
-            known[word] = data[4 * at:4 * end]
-            at = end + 1
-    odd = list(words.difference(plain))
-    known.update(zip(odd, _direct(tokenizer, [blank + w for w in odd])))
-    marks = dict(zip(_MARKS, _direct(tokenizer, list(_MARKS))))
-    known.update((w, known[w[:-1]] + marks[w[-1]]) for w in ended)
-    feed = np.array(line, "<u4").tobytes()
-    known.update((w, feed.join([known[lines[0]], *(first[t] for t in lines[1:])])) for w, lines in broken.items())
-
-
-def encode(texts: list[bytes], vocabulary: str = VOCABULARY, end: int = END) -> list[np.ndarray]:
-    """Ids of each text as little-endian uint32, closed by `end`."""
-    tokenizer, out, at = _tokenizer(vocabulary), [], 0
-    by_words = "ByteLevel" in str(tokenizer.pre_tokenizer)
-    first, later = _known(vocabulary, ""), _known(vocabulary, " ")
-    last = np.array([end], "<u4").tobytes()
-    while at < len(texts):
-        stop, size = at, 0
-        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= GROUP_BYTES):
-            size += len(texts[stop])
-            stop += 1
-        group = [t.decode() for t in texts[at:stop]]
-        whole = [i for i, t in enumerate(group) if not by_words or _BOUND_BLANK.search(t)]
-        encoded = dict(zip(whole, _direct(tokenizer, [group[i] for i in whole])))
-        parts = {i: t.split(" ") for i, t in enumerate(group) if i not in encoded}
-        long: list[tuple[dict[str, bytes], str]] = []
-        for known, blank, words_of in ((first, "", lambda words: words[:1]), (later, " ", lambda words: words[1:])):
-            if len(known) > WORDS_KEPT:
-                known.clear()
-            new: set[str] = set()
-            for words in parts.values():
-                new |= set(words_of(words)).difference(known)
-            _learn(tokenizer, known, new, blank, first)
-            long += [(known, w) for w in new if len(w) > LONG_WORD]
-        for i in range(len(group)):
-            if i in encoded:
-                ids = [encoded[i]]
-            else:
-                words = parts[i]
-                ids = [first[words[0]], *map(later.__getitem__, words[1:])]
-            out.append(np.frombuffer(b"".join([*ids, last]), "<u4"))
-        for known, word in long:
-            del known[word]
+    column = pc.fill_null(pa.array(texts, pa.binary()).cast(pa.string()) if isinstance(texts, list) else texts, "")
+    size = np.append(0, np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))) if len(column) else np.zeros(1, np.int64)
+    out, at, last = [], 0, np.array([end], "<u4").tobytes()
+    while at < len(column):
+        stop = max(at + 1, int(np.searchsorted(size, size[at] + GROUP_BYTES, side="right")) - 1)
+        ids, bounds = _group(column.slice(at, stop - at), vocabulary, last)
+        out += [ids[a:b] for a, b in zip(bounds, bounds[1:])]
         at = stop
     return out

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -109,13 +110,18 @@ def test_token_files_round_trip(spark, odd, tmp_path):
     assert token_orc.read(spark, path + "-none").count() == 0
 
 
-def test_encoding_by_words_equals_encoding_at_once():
+def test_encoding_by_words_equals_encoding_at_once(monkeypatch):
     rng = random.Random(11)
     tok = tokens._tokenizer(tokens.VOCABULARY)
     bits = [" ", "  ", "\n", "\n ", " \n", "\t", "\u00a0", "\u3000", "\x1f", "don't", "it's", "word", "Wörter,", "123", "...", "<|endoftext|>", "漢字", "🙂", "Ċ", "'", "a", "_b", "ab,", "ab,,", "é.", "1.", "a1!", "Äß?", "a.\nB", "\nB,"]
     texts = ["".join(rng.choice(bits + [" "] * 12) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
     texts += [" ".join(rng.choice(bits[9:]) for _ in range(40)) for _ in range(500)] + ["x" * 5000 + ", " + "y.\n" * 3000 + "z é" + "ß" * 101] + ["", " ", "  ", " a", "a ", "\n"]
     got = tokens.encode([t.encode() for t in texts])
+    assert len(got) == len(texts)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 500)
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 50)  # generations change often
+    again = tokens.encode(pa.array([*texts, None]).slice(1))
+    assert [x.tolist() for x in again] == [*[x.tolist() for x in got[1:]], [0]]
     for text, ids in zip(texts, got):
         assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, 0], repr(text)
 
