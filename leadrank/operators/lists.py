@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
 from ..functions.text import pretty_name
+from ..session import stage_table
 from .rank import lead_order, top
+from .search import TrigramIndex, build_index
 
 
 def assemble(scores: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -61,6 +63,12 @@ def brief_candidates(leads: DataFrame, size: int = 25) -> DataFrame:
     return priority(leads, size)
 
 
+def keyed(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row with the map `entries`: key -> struct of the columns. For a list whose length a limit bounds."""
+    pair = F.struct(key, F.struct(*columns))
+    return rows.agg(F.map_from_entries(F.array_sort(F.collect_list(pair))).alias("entries"))
+
+
 def folder(leads: DataFrame, folder_id: str) -> DataFrame:
     if folder_id == "priority":
         return priority(leads)
@@ -84,6 +92,22 @@ def search(leads: DataFrame, citations: DataFrame, query: str | None) -> DataFra
             .filter(own | F.coalesce("_cited", F.lit(False))).drop("_cited"))
 
 
+def search_index(leads: DataFrame, citations: DataFrame) -> TrigramIndex:
+    """Index of all that `search` looks at."""
+    own = leads.select("facility_id", pretty_name(F.col("name")).alias("a"), F.col("city").alias("b"), F.col("zip5").alias("c"))
+    cited = citations.select("facility_id", F.col("standard").alias("a"), F.col("title").alias("b"), F.lit(None).cast("string").alias("c"))
+    return build_index(own.unionByName(cited), "facility_id", [F.col(c) for c in "abc"])
+
+
+def search_indexed(leads: DataFrame, citations: DataFrame, index: TrigramIndex, query: str | None) -> DataFrame:
+    """As `search`, but only leads with all trigrams of the query are compared; `index` is of the same leads or more."""
+    found = index.candidates((query or "").strip())
+    if found is None:
+        return search(leads, citations, query)
+    found = stage_table(found, "candidates")
+    return search(leads.join(found, "facility_id", "left_semi"), citations.join(found, "facility_id", "left_semi"), query)
+
+
 def apply_filters(leads: DataFrame, citations: DataFrame, state: str | None = None,
                   industry: str | None = None, signal: str | None = None,
                   ready_only: bool = False, query: str | None = None, states=None) -> DataFrame:

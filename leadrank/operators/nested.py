@@ -20,50 +20,62 @@ def shown_evidence(evidence: DataFrame, shown: DataFrame) -> DataFrame:
     return evidence.join(shown.select("facility_id"), "facility_id", "left_semi")
 
 
+def _kept() -> Column:
+    return (F.col("kind") == "citation") & (F.col("category") != rules.OTHER)
+
+
+def _public() -> dict[str, Column]:
+    """Public form of a citation's fields."""
+    return {
+        "standard": F.col("citation"), "title": F.col("title"), "category": F.col("category"),
+        "type": violation_label(F.col("viol_type")), "issued": F.col("evidence_date"),
+        "penalty_usd": whole_penalty(F.col("current_penalty"), F.col("initial_penalty")),
+        "under_contest": F.col("contest_date").isNotNull() & F.col("final_order_date").isNull()}
+
+
 def kept_citations(evidence: DataFrame) -> DataFrame:
     """Dust-related citations in public form."""
-    mine = evidence.filter((F.col("kind") == "citation") & (F.col("category") != rules.OTHER))
-    return mine.select(
-        "facility_id", "activity_nr", "open_date", "dust_program",
-        F.col("citation").alias("standard"), "title", "category",
-        violation_label(F.col("viol_type")).alias("type"), F.col("evidence_date").alias("issued"),
-        whole_penalty(F.col("current_penalty"), F.col("initial_penalty")).alias("penalty_usd"),
-        (F.col("contest_date").isNotNull() & F.col("final_order_date").isNull()).alias("under_contest"))
+    return evidence.filter(_kept()).select(
+        "facility_id", "activity_nr", "open_date", "dust_program", *[c.alias(name) for name, c in _public().items()])
 
 
-def kept_inspections(evidence: DataFrame) -> DataFrame:
-    """Records with a dust-related citation or a program; other citations counted."""
+def _record_aggregates() -> list[Column]:
     cited = F.col("kind") == "citation"
     other = cited & (F.col("category") == rules.OTHER)
-    return (evidence.groupBy("facility_id", "activity_nr").agg(
-                F.max("open_date").alias("opened"), F.max("dust_program").alias("dust_program"),
-                F.count_if(cited & ~other).alias("citation_count"),
-                F.count_if(other).alias("other_citations"))
-            .filter((F.col("citation_count") > 0) | F.col("dust_program").isNotNull()))
+    return [F.max("open_date").alias("opened"), F.max("dust_program").alias("dust_program"),
+            F.count_if(cited & ~other).alias("citation_count"), F.count_if(other).alias("other_citations")]
+
+
+def _worth_showing() -> Column:
+    return (F.col("citation_count") > 0) | F.col("dust_program").isNotNull()
+
+
+def kept_inspections(evidence: DataFrame) -> DataFrame:
+    """Records with a dust-related citation or a program; other citations counted."""
+    return evidence.groupBy("facility_id", "activity_nr").agg(*_record_aggregates()).filter(_worth_showing())
 
 
 def nested_inspections(evidence: DataFrame) -> DataFrame:
     """(facility_id, inspections[]): newest record first, citations in a fixed order.
 
-    `evidence` is read twice: pass a stage table.
+    One grouping by record, one by entity. If `evidence` is bucketed by entity, neither needs an exchange.
     """
-    records = kept_inspections(evidence)
-    sort_key = [F.col(c) for c in ("category", "standard", "issued", "type", "penalty_usd")]
-    item = F.struct(*sort_key, "title", "under_contest")
-    lists = kept_citations(evidence).groupBy("facility_id", "activity_nr").agg(
-        F.array_sort(F.collect_list(item)).alias("items"))
+    public = _public()
+    sort_key = ["category", "standard", "issued", "type", "penalty_usd"]
+    item = F.struct(*[public[name].alias(name) for name in (*sort_key, "title", "under_contest")])
+    records = evidence.groupBy("facility_id", "activity_nr").agg(
+        *_record_aggregates(), F.array_sort(F.collect_list(F.when(_kept(), item))).alias("items")).filter(_worth_showing())
     inspection = F.struct(
         F.date_diff(F.lit("9999-01-01").cast("date"), "opened").alias("_age"), "activity_nr",
         F.struct(
             F.col("activity_nr").cast("string").alias("inspection_id"), "opened", "dust_program",
             record_link(F.col("activity_nr")).alias("url"),
-            F.transform(F.coalesce("items", F.array().cast(lists.schema["items"].dataType)), lambda c: F.struct(
+            F.transform("items", lambda c: F.struct(
                 c["standard"].alias("standard"), c["title"].alias("title"), c["category"].alias("category"),
                 c["type"].alias("type"), c["issued"].alias("issued"),
                 c["penalty_usd"].alias("penalty_usd"), c["under_contest"].alias("under_contest")))
             .alias("citations"), "other_citations").alias("inspection"))
-    return (records.join(lists, ["facility_id", "activity_nr"], "left")
-            .groupBy("facility_id").agg(F.array_sort(F.collect_list(inspection)).alias("sorted"))
+    return (records.groupBy("facility_id").agg(F.array_sort(F.collect_list(inspection)).alias("sorted"))
             .select("facility_id", F.transform("sorted", lambda x: x["inspection"]).alias("inspections")))
 
 

@@ -7,18 +7,19 @@ row-level definitions; a query without SQL is tested against brute force in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import rules
 from ..functions import text, values
 from ..functions.codes import prefix_lookup, range_lookup
-from ..operators import (evaluate, explain, features, ground, history, link, lists, match, nested, points,
-                         quality, rank, score, staging)
+from ..operators import (evaluate, explain, features, ground, history, link, lists, lookup, match, nested, paging,
+                         points, quality, rank, score, staging)
 from . import oracle as o
 from . import star_profile as p
 from .star_profile import StarTables
-from ..session import scratch_path, stage_table
+from ..session import bucketed_table, scratch_path, stage_table
 from ..sources import archives, csv_ranges, incremental, sinks, text_files
 from ..sources.store import Store
 
@@ -448,6 +449,7 @@ def checks(t: StarTables) -> DataFrame:
 
 
 def _gate_tables(t: StarTables) -> dict[str, DataFrame]:
+    t.stage("inspections", "violations")  # every branch of the gate reads them
     return {"inspections": t.inspections, "facility_map": t.facility_map, "facilities": t.facts,
               "violations": t.violations, "withdrawn": t.withdrawn, "standard_lookup": t.lookup,
               "scores": stage_table(t.scores, "scores"), "evidence": stage_table(t.evidence, "evidence"), "signals": t.signals, "run_params": t.params}
@@ -654,8 +656,8 @@ def list_query(t: StarTables) -> DataFrame:
 
 @query("q_list_page", o.check(f"SELECT {', '.join(_TOP)} FROM shown ORDER BY lower(name), {_ORDER} LIMIT 60 OFFSET 60"))
 def list_page(t: StarTables) -> DataFrame:
-    """Second page of the list in name order."""
-    return rank.page(t.shown, lists.sort_order("name"), rules.PAGE_SIZE, rules.PAGE_SIZE).select(*_TOP)
+    """Second page of the list in name order, from the partitions that hold it."""
+    return paging.ordered_table(t.shown.select(*_TOP), lists.sort_order("name")).page(rules.PAGE_SIZE, rules.PAGE_SIZE)
 
 
 @query("q_next_leads", o.check(f"SELECT {', '.join(_TOP)} FROM scores WHERE tier = 'Hot' AND outreach_eligible "
@@ -677,8 +679,9 @@ def dimension_values(t: StarTables) -> DataFrame:
 # --------------------------------------------------------- nesting and explaining
 def _records(t: StarTables) -> DataFrame:
     ranked = rank.global_rank(lists.assemble(t.scores, t.centroids), rank.lead_order())
-    shown = stage_table(nested.shown_leads(ranked), "ranked")
-    evidence = stage_table(nested.shown_evidence(t.evidence, shown), "evidence")
+    # a record is one document a lead, so both tables may lie by lead: nothing is exchanged from here on
+    shown = bucketed_table(nested.shown_leads(ranked), "facility_id", "ranked")
+    evidence = bucketed_table(nested.shown_evidence(t.evidence, shown), "facility_id", "evidence")
     return nested.lead_records(shown, evidence)
 
 
@@ -1340,3 +1343,143 @@ def history_commit(t: StarTables) -> DataFrame:
         if table is kept:
             store.commit(history={"": folder})
     return store.read("history").select("as_of", "run_seq", "facility_id")
+
+
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_tax", "l_shipdate"]
+
+
+@query("q_deep_page", f"""WITH placed AS (SELECT {', '.join(_LINE)}, row_number() OVER (ORDER BY l_extendedprice DESC, {', '.join(_LINE[:4] + _LINE[5:])}) AS position FROM lineitem)
+SELECT position, l_orderkey, l_linenumber, l_extendedprice FROM placed, (SELECT count(*) AS n FROM lineitem)
+WHERE position > 2 * n // 3 AND position <= 2 * n // 3 + 60""")
+def deep_page(t: StarTables) -> DataFrame:
+    """A page two thirds down the list of all line items by price."""
+    order = [F.desc("l_extendedprice"), *map(F.asc, _LINE[:4] + _LINE[5:])]
+    placed = paging.ordered_table(t.read("lineitem").select(*_LINE), order)
+    return placed.page(2 * len(placed) // 3, 60, "position").select("position", "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+_SOUGHT = ["53", "works 1", "Port O'", "dust", "1910.1053", "NATION 7", "nothing like it", "e", " 104 "]
+
+
+@query("q_list_search_index", o.check(f"""SELECT q AS query, facility_id FROM shown s, (VALUES {o.values([(x,) for x in _SOUGHT])}) v(q)
+  WHERE contains(lower({o.pretty('name')}), lower(trim(q))) OR contains(lower(coalesce(city, '')), lower(trim(q))) OR contains(coalesce(zip5, ''), lower(trim(q)))
+    OR facility_id IN (SELECT facility_id FROM cites WHERE contains(lower(standard), lower(trim(q))) OR contains(lower(title), lower(trim(q))))"""))
+def list_search_index(t: StarTables) -> DataFrame:
+    """Several searches over one trigram index of all shown leads."""
+    index = lists.search_index(t.staged_shown, t.citations)
+    found = [lists.search_indexed(t.staged_shown, t.citations, index, q).select(F.lit(q).alias("query"), "facility_id") for q in _SOUGHT]
+    return reduce(DataFrame.unionAll, found)
+
+
+_RANGES = ["o_orderkey AS position", "o_orderkey * 7919 % 1000003 AS lo", "o_orderkey * 7919 % 1000003 + o_custkey % 300 - 20 AS hi",
+           "o_orderpriority AS title"]
+_NUMBER = "(l_partkey * 7907 + l_suppkey * 31 + l_linenumber) % 1000003"
+
+
+@query("q_range_join", f"""WITH r AS (SELECT {', '.join(_RANGES)} FROM orders), n AS (SELECT DISTINCT {_NUMBER} AS number FROM lineitem),
+first AS (SELECT number, min(position) AS position FROM n JOIN r ON number BETWEEN lo AND hi GROUP BY number)
+SELECT l_orderkey, l_linenumber, number, lo, hi, title FROM (SELECT l_orderkey, l_linenumber, {_NUMBER} AS number FROM lineitem)
+LEFT JOIN (FROM first JOIN r USING (position)) USING (number)""")
+def range_join(t: StarTables) -> DataFrame:
+    """Every line item's number in a table of ranges, one for each order; the first order's range counts."""
+    numbers = t.read("lineitem").selectExpr("l_orderkey", "l_linenumber", f"{_NUMBER} AS number")
+    return lookup.range_join(numbers, "number", t.read("orders").selectExpr(*_RANGES), ["lo", "hi", "title"])
+
+
+_PREFIXES = ["c_custkey AS position", f"substr({p.S('100000 + c_custkey * 7919 % 900000')}, 1, CAST(2 + c_custkey % 5 AS INT)) AS prefix", "c_mktsegment AS segment"]
+_LONG_CODE = p.S("100000 + (l_partkey * 131 + l_suppkey * 17) % 900000")
+
+
+@query("q_prefix_join", f"""WITH r AS (SELECT {', '.join(_PREFIXES)} FROM customer), c AS (SELECT DISTINCT {_LONG_CODE} AS code FROM lineitem),
+cut AS (SELECT code, left(code, CAST(n AS INTEGER)) AS prefix FROM c, range(2, 7) x(n)),
+best AS (SELECT code, arg_min(position, (-length(prefix)) * 1000000000 + position) AS position FROM cut JOIN r USING (prefix) GROUP BY code)
+SELECT l_orderkey, l_linenumber, code, prefix, segment FROM (SELECT l_orderkey, l_linenumber, {_LONG_CODE} AS code FROM lineitem)
+LEFT JOIN (FROM best JOIN r USING (position)) USING (code)""")
+def prefix_join(t: StarTables) -> DataFrame:
+    """Every line item's code by the longest of the prefixes that customers stand for."""
+    codes = t.read("lineitem").selectExpr("l_orderkey", "l_linenumber", f"{_LONG_CODE} AS code")
+    return lookup.prefix_join(codes, "code", t.read("customer").selectExpr(*_PREFIXES), ["prefix", "segment"])
+
+
+# ------------------------------------------------------------- emission files
+_SELECTED = "trim(metal) = 'yes' AND form_type = 'R' AND unit = 'Pounds'"
+FAULTY_FORM = [
+    "CASE WHEN event_id % 97 = 0 THEN '2023' ELSE ' 2024 ' END AS year",
+    f"CASE WHEN event_id % 89 = 0 THEN 'ZZ' ELSE lower({p.STATE}) END AS state",
+    "CASE WHEN event_id % 83 = 0 THEN '-5' WHEN event_id % 79 = 0 THEN 'lots' ELSE '1,000.5' END AS fugitive_air", f"{p.STATE} AS file_state",
+    *[c for c in p.FORM if c.rsplit(" ", 1)[1] not in ("year", "state", "fugitive_air")]]
+
+
+def _form_writer(folder: str):
+    """Write the forms of each state as a file of its own, with a byte-order mark, as the agency gives them out."""
+    def write(batches):
+        import pandas as pd
+        from ..sources.archives import writable
+        handles = {}
+        for batch in batches:
+            for state, rows in batch.groupby("file_state"):
+                first = state not in handles
+                if first:
+                    handles[state] = writable(f"{folder}/TRI_2024_{state}.csv")
+                text = rows.rename(columns=rules.EMISSION_COLUMNS)[list(rules.EMISSION_COLUMNS.values())].to_csv(index=False, header=first, quoting=1)
+                handles[state].write(text.encode("utf-8-sig" if first else "utf-8"))
+        for handle in handles.values():
+            handle.close()
+        yield pd.DataFrame({"path": [f"{folder}/TRI_2024_{state}.csv" for state in handles]}, dtype=object)
+    return write
+
+
+def _emission_files(t: StarTables, columns: list[str]) -> DataFrame:
+    """Forms written as one file a state and read back."""
+    folder = scratch_path(t.spark, "emissions")
+    rows = t.read("events").join(t.read("customer"), F.col("user_id") == F.col("c_custkey")).selectExpr(*columns)
+    paths = rows.repartition("file_state").mapInPandas(_form_writer(folder), "path string").collect()  # one row a state
+    return text_files.read_emission_files(t.spark, [r.path for r in paths], _STATES25)
+
+
+_ROLES = ", ".join(rules.EMISSION_COLUMNS)
+
+
+@query("q_emission_files", f"SELECT {_ROLES}, {p.STATE} AS file_state FROM (SELECT c_nationkey, {', '.join(p.FORM)} FROM events JOIN customer ON user_id = c_custkey)")
+def emission_files(t: StarTables) -> DataFrame:
+    """Forms of all states from files with a state in their names."""
+    return _emission_files(t, [*p.FORM, f"{p.STATE} AS file_state"])
+
+
+@query("q_emission_breaches", f"""SELECT file_state, breach, count(*) AS forms FROM (
+  SELECT file_state, CASE WHEN trim(year) <> '2024' THEN 'year' WHEN state = 'ZZ' THEN 'state' WHEN ({_SELECTED}) AND fugitive_air IN ('-5', 'lots') THEN 'amount' END AS breach
+  FROM (SELECT {', '.join(FAULTY_FORM)} FROM events JOIN customer ON user_id = c_custkey)) WHERE breach IS NOT NULL GROUP BY ALL""")
+def emission_breaches(t: StarTables) -> DataFrame:
+    """Rows that break the contract, by state and kind of breach, in files with faults of every kind."""
+    return match.form_contract_breaches(_emission_files(t, FAULTY_FORM)).groupBy("file_state", "breach").agg(F.count(F.lit(1)).alias("forms"))
+
+
+@query("q_emission_refusals", """WITH states AS (SELECT n_nationkey, 'S' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS s FROM nation)
+SELECT 'files' AS refused, 'no emission file for: ' || string_agg(s, ', ' ORDER BY s) AS message FROM states WHERE n_nationkey % 3 = 0
+UNION ALL SELECT 'state', 'unexpected emission file: TRI_2024_' || max(s) || '.csv' FROM states
+UNION ALL SELECT 'columns', 'TRI_2024_' || min(s) || '.csv is missing columns: 44. METAL, 8. ST' FROM states""")
+def emission_refusals(t: StarTables) -> DataFrame:
+    """What a load says to missing files, files of unknown states, and files without a required column."""
+    states = [r.state for r in t.territory.orderBy("state").collect()]  # the territory: one row a state
+    kept = [f"TRI_2024_{s}.csv" for i, s in enumerate(states) if i % 3]
+    header = [c for c in rules.EMISSION_COLUMNS.values() if c not in ("8. ST", "44. METAL")]
+    refusals = [("files", lambda: text_files.require_files(kept, states)),
+                ("state", lambda: text_files.read_emission_files(t.spark, [f"TRI_2024_{states[-1]}.csv"], states[:-1])),
+                ("columns", lambda: text_files.require_columns(header, rules.EMISSION_COLUMNS.values(), f"TRI_2024_{states[0]}.csv"))]
+    rows = []
+    for name, load in refusals:
+        try:
+            load()
+        except ValueError as e:
+            rows.append((name, str(e)))
+    return t.spark.createDataFrame(rows, "refused string, message string")
+
+
+@query("q_brief_map", o.check(f"""SELECT facility_id AS id, {o.pretty('name')} AS name, total, tier FROM (SELECT * FROM scores WHERE tier = 'Hot' AND outreach_eligible
+  ORDER BY {_ORDER} LIMIT 25)"""))
+def brief_map(t: StarTables) -> DataFrame:
+    """The 25 leads that briefs are drafted for, as one map by id, and every entry looked up in it."""
+    briefs = lists.keyed(lists.brief_candidates(t.scores, 25).withColumn("name", text.pretty_name(F.col("name"))),
+                         "facility_id", ["name", "total", "tier"])
+    ids = briefs.select("entries", F.explode(F.map_keys("entries")).alias("id"))
+    return ids.select("id", F.col("entries")[F.col("id")].alias("e")).select("id", "e.name", "e.total", "e.tier")

@@ -136,6 +136,12 @@ class StarTables:
             self._made[name] = make()
         return self._made[name]
 
+    def stage(self, *names: str) -> None:
+        """Turn tables into stage tables, for queries that read them many times over."""
+        for name in names:
+            made = getattr(self, name)
+            self._made[name] = stage_table(made, name)
+
     @property
     def inspections(self) -> DataFrame:
         def make():
