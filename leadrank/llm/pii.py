@@ -1,21 +1,24 @@
 """Personal data: base patterns, and generated candidates that boosted trees accept.
 
 Generators propose many overlapping spans: anything with an at sign or spelled-out address, groups of digits, dotted
-numbers, groups of hexadecimal digits between colons. Boosted trees judge each by its format and the words around it. They learn from candidates that a base
+numbers, groups of hexadecimal digits between colons. Boosted trees judge each by its format and the words around it. They learn from candidates of all documents: those that a base
 pattern confirms, the same with the mark that gives them away rubbed out (a phone number without its plus, an address
-with a spelled-out at sign and dots, an address of version 6), and candidates that no base pattern confirms. Scores are calibrated on documents
+with a spelled-out at sign and dots, an address of version 6), and candidates that no base pattern confirms. Equal candidates are counted, not repeated.
+A level of a tree is one Spark job that adds up gradients by node, feature and bin; the driver gets these sums only, whose number does not depend on the input. Scores are calibrated on documents
 kept apart, and the threshold is the lowest score with the wanted precision there. Accepted spans are added to the base ones.
 """
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import stage_table
 from .common import map_batches
 from .spans import Span, Taken, mark
 
@@ -40,11 +43,14 @@ _GENERATORS = [  # lengths of the parts of an address are those that the standar
 _ADDRESS = re.compile(r"@|[(\[{\s](?i:at)[)\]}\s]")
 _WORDS = (("phone", "tel", "call", "fax", "mobile"), ("mail", "contact", "write"), ("card", "visa", "account", "pay"), ("ip", "host", "server"))
 CONTEXT = 24
-#: Documents that the trees are learnt from: at most so many, by smallest hash of the id, among those with a digit or
-#: an at sign; and candidates that the driver gets from them.
-SAMPLE, CANDIDATES = 4000, 40_000
 ROUNDS, DEPTH, RATE, BINS, LEAST_LEAF = 60, 3, 0.2, 32, 20
 PRECISION = 0.98
+#: Gradients are added up as multiples of 1 / UNITS: whole numbers, so that the sums do not depend on the order of rows.
+UNITS = 2 ** 24
+#: Different binned candidates that one task adds up at least, so that its sums are not more rows than it read.
+ROWS_A_TASK = 4000
+#: Scores are calibrated by steps of 1 / STEPS.
+STEPS = 1000
 
 
 def _digits(text: str) -> str:
@@ -164,90 +170,161 @@ class Trees:
 
 
 def _leaf(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    return _node(bins, feature, cut, DEPTH)
+
+
+def _sums(bins: np.ndarray, node: np.ndarray, nodes: int, weights: list[np.ndarray]) -> np.ndarray:
+    """Sums of each of the weights by node, feature and bin."""
+    return np.stack([np.stack([np.bincount(node * BINS + b, w, nodes * BINS).reshape(nodes, BINS) for b in bins.T], axis=1)
+                     for w in weights], axis=-1)
+
+
+def _node(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+    """Place of each row among the nodes of a level."""
     node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-    for _ in range(DEPTH):
+    for _ in range(level):
         node = 2 * node + 1 + (bins[rows, feature[node]] > cut[node])
-    return node - (2 ** DEPTH - 1)
+    return node - (2 ** level - 1)
 
 
-def _grow(bins: np.ndarray, gradient: np.ndarray, hessian: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One tree of full depth by second-order gain; a node that no split improves sends all rows left."""
+def grow(sums: Callable[[np.ndarray, np.ndarray, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One tree of full depth by second-order gain; a node that no split improves sends all rows left.
+
+    `sums(feature, cut, level)` gives gradient, hessian and rows of the nodes of a level, by node, feature and bin.
+    """
     inner = 2 ** DEPTH - 1
-    feature, cut, node = np.zeros(inner, np.int64), np.full(inner, BINS, np.int64), np.zeros(len(bins), np.int64)
+    feature, cut, value = np.zeros(inner, np.int64), np.full(inner, BINS, np.int64), np.zeros(inner + 1)
     for level in range(DEPTH):
-        for n in range(2 ** level - 1, 2 ** (level + 1) - 1):
-            mine = np.flatnonzero(node == n)
-            best = 1e-6
-            total_g, total_h = gradient[mine].sum(), hessian[mine].sum()
-            for f in range(bins.shape[1]):
-                b = bins[mine, f]
-                g, h, many = (np.cumsum(np.bincount(b, w, BINS))[:-1] for w in (gradient[mine], hessian[mine], np.ones(len(mine))))
-                gain = g ** 2 / (h + 1) + (total_g - g) ** 2 / (total_h - h + 1) - total_g ** 2 / (total_h + 1)
-                gain[(many < LEAST_LEAF) | (len(mine) - many < LEAST_LEAF)] = 0
-                at = int(np.argmax(gain))
-                if gain[at] > best:
-                    best, feature[n], cut[n] = gain[at], f, at
-            node[mine] = 2 * n + 1 + (bins[mine, feature[n]] > cut[n])
-    leaf = node - inner
-    g, h = (np.bincount(leaf, w, 2 ** DEPTH) for w in (gradient, hessian))
-    return feature, cut, RATE * g / (h + 1)
-
-
-def train(x: np.ndarray, y: np.ndarray, apart: np.ndarray, precision: float = PRECISION) -> Trees:
-    """Fit on the rows that are not `apart`, calibrate on those that are.
-
-    The threshold is the lowest score whose calibrated probability reaches the precision; without labelled rows of
-    both kinds on both sides nothing is accepted.
-    """
-    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) if len(x) else np.zeros(0)
-            for f in range(x.shape[1])]
-    model = Trees(cuts, [], 0.0, np.zeros(0), np.zeros(0))
-    fit = ~apart
-    if min((y[fit] == 0).sum(), (y[fit] == 1).sum(), (y[apart] == 0).sum(), (y[apart] == 1).sum()) == 0:
-        return model
-    bins = model.binned(x)
-    share = y[fit].mean()
-    model.start = float(np.log(share / (1 - share)))
-    score = np.full(int(fit.sum()), model.start)
-    for _ in range(ROUNDS):
-        p = 1 / (1 + np.exp(-score))
-        tree = _grow(bins[fit], y[fit] - p, p * (1 - p))
-        model.trees.append(tree)
-        score += tree[2][_leaf(bins[fit], *tree[:2])]
-    model.edges, model.precision = calibrate(model.raw(bins[apart]), y[apart])
-    good = model.edges[model.precision >= precision]
-    model.threshold = float(good[0]) if len(good) else np.inf
-    return model
+        for n, found in enumerate(sums(feature, cut, level), 2 ** level - 1):
+            total, below = found[0].sum(axis=0), np.cumsum(found, axis=1)[:, :-1]
+            (g, h, many), above = np.moveaxis(below, -1, 0), total - below
+            gain = g ** 2 / (h + 1) + above[..., 0] ** 2 / (above[..., 1] + 1) - total[0] ** 2 / (total[1] + 1)
+            gain[(many < LEAST_LEAF) | (above[..., 2] < LEAST_LEAF)] = 0
+            f, c = divmod(int(np.argmax(gain)), BINS - 1)
+            left = total
+            if gain[f, c] > 1e-6:
+                feature[n], cut[n], left = f, c, below[f, c]
+            if level == DEPTH - 1:
+                leaf = 2 * n + 1 - inner
+                for at, (g, h, _) in ((leaf, left), (leaf + 1, total - left)):
+                    value[at] = RATE * g / (h + 1)
+    return feature, cut, value
 
 
-def calibrate(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Isotonic steps: (lowest score, share of label 1) of each step, both rising. Equal scores share a step."""
+def _grow(bins: np.ndarray, gradient: np.ndarray, hessian: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`grow` over rows at hand."""
+    return grow(lambda feature, cut, level: _sums(bins, _node(bins, feature, cut, level), 2 ** level, [gradient, hessian, np.ones(len(bins))]))
+
+
+def calibrate(score: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic steps: (lowest score, share of label 1) of each step, both rising. Equal scores share a step.
+
+    `y` is the number of label 1 among the `rows` (one if not given) of a score.
+    """
     values, at = np.unique(score, return_inverse=True)
     steps: list[tuple[float, float, float]] = []  # lowest score, sum of labels, rows
-    for value, ones, many in zip(values, np.bincount(at, y), np.bincount(at)):
+    for value, ones, many in zip(values, np.bincount(at, y), np.bincount(at, rows)):
         while steps and steps[-1][1] * many >= ones * steps[-1][2]:
-            value, before, rows = steps.pop()
-            ones, many = ones + before, many + rows
+            value, before, held = steps.pop()
+            ones, many = ones + before, many + held
         steps.append((value, ones, many))
     return np.array([s[0] for s in steps]), np.array([s[1] / s[2] for s in steps])
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Trees:
-    """Learn from at most `sample` documents and CANDIDATES of their candidates; an empty table gives trees that accept nothing."""
-    chosen = (docs.filter(F.col(text).rlike("[0-9@]") & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id")).distinct()
-              .orderBy(F.xxhash64("_id"), "_id").limit(sample))
+def _seen(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(label, apart, x, n): the different labelled candidates of all documents, and how often they occur."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        many = Counter((label, apart, tuple(map(int, x))) for t, apart in zip(*(c.to_pylist() for c in batch.columns))
+                       for label, x in labelled(t))
+        label, apart, x = zip(*many) if many else ((), (), ())
+        kinds = [pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((label, apart, x, list(many.values())), kinds)], ["label", "apart", "x", "n"])
+
+    texts = docs.filter(F.col(text).isNotNull()).select(text, (F.pmod(F.xxhash64(doc_id), F.lit(4)) == 0).cast("int").alias("apart"))
+    rows = map_batches(texts, work, "label int, apart int, x array<int>, n long")
+    return rows.groupBy("label", "apart", "x").agg(F.sum("n").alias("n"))
+
+
+def _matrix(column: pa.Array, rows: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+
 
+def _cuts(seen: DataFrame) -> list[np.ndarray]:
+    """Quantiles of each feature over all candidates."""
+    shares = [float(q) for q in np.linspace(0, 1, BINS + 1)[1:-1]]
+    found = seen.agg(*[F.percentile(F.col("x")[f], shares, F.col("n")) for f in range(len(features("", "", "")))]).first()
+    return [np.unique(np.array(quantiles or [], np.float64)) for quantiles in found]
+
+
+def _binned(seen: DataFrame, model: Trees) -> DataFrame:
+    """(label, apart, bins, n) of the different binned candidates."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [(label, x, int(apart)) for t, apart in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                for label, x in labelled(t)]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.float64())),
-                                           pa.array([r[2] for r in rows], pa.int32())], ["label", "x", "apart"])
-
-    texts = (docs.select(F.col(doc_id).alias("_id"), text).join(F.broadcast(chosen), "_id").filter(F.col(text).isNotNull()).dropDuplicates(["_id"])
-             .select(text, (F.pmod(F.xxhash64("_id"), F.lit(4)) == 0).cast("int").alias("apart")))
-    rows = map_batches(texts, work, "label int, x array<double>, apart int").orderBy(F.xxhash64("x", "label"), "x", "label", "apart").limit(CANDIDATES).collect()
-    x = np.array([r.x for r in rows]).reshape(len(rows), len(features("", "", "")))
-    return train(x, np.array([r.label for r in rows], np.float64), np.array([r.apart for r in rows], bool))
+        bins = model.binned(_matrix(batch.column(2), batch.num_rows)) if batch.num_rows else []
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(bins), pa.list_(pa.int8())), batch.column(3)],
+                                          ["label", "apart", "bins", "n"])
+
+    rows = map_batches(seen, work, "label int, apart int, bins array<tinyint>, n long")
+    return rows.groupBy("label", "apart", "bins").agg(F.sum("n").alias("n"))
+
+
+def _level_sums(rows: DataFrame, model: Trees, feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+    """What `grow` asks for, of all rows, with the gradients that the trees so far leave."""
+    shape = (2 ** level, len(model.cuts), BINS, 3)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            if batch.num_rows:
+                y, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+                bins = _matrix(batch.column(1), batch.num_rows)
+                p = 1 / (1 + np.exp(-model.raw(bins)))
+                weights = [n * np.rint(UNITS * v) for v in (y - p, p * (1 - p))]
+                total += _sums(bins, _node(bins, feature, cut, level), shape[0], [*weights, n])
+        cells = np.flatnonzero(total.reshape(-1, 3)[:, 2])
+        columns = total.reshape(-1, 3)[cells].astype(np.int64).T
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (cells, *columns)], ["cell", "g", "h", "n"])
+
+    found = (rows.select("label", "bins", "n").mapInArrow(work, "cell long, g long, h long, n long")
+             .groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n")).collect())
+    out = np.zeros((shape[0] * shape[1] * shape[2], 3))
+    for cell, g, h, n in found:
+        out[cell] = g / UNITS, h / UNITS, n
+    return out.reshape(shape)
+
+
+def _scores(rows: DataFrame, model: Trees) -> np.ndarray:
+    """(score, rows of label 1, rows), a row for each step of the score."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        step = np.floor(STEPS * model.raw(_matrix(batch.column(1), batch.num_rows))).astype(np.int64) if batch.num_rows else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(step), batch.column(2)], ["label", "step", "n"])
+
+    found = (map_batches(rows.select("label", "bins", "n"), work, "label int, step long, n long").groupBy("step")
+             .agg(F.sum(F.col("label") * F.col("n")), F.sum("n")).collect())
+    return np.array([(step / STEPS, ones, n) for step, ones, n in found]).reshape(-1, 3)
+
+
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", precision: float = PRECISION) -> Trees:
+    """Learn from the candidates of all documents, calibrate on a quarter of the documents, by hash of the id.
+
+    The threshold is the lowest score whose calibrated probability reaches the precision; without candidates of both
+    kinds on both sides nothing is accepted.
+    """
+    seen = stage_table(_seen(docs, doc_id, text), "candidates")
+    model = Trees(_cuts(seen), [], 0.0, np.zeros(0), np.zeros(0))
+    rows = stage_table(_binned(seen, model), "binned")
+    found = rows.groupBy("apart", "label").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("different")).collect()
+    many = {(r.apart, r.label): r.n for r in found}
+    if len(many) < 4:
+        return model
+    model.start = float(np.log(many[0, 1] / many[0, 0]))
+    learnt = rows.filter("apart = 0").coalesce(-(-sum(r.different for r in found) // ROWS_A_TASK))
+    for _ in range(ROUNDS):
+        model.trees.append(grow(lambda feature, cut, level: _level_sums(learnt, model, feature, cut, level)))
+    score, ones, n = _scores(rows.filter("apart = 1"), model).T
+    model.edges, model.precision = calibrate(score, ones, n)
+    good = model.edges[model.precision >= precision]
+    model.threshold = float(good[0]) if len(good) else np.inf
+    return model
 
 
 def find(text: str, model: Trees) -> list[Span]:

@@ -86,6 +86,28 @@ def test_calibration_is_the_best_rising_fit():
     assert fitted == pytest.approx(want)
 
 
+def test_all_documents_are_learnt_from(spark, monkeypatch):
+    """Share, cuts and first tree of many candidates are those of all of them."""
+    monkeypatch.setattr(pii, "ROUNDS", 1)
+    rng = random.Random(4)
+    pieces = lambda: rng.choice([f"+1 617 555 {rng.randint(1000, 9999)}", f"sum {rng.randint(10 ** 6, 10 ** 9)} of", "a@b.cc and"])
+    texts = [(n, " ".join(pieces() for _ in range(40))) for n in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = pii.fit(docs)
+    apart = dict(docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).collect())
+    rows = [(apart[n], label, x) for n, t in texts for label, x in pii.labelled(t)]
+    assert len(rows) > 40_000
+    x, y = np.array([r[2] for r in rows]), np.array([r[1] for r in rows], float)
+    for f, cuts in enumerate(model.cuts):
+        assert cuts == pytest.approx(np.unique(np.quantile(x[:, f], np.linspace(0, 1, pii.BINS + 1)[1:-1])))
+    learnt = ~np.array([r[0] for r in rows])
+    share = y[learnt].mean()
+    assert model.start == pytest.approx(np.log(share / (1 - share)))
+    feature, cut, value = pii._grow(model.binned(x[learnt]), y[learnt] - share, np.full(learnt.sum(), share * (1 - share)))
+    assert (model.trees[0][0] == feature).all() and (model.trees[0][1] == cut).all()
+    assert model.trees[0][2] == pytest.approx(value, abs=1e-4)
+
+
 def test_rubbed_out_data_of_held_out_documents(spark):
     """Learnt on one half of the documents; the marks of the other half's base spans are rubbed out and looked for."""
     docs = common.table(spark, "/root/testdata/sf0.1", "documents").filter(F.col("text").rlike("[0-9@]"))
