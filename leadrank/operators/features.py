@@ -66,7 +66,7 @@ def latest(column: str, alias: str | None = None) -> Column:
                   f"FILTER (WHERE {column} IS NOT NULL)").alias(alias or column)
 
 
-def facility_aggregates(window_start: Column) -> list[Column]:
+def facility_aggregates(window_start: Column, name_variants: bool = True) -> list[Column]:
     prefix = F.substring("naics_code", 1, 3)
     return [
         latest("estab_name", "name"), latest("site_address", "address"), latest("site_city", "city"),
@@ -74,7 +74,7 @@ def facility_aggregates(window_start: Column) -> list[Column]:
         # more than one distinct prefix is the same as smallest <> largest: no distinct needed
         F.coalesce(F.min(prefix) != F.max(prefix), F.lit(False)).alias("naics_conflict"),
         latest("employees"),
-        F.count_distinct("estab_name").alias("name_variants"),
+        *([F.count_distinct("estab_name").alias("name_variants")] if name_variants else []),
         F.count(F.lit(1)).alias("n_inspections"),
         F.bool_or("review_required").alias("facility_match_review_required"),
         F.count_if(F.col("open_date") >= window_start).alias("n_inspections_window"),
@@ -101,8 +101,11 @@ def in_dust_program(program: Column) -> Column:
 def citation_evidence(violations: DataFrame, facility_inspections: DataFrame,
                       lookup: DataFrame, params: DataFrame) -> DataFrame:
     fi = facility_inspections.select("activity_nr", "facility_id", "dust_program", "open_date")
+    # null-safe: a plain equality would make the scan work out each code once more, to drop the null ones;
+    # after the join by record, so that short codes are shuffled and not their titles
+    parsed = lookup.filter(F.col("standard").isNotNull()).withColumnRenamed("standard", "_standard")
     return (violations.filter(F.col("issuance_date") >= param(params, "window_start"))
-            .join(lookup, "standard").join(fi, "activity_nr")
+            .join(fi, "activity_nr").join(parsed, F.col("standard").eqNullSafe(F.col("_standard")))
             .select(
                 "facility_id", "activity_nr", F.lit("citation").alias("kind"),
                 F.col("issuance_date").alias("evidence_date"), "citation_id", "citation", "title",
@@ -214,5 +217,11 @@ def facility_facts(facility_inspections: DataFrame, violations: DataFrame, injur
                .join(injury_rollup(injuries, params), "activity_nr", "left")
                .withColumn("program_day", F.when(F.col("dust_program").isNotNull()
                                                  & (F.col("open_date") >= start), F.col("open_date"))))
-    return records.groupBy("facility_id").agg(
-        *facility_aggregates(start), *evidence_aggregates(), *hold_aggregates(params))
+    # the distinct count goes apart: inside the wide grouping it would sort and shuffle the wide rows twice
+    names = (facility_inspections.select(F.col("facility_id").alias("_facility"), "estab_name").distinct()
+             .groupBy("_facility").agg(F.count("estab_name").alias("name_variants")))
+    facts = records.groupBy("facility_id").agg(
+        *facility_aggregates(start, name_variants=False), *evidence_aggregates(), *hold_aggregates(params))
+    at = facts.columns.index("n_inspections")
+    return facts.join(names, F.col("facility_id").eqNullSafe(F.col("_facility"))).select(
+        *facts.columns[:at], "name_variants", *facts.columns[at:])

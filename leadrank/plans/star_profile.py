@@ -169,12 +169,12 @@ class StarTables:
 
     @property
     def dust_programs(self) -> DataFrame:
-        """Both conditions read the same row, so one scan yields up to two programs."""
+        """Both conditions read the same row, so one scan yields up to two programs; repeated rows stay, as in the source."""
         found = F.array_compact(F.array(
             F.when(F.expr(NEP_ROWS), F.lit(rules.DUST_PROGRAM)),
             F.when(F.expr(SILICA_ROWS), F.lit(rules.SILICA_PROGRAM))))
         return self.read("orders").select(F.col("o_orderkey").alias("activity_nr"),
-                                          F.explode(found).alias("program")).distinct()
+                                          F.explode(found).alias("program"))
 
     @property
     def facility_inspections(self) -> DataFrame:
