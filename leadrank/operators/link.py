@@ -21,7 +21,9 @@ Names with the same set of words are one case: the smallest key stands for them.
 Names with more than `subset_words` words have too many subsets. They meet at
 pairs of rare words instead (see `long_name_edges`), exact for any length: the
 names of one meeting are compared in a task, and only a forest of verified pairs
-leaves it. So edges are linear in the names.
+leaves it. So edges are linear in the names. Before that, names that stand next
+to each other in a few cheap meetings are compared (see `near_links`): what these
+pairs have joined already needs no exact meeting any more.
 """
 from __future__ import annotations
 
@@ -39,6 +41,9 @@ BLOCK = ["address", "state", "zip"]
 SUBSET_WORDS = 10
 #: Names with a common pair of words that one task compares; a cell of two parts has twice as many.
 HOLDERS = 20_000
+#: Cheap meetings of a long name, and how far apart two names may stand there to be compared.
+SEEDS = 3
+NEIGHBOURS = 3
 
 
 def keyed_records(records: DataFrame) -> DataFrame:
@@ -48,7 +53,9 @@ def keyed_records(records: DataFrame) -> DataFrame:
     states keeps the state in its key; a record without ZIP or state gets a key
     of its own and the review flag.
     """
-    norm = records.select(
+    # small files would make one task of all the text work below
+    dealt = records.repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), "record_id")
+    norm = dealt.select(
         "record_id",
         normalize_name(F.col("name")).alias("_name"),
         normalize_address(F.col("address")).alias("address"),
@@ -56,6 +63,7 @@ def keyed_records(records: DataFrame) -> DataFrame:
         F.upper(strip_ws(F.coalesce("state", F.lit("")))).alias("state"))
     norm = norm.withColumn("name", F.when(F.col("_name") != "", F.col("_name")).otherwise(
         F.concat(F.lit("UNNAMED "), F.col("record_id").cast("string")))).drop("_name")
+    norm = stage_table(norm, "normalised")
     complete = (F.col("zip") != "") & (F.col("state") != "")
     # only pairs that do span states are kept: a small right side, unique per key
     several = (norm.filter(complete).groupBy("name", "zip")
@@ -123,6 +131,73 @@ def subset_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame
             .select(F.col("key").alias("src"), "dst"))
 
 
+def _floor_words(subset_words: int) -> int:
+    """Words that a name similar to one of more than `subset_words` words has at least."""
+    return (subset_words + 2) // 2
+
+
+def _open_blocks(names: DataFrame, label: str, subset_words: int) -> DataFrame:
+    """Names of the blocks that have a long name and more than one `label`; in others there is nothing to join."""
+    blocks = (names.groupBy(*BLOCK).agg(F.min(label).alias("_lo"), F.max(label).alias("_hi"), F.max("n").alias("_most"))
+              .filter((F.col("_lo") != F.col("_hi")) & (F.col("_most") > subset_words)).select(*BLOCK))
+    return names.join(blocks, BLOCK, "left_semi")
+
+
+def families(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
+    """Names that may be similar to a long name with another first word; `family` is the smallest key of theirs in the
+    block that begins with the same word, so a name belongs to its family by `first_word_edges`."""
+    sized = _open_blocks(sets.filter(F.col("n") >= _floor_words(subset_words)), "first", subset_words)
+    hubs = sized.groupBy(*BLOCK, "first").agg(F.min("key").alias("family"))
+    return sized.join(hubs, [*BLOCK, "first"])
+
+
+def _shared_words(codes: np.ndarray, starts: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Number of words that names i[p] and j[p] share, for each pair p; a name's words are different."""
+    base = int(codes.max(initial=0)) + 1
+
+    def marked(rows: np.ndarray) -> np.ndarray:
+        n = size[rows]
+        at = np.arange(n.sum()) + np.repeat(starts[rows] - (np.cumsum(n) - n), n)
+        return np.repeat(np.arange(len(rows)), n) * base + codes[at]
+
+    both = np.intersect1d(marked(i), marked(j), assume_unique=True)
+    return np.bincount(both // base, minlength=len(i))
+
+
+def near_links(names: DataFrame) -> DataFrame:
+    """(src, dst): families with a pair of similar names that stand close together in a cheap meeting.
+
+    A name goes to one meeting for each seed, by the smallest hash of its words, which two similar names share with a
+    chance of a half and more. A meeting is sorted by words and each name compared with the next few, so the work
+    is linear in the names, whatever they are. Pairs that are missed are left to the exact meetings.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            words, names = rows.column("ws"), rows.column("family")
+            codes = words.flatten().dictionary_encode().indices.to_numpy()
+            starts = words.offsets.to_numpy()[:-1] - words.offsets[0].as_py()
+            size = np.diff(np.append(starts, len(codes)))
+            family = names.dictionary_encode().indices.to_numpy()
+            g, b = (rows.column(c).to_numpy() for c in ("g", "b"))
+            found = []
+            for apart in range(1, NEIGHBOURS + 1):
+                i = np.flatnonzero((g[apart:] == g[:-apart]) & (b[apart:] == b[:-apart]) & (family[apart:] != family[:-apart]))
+                j = i + apart
+                alike = 3 * _shared_words(codes, starts, size, i, j) >= size[i] + size[j]
+                found.append(np.stack([i[alike], j[alike]]))
+            i, j = np.concatenate(found, axis=1)
+            _, at = np.unique(np.stack([family[i], family[j]]), axis=1, return_index=True)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(x[at], pa.int64())) for x in (i, j)], ["src", "dst"])
+
+    def meeting(seed: int) -> Column:
+        named = [*map(F.col, BLOCK), F.lit(seed), F.array_min(F.transform("word_set", lambda w: F.xxhash64(w, F.lit(seed))))]
+        return F.struct(F.xxhash64(*named).alias("g"), F.xxhash64(F.lit("b"), *named).alias("b"))
+
+    met = names.select(F.inline(F.array(*map(meeting, range(SEEDS)))), "family", F.col("word_set").alias("ws"))
+    return (met.repartitionByRange("g", "b", "ws").sortWithinPartitions("g", "b", "ws")
+            .mapInArrow(work, "src string, dst string"))
+
+
 def long_name_probes(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
     """(g, b, cell, key, first, ws): names that meet at a pair of words of one block, as rows of one comparison.
 
@@ -136,8 +211,7 @@ def long_name_probes(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataF
     A pair of words that more than HOLDERS names have is dealt out: its holders
     go to parts by a hash, and each two parts meet in a cell of their own.
     """
-    floor_words = (subset_words + 2) // 2
-    sized = sets.filter(F.col("n") >= floor_words)
+    sized = sets.filter(F.col("n") >= _floor_words(subset_words))
     tokens = sized.select(*BLOCK, "key", "n", "first", F.explode("word_set").alias("w"))
     rarity = tokens.groupBy(*BLOCK, "w").agg(F.count(F.lit(1)).alias("df"))
     # a name's own words: bounded by its text, not by the group
@@ -195,7 +269,8 @@ def family_links(codes: np.ndarray, starts: np.ndarray, first: np.ndarray) -> li
 def long_name_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFrame:
     """Edges that join similar names, at least one of them longer than `subset_words` words, with different first words.
 
-    Each comparison yields a forest of verified pairs: fewer edges than names.
+    Each comparison yields a forest of verified pairs: fewer edges than names. Names that the near links have put in
+    one component count as one family, and only blocks with several families left go to the exact meetings.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_groups(batches, 3):
@@ -212,9 +287,13 @@ def long_name_edges(sets: DataFrame, subset_words: int = SUBSET_WORDS) -> DataFr
                     dst.append(lo + j)
             yield pa.RecordBatch.from_arrays([keys.take(pa.array(x, pa.int64())).combine_chunks() for x in (src, dst)], ["src", "dst"])
 
-    groups = long_name_probes(sets, subset_words)
-    return (groups.repartition("g", "b", "cell").sortWithinPartitions("g", "b", "cell")
-            .mapInArrow(work, "src string, dst string"))
+    names = stage_table(families(sets, subset_words), "families")
+    roots = connected_components(near_links(names))
+    joined = names.join(roots.withColumnRenamed("vertex", "family"), "family", "left").withColumn("first", F.coalesce("root", "family"))
+    groups = long_name_probes(_open_blocks(joined.select(*sets.columns), "first", subset_words), subset_words)
+    exact = (groups.repartition("g", "b", "cell").sortWithinPartitions("g", "b", "cell")
+             .mapInArrow(work, "src string, dst string"))
+    return exact.unionByName(roots.select(F.col("vertex").alias("src"), F.col("root").alias("dst")))
 
 
 def _runs(rows: pa.Table, keys: int) -> list[tuple[int, int]]:

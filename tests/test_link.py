@@ -179,3 +179,30 @@ def test_a_round_halves_the_edges(spark, edges):
     frame = spark.createDataFrame(edges, "u bigint, v bigint").filter("u != v").repartition(4)
     after = components._relabelled(frame, components._pointers(frame, 0))
     assert 2 * after.count() <= len(edges)
+
+
+def _long_family_names(n):
+    rng = random.Random(5)
+    return [(str(i), f"K{i % 17} " + " ".join(f"{c}{rng.randrange(2)}" for c in "PQRSTUVWXYZ"), f"{i % 2} PARK RD", "33333", "CC") for i in range(n)]
+
+
+def test_joined_families_need_no_exact_meeting(spark, monkeypatch):
+    """Blocks that cheap comparisons make one family send no name to the exact meetings; the groups stay the same."""
+    rows = _long_family_names(900)
+    sent, probes = [], link.long_name_probes
+    monkeypatch.setattr(link, "long_name_probes", lambda sets, words: sent.append(sets.count()) or probes(sets, words))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    quick = {tuple(r) for r in link.resolve(frame).collect()}
+    monkeypatch.setattr(link, "near_links", lambda names: spark.createDataFrame([], "src string, dst string"))
+    assert quick == {tuple(r) for r in link.resolve(frame).collect()}
+    assert sent[0] == 0 and sent[1] > 800
+
+
+def test_near_links_are_similar_names_of_one_block(spark):
+    rows = _long_family_names(60) + [("x", "ONLY " + " ".join(f"N{j}" for j in range(12)), "0 PARK RD", "33333", "CC")]
+    names = link.families(link.word_sets(link.block_members(link.keyed_records(spark.createDataFrame(rows, SCHEMA)))))
+    held = {}
+    for r in names.collect():
+        held.setdefault(r.family, []).append((r.address, set(r.word_set)))
+    found = link.near_links(names).collect()
+    assert found and all(any(p == q and 3 * len(a & b) >= len(a) + len(b) for p, a in held[e.src] for q, b in held[e.dst]) for e in found)
