@@ -60,9 +60,12 @@ def whole_penalty(current: Column, initial: Column) -> Column:
 
 def numbers_in(text: Column) -> Column:
     """Distinct numbers of a text in one canonical spelling."""
-    def canonical(t: Column) -> Column:
-        bare = F.regexp_replace(F.regexp_replace(t, ",", ""), r"^0+(?=\d)", "")
-        return F.when(bare.contains("."), F.regexp_replace(bare, r"\.?0+\z", "")).otherwise(bare)
+    def whole_part(t: Column) -> Column:
+        return F.when(t.startswith("0"), F.regexp_replace(t, r"^0+(?=\d)", "")).otherwise(t)
 
-    found = F.regexp_extract_all(text, F.lit(rules.NUMBER), F.lit(0))
-    return F.array_distinct(F.transform(found, canonical))
+    def fraction(t: Column) -> Column:
+        return F.when(t.contains("."), F.regexp_replace(t, r"\.?0+\z", "")).otherwise(t)
+
+    # one step after the other: inside one step, each use of a part would work it out again
+    found = F.transform(F.regexp_extract_all(text, F.lit(rules.NUMBER), F.lit(0)), lambda t: F.replace(t, F.lit(","), F.lit("")))
+    return F.array_distinct(F.transform(F.transform(found, whole_part), fraction))

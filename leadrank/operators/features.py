@@ -137,13 +137,19 @@ def citation_rollup(violations: DataFrame, lookup: DataFrame, window_start: Colu
     """Per record: newest citation date by class inside the window, serious flag, open contest.
 
     The contest date looks at every citation, the rest only at the window and at
-    classified codes, hence the left join.
+    classified codes, hence the left join. Citations that set none of the columns
+    are dropped before codes are joined and records grouped, so a record of only
+    such citations has no row: join the result from the left.
     """
     parsed = lookup.select("standard", "category", is_dust_title(F.col("title")).alias("dust_title"))
+    contested = F.col("contest_date").isNotNull() & F.col("final_order_date").isNull()
     classified = F.col("category").isNotNull() & (F.col("issuance_date") >= window_start)
+    telling = (F.col("category").isin(rules.DUST, rules.ADJACENT) | F.col("dust_title")
+               | F.col("viol_type").isin(*rules.SERIOUS_TYPES))
     day = lambda cond: F.max(F.when(classified & cond, F.col("issuance_date")))
     has = lambda c: F.col("category") == c
-    return violations.join(parsed, "standard", "left").groupBy("activity_nr").agg(
+    recent = violations.filter((F.col("issuance_date") >= window_start) | contested)
+    return recent.join(parsed, "standard", "left").filter((classified & telling) | contested).groupBy("activity_nr").agg(
         day(has(rules.DUST)).alias("dust_day"),
         day(F.col("dust_title")).alias("program_dust_day"),
         day(has(rules.ADJACENT)).alias("adjacent_day"),
@@ -153,14 +159,15 @@ def citation_rollup(violations: DataFrame, lookup: DataFrame, window_start: Colu
 
 
 def injury_rollup(injuries: DataFrame, params: DataFrame) -> DataFrame:
-    """Per record and degree: newest event, newest event in its window, undated event."""
+    """Per record and degree: newest event, newest event in its window, undated event. Records without an event of
+    either degree have no row: join the result from the left."""
     def columns(degree: str, start: Column, name: str) -> list[Column]:
         hit = F.col("degree") == degree
         return [F.max(F.when(hit, F.col("event_date"))).alias(f"{name}_day"),
                 F.max(F.when(hit & (F.col("event_date") >= start), F.col("event_date"))).alias(f"{name}_window_day"),
                 F.bool_or(hit & F.col("event_date").isNull()).alias(f"{name}_undated")]
 
-    return injuries.groupBy("activity_nr").agg(
+    return injuries.filter(F.col("degree").isin("fatality", "hospitalized")).groupBy("activity_nr").agg(
         *columns("fatality", param(params, "window_start"), "fatal"),
         *columns("hospitalized", param(params, "injury_start"), "injured"))
 

@@ -33,7 +33,8 @@ def metal_air_forms(forms: DataFrame, prefixes=rules.DEFAULT_RULES.prefixes) ->
     target = F.exists(F.array(*[strip_ws(F.coalesce(F.col(c), F.lit(""))) for c in NAICS_COLUMNS]),
                       lambda code: starts_with_any(code, prefixes))
     spelled = (forms.filter(_selected())
-               .withColumn("release", amount(F.col("fugitive_air")) + amount(F.col("stack_air")))
+               # generated, so that the filter does not work the amounts out once more below
+               .select("*", F.explode(F.array(amount(F.col("fugitive_air")) + amount(F.col("stack_air")))).alias("release"))
                .filter(F.col("release") > 0)
                .withColumns({"target": target, "chemical": strip_ws(F.coalesce("chemical", F.lit("")))})
                .groupBy("facility_name", "state", "zip").agg(
@@ -48,8 +49,9 @@ def metal_air_forms(forms: DataFrame, prefixes=rules.DEFAULT_RULES.prefixes) ->
 
 def entity_keys(facilities: DataFrame) -> DataFrame:
     """Match keys of entities: how many distinct entities carry a key, and the one if it is unique."""
+    # generated, so that the filter does not normalise the names once more below
     return (facilities.select(
-                "facility_id", normalize_name(F.col("name")).alias("match_name"),
+                "facility_id", F.explode(F.array(normalize_name(F.col("name")))).alias("match_name"),
                 F.col("state").alias("match_state"), zip5_key(F.col("zip5")).alias("match_zip"))
             .filter((F.col("match_name") != "") & (F.col("match_state") != "") & (F.col("match_zip") != ""))
             .groupBy("match_name", "match_state", "match_zip")
