@@ -88,9 +88,12 @@ def run_checks(t: dict[str, DataFrame], states=rules.TERRITORY, load_start: str
 
     key = ["activity_nr", "citation_id", "standard"]
     # count of joined pairs without forming them: product of the two counts per key
-    kept = viol.groupBy(*key).agg(F.count(F.lit(1)).alias("k"))
-    drawn = t["withdrawn"].groupBy(*key).agg(F.count(F.lit(1)).alias("w"))
-    pairs = kept.join(drawn, key).agg(F.sum(F.col("k") * F.col("w")).alias("bad"))
+    # in one grouping of both; null keys go in the sum, as a filter would make each code once more to drop them
+    both = (viol.select(*key, F.lit(1).alias("k"), F.lit(0).alias("w"))
+            .unionByName(t["withdrawn"].select(*key, F.lit(0).alias("k"), F.lit(1).alias("w")))
+            .groupBy(*key).agg(F.sum("k").alias("k"), F.sum("w").alias("w")))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    pairs = both.agg(F.sum(F.when(whole & (F.col("w") > 0), F.col("k") * F.col("w"))).alias("bad"))
     add(CHECKS[3], pairs, F.col("bad"), F.lit(rules.CHECK_NOTES["withdrawn"]))
 
     unclassified = attach(_bad(missing_keys(viol, t["standard_lookup"], "standard")),

@@ -3,7 +3,7 @@ from datetime import date
 
 from leadrank import rules
 from leadrank.functions import values
-from leadrank.operators import features, match
+from leadrank.operators import features, match, quality
 from leadrank.plans import catalog
 from leadrank.plans.star_profile import StarTables
 from pyspark.sql import functions as F
@@ -80,3 +80,14 @@ def test_costly_texts_are_worked_out_once(spark):
     numbers = texts.select(values.numbers_in(F.col("t")).alias("n"))
     assert [r.n for r in numbers.collect()] == [["7", "0.5", "0", "1234", "10", "1", "12"], None]
     assert _plan(numbers).count("^0+") == 1
+
+
+def test_the_gate_makes_no_code_once_more_and_counts_withdrawn_pairs(spark):
+    t = StarTables(spark, SMALL)
+    tables = catalog._gate_tables(t)
+    assert "isnotnull(trim(" not in _plan(quality.run_checks(tables, catalog._STATES25, "1996-01-01"))
+    schema = "activity_nr long, citation_id string, standard string"
+    blank = spark.createDataFrame([(1, "1", "A"), (1, "1", "A"), (2, "1", "A"), (None, "1", "A"), (3, None, "A"), (3, "1", None)], schema)
+    gone = spark.createDataFrame([(1, "1", "A"), (1, "1", "A"), (1, "1", "A"), (4, "1", "A"), (None, "1", "A"), (3, None, "A"), (3, "1", None)], schema)
+    checks = quality.run_checks(tables | {"violations": blank, "withdrawn": gone}, catalog._STATES25, "1996-01-01")
+    assert [r.bad_rows for r in checks.filter("check_no = 4").collect()] == [6]
