@@ -5,8 +5,8 @@ Two ways to the same facts:
 * `evidence`, `holds`, `facilities` are row-level tables, for export and checks.
 * `inspection_facts` + `facility_facts` serve scoring. Children are rolled up per
   record before any join (map-side partial aggregation, so a record that owns a
-  third of all children costs one row per map task), then one grouping by entity
-  yields latest values, evidence dates and hold dates together.
+  third of all children costs one row per map task), then groupings by entity
+  yield latest values, evidence dates and hold dates, joined at one row each.
 """
 from __future__ import annotations
 
@@ -61,9 +61,9 @@ def facility_inspections(inspections: DataFrame, facility_map: DataFrame | None,
 
 
 def latest(column: str, alias: str | None = None) -> Column:
-    """Newest non-null value; ties on the date go to the larger record number."""
-    return F.expr(f"max_by({column}, struct(open_date, activity_nr)) "
-                  f"FILTER (WHERE {column} IS NOT NULL)").alias(alias or column)
+    """Newest non-null value; ties on the date go to the larger record number, then to the larger value."""
+    newest = F.max(F.when(F.col(column).isNotNull(), F.struct("open_date", "activity_nr", column)))
+    return newest[column].alias(alias or column)
 
 
 def facility_aggregates(window_start: Column, name_variants: bool = True) -> list[Column]:
@@ -115,6 +115,29 @@ def citation_evidence(violations: DataFrame, facility_inspections: DataFrame,
                 "dust_program", "open_date"))
 
 
+def may_be_kept() -> Column:
+    """Codes that can be more than `other`: by their category or, in a dust program, by their title."""
+    return (F.col("category") != rules.OTHER) | is_dust_title(F.col("title"))
+
+
+def telling_citations(violations: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Citations of codes that can be more than `other`, picked by code before they meet their records."""
+    codes = lookup.filter(may_be_kept()).select(F.col("standard").alias("_standard"))
+    return violations.join(codes, F.col("standard").eqNullSafe(F.col("_standard")), "left_semi")
+
+
+def citation_counts(violations: DataFrame, lookup: DataFrame, params: DataFrame) -> DataFrame:
+    """Per record: its citations in the window, all, more than `other` and `other`, the latter two also as they count
+    under a dust program (`nep_`). Rolled up before any join with records, so a record comes to it as one row."""
+    other = F.col("category") == rules.OTHER
+    parsed = lookup.filter(F.col("standard").isNotNull()).select(
+        F.col("standard").alias("_standard"), (~other).alias("kept"), other.alias("other"), may_be_kept().alias("nep_kept"),
+        (other & ~F.coalesce(is_dust_title(F.col("title")), F.lit(False))).alias("nep_other"))
+    return (violations.filter(F.col("issuance_date") >= param(params, "window_start"))
+            .join(parsed, F.col("standard").eqNullSafe(F.col("_standard"))).groupBy("activity_nr")
+            .agg(F.count(F.lit(1)).alias("cited"), *[F.count_if(c).alias(c) for c in ("kept", "other", "nep_kept", "nep_other")]))
+
+
 def program_evidence(facility_inspections: DataFrame, params: DataFrame) -> DataFrame:
     return (facility_inspections
             .filter(F.col("dust_program").isNotNull()
@@ -217,18 +240,23 @@ def evidence_aggregates() -> list[Column]:
 
 def facility_facts(facility_inspections: DataFrame, violations: DataFrame, injuries: DataFrame,
                    lookup: DataFrame, params: DataFrame) -> DataFrame:
-    """Latest values, evidence dates and hold dates of every entity in one grouping."""
+    """Latest values, evidence dates and hold dates of every entity.
+
+    Three groupings by entity, joined at one row each: the wide columns are grouped as they are read and never meet
+    the rollups by record, the dates are grouped by hash, and names are counted apart.
+    """
     start = param(params, "window_start")
-    records = (facility_inspections
+    records = (facility_inspections.select("facility_id", "activity_nr", "insp_type", "open_date", "dust_program")
                .join(citation_rollup(violations, lookup, start), "activity_nr", "left")
                .join(injury_rollup(injuries, params), "activity_nr", "left")
                .withColumn("program_day", F.when(F.col("dust_program").isNotNull()
                                                  & (F.col("open_date") >= start), F.col("open_date"))))
+    dated = records.groupBy(F.col("facility_id").alias("_dated")).agg(*evidence_aggregates(), *hold_aggregates(params))
     # the distinct count goes apart: inside the wide grouping it would sort and shuffle the wide rows twice
-    names = (facility_inspections.select(F.col("facility_id").alias("_facility"), "estab_name").distinct()
-             .groupBy("_facility").agg(F.count("estab_name").alias("name_variants")))
-    facts = records.groupBy("facility_id").agg(
-        *facility_aggregates(start, name_variants=False), *evidence_aggregates(), *hold_aggregates(params))
-    at = facts.columns.index("n_inspections")
-    return facts.join(names, F.col("facility_id").eqNullSafe(F.col("_facility"))).select(
-        *facts.columns[:at], "name_variants", *facts.columns[at:])
+    names = (facility_inspections.select(F.col("facility_id").alias("_named"), "estab_name").distinct()
+             .groupBy("_named").agg(F.count("estab_name").alias("name_variants")))
+    wide = facility_inspections.groupBy("facility_id").agg(*facility_aggregates(start, name_variants=False))
+    at = wide.columns.index("n_inspections")
+    same = F.col("facility_id").eqNullSafe
+    return wide.join(names, same(F.col("_named"))).join(dated, same(F.col("_dated"))).select(
+        *wide.columns[:at], "name_variants", *wide.columns[at:], *dated.columns[1:])

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import rules
 from ..functions.text import clean_chemical, pretty_name, public_hold, record_link, title_case, violation_label
 from ..functions.values import whole_penalty
+from .features import in_dust_program
 
 
 def shown_evidence(evidence: DataFrame, shown: DataFrame) -> DataFrame:
-    """Evidence of the shown entities only; reduces everything below to their rows."""
+    """Evidence, or records, of the shown entities only; reduces everything below to their rows."""
     return evidence.join(shown.select("facility_id"), "facility_id", "left_semi")
 
 
@@ -55,16 +56,47 @@ def kept_inspections(evidence: DataFrame) -> DataFrame:
     return evidence.groupBy("facility_id", "activity_nr").agg(*_record_aggregates()).filter(_worth_showing())
 
 
+def counted_inspections(records: DataFrame, counts: DataFrame, window_start: Column) -> DataFrame:
+    """As `kept_inspections`, from records (facility_id, activity_nr, dust_program, open_date) and their
+    `features.citation_counts`: no row of evidence is made for a citation that is only counted.
+
+    Rows of one record number have the same counts and programs, so those not worth showing go before the grouping.
+    """
+    nep = in_dust_program(F.col("dust_program"))
+    n = lambda name: F.coalesce(F.when(nep, F.col(f"nep_{name}")).otherwise(F.col(name)), F.lit(0))
+    evident = F.col("cited").isNotNull() | (F.col("dust_program").isNotNull() & (F.col("open_date") >= window_start))
+    worth = (n("kept") > 0) | F.col("dust_program").isNotNull()
+    return (records.join(counts, "activity_nr", "left").filter(evident & worth).groupBy("facility_id", "activity_nr")
+            .agg(F.max("open_date").alias("opened"), F.max("dust_program").alias("dust_program"),
+                 F.sum(n("kept")).alias("citation_count"), F.sum(n("other")).alias("other_citations")))
+
+
+_SORT_KEY = ["category", "standard", "issued", "type", "penalty_usd"]
+_ITEM = [*_SORT_KEY, "title", "under_contest"]
+
+
+def records_with_items(inspections: DataFrame, citations: DataFrame) -> DataFrame:
+    """`kept_inspections` with their `kept_citations` in a fixed order, as a list in each record."""
+    key = ["facility_id", "activity_nr"]
+    listed = citations.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*_ITEM))).alias("items"))
+    empty = F.array().cast(listed.schema["items"].dataType)
+    return inspections.join(listed, key, "left").withColumn("items", F.coalesce("items", empty))
+
+
 def nested_inspections(evidence: DataFrame) -> DataFrame:
     """(facility_id, inspections[]): newest record first, citations in a fixed order.
 
     One grouping by record, one by entity. If `evidence` is bucketed by entity, neither needs an exchange.
     """
     public = _public()
-    sort_key = ["category", "standard", "issued", "type", "penalty_usd"]
-    item = F.struct(*[public[name].alias(name) for name in (*sort_key, "title", "under_contest")])
+    item = F.struct(*[public[name].alias(name) for name in _ITEM])
     records = evidence.groupBy("facility_id", "activity_nr").agg(
         *_record_aggregates(), F.array_sort(F.collect_list(F.when(_kept(), item))).alias("items")).filter(_worth_showing())
+    return nest(records)
+
+
+def nest(records: DataFrame) -> DataFrame:
+    """(facility_id, inspections[]) from records with their items, in one grouping."""
     inspection = F.struct(
         F.date_diff(F.lit("9999-01-01").cast("date"), "opened").alias("_age"), "activity_nr",
         F.struct(
@@ -92,7 +124,11 @@ def public_lead(leads: DataFrame) -> DataFrame:
 
 def lead_records(shown: DataFrame, evidence: DataFrame, reporting_year: int = rules.EMISSION_YEAR) -> DataFrame:
     """Nested record of every shown lead, from their evidence: one row per lead."""
-    nested = nested_inspections(evidence)
+    return lead_documents(shown, nested_inspections(evidence), reporting_year)
+
+
+def lead_documents(shown: DataFrame, nested: DataFrame, reporting_year: int = rules.EMISSION_YEAR) -> DataFrame:
+    """Nested record of every shown lead, from the lists of their records: one row per lead."""
     signal = F.when(F.col("release_lbs").isNotNull(), F.struct(
         "release_lbs", "chemicals", "forms", F.lit(reporting_year).alias("reporting_year")))
     score = F.struct(*[F.col(f"{k}_pts").alias(k) for k in

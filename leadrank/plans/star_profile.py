@@ -265,15 +265,36 @@ class StarTables:
     @property
     def shown_evidence(self) -> DataFrame:
         """Evidence of the shown leads, as a stage table."""
-        return self._once("shown evidence", lambda: stage_table(
-            self.evidence.join(self.staged_shown.select("facility_id"), "facility_id", "left_semi"), "evidence"))
+        return self._once("shown evidence", lambda: stage_table(self.evidence_of(self.staged_shown), "evidence"))
+
+    def evidence_of(self, leads: DataFrame) -> DataFrame:
+        """Evidence of some leads, from their records."""
+        return features.evidence(self.violations, self.records_of(leads), self.lookup, self.params)
+
+    def records_of(self, leads: DataFrame) -> DataFrame:
+        """Records of some leads as a stage table, picked in four columns before citations meet them, so that codes and
+        titles are neither made for other leads nor shuffled once more by lead."""
+        records = self.facility_inspections.select("facility_id", "activity_nr", "dust_program", "open_date")
+        return stage_table(nested.shown_evidence(records, leads), "records")
+
+    def citations_of(self, records: DataFrame) -> DataFrame:
+        """What leads show of the citations of their records."""
+        return nested.kept_citations(features.citation_evidence(
+            features.telling_citations(self.violations, self.lookup), records, self.lookup, self.params))
+
+    def inspections_of(self, records: DataFrame) -> DataFrame:
+        """What leads show of their records, citations counted."""
+        return nested.counted_inspections(
+            records, features.citation_counts(self.violations, self.lookup, self.params), param(self.params, "window_start"))
+
+    @property
+    def shown_records(self) -> DataFrame:
+        return self._once("shown records", lambda: self.records_of(self.staged_shown))
 
     @property
     def citations(self) -> DataFrame:
-        return self._once("citations", lambda: stage_table(
-            nested.kept_citations(self.shown_evidence), "citations"))
+        return self._once("citations", lambda: stage_table(self.citations_of(self.shown_records), "citations"))
 
     @property
     def shown_inspections(self) -> DataFrame:
-        return self._once("shown inspections", lambda: stage_table(
-            nested.kept_inspections(self.shown_evidence), "records"))
+        return self._once("shown inspections", lambda: stage_table(self.inspections_of(self.shown_records), "kept"))

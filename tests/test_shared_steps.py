@@ -3,7 +3,7 @@ from datetime import date
 
 from leadrank import rules
 from leadrank.functions import values
-from leadrank.operators import features, match, quality
+from leadrank.operators import features, match, nested, quality
 from leadrank.plans import catalog
 from leadrank.plans.star_profile import StarTables
 from pyspark.sql import functions as F
@@ -82,6 +82,48 @@ def test_costly_texts_are_worked_out_once(spark):
     assert _plan(numbers).count("^0+") == 1
 
 
+def test_wide_columns_of_facts_do_not_meet_the_rollups(spark):
+    """Latest values are one maximum each, and names and places are not shuffled by record."""
+    t = StarTables(spark, SMALL)
+    plan = _plan(features.facility_facts(t.facility_inspections, t.violations, t.injuries, t.lookup, t.params))
+    assert "max_by(" not in plan
+    rows = [("a", 1, date(2024, 1, 1), "X"), ("a", 2, date(2024, 1, 1), "Y"), ("a", 2, date(2024, 1, 1), "Z"), ("a", 9, None, "W"),
+            ("a", 3, date(2024, 2, 1), None), (None, 4, None, "V"), ("b", 5, date(2024, 1, 1), None)]
+    fi = spark.createDataFrame(rows, "facility_id string, activity_nr long, open_date date, estab_name string")
+    assert {r.facility_id: r.name for r in fi.groupBy("facility_id").agg(features.latest("estab_name", "name")).collect()} == {
+        "a": "Z", None: "V", "b": None}
+
+
+def test_records_are_counted_without_rows_of_evidence(spark):
+    """Records and citations made by way of counts are those of the evidence rows, null and repeated keys included."""
+    old, new = date(2001, 1, 1), date(2024, 2, 1)
+    nep = rules.DUST_PROGRAM
+    fi = spark.createDataFrame(
+        [(1, "a", nep, new), (2, "a", None, new), (3, "b", nep, old), (4, "b", "Silica", new), (5, "b", None, new), (6, "b", None, new),
+         (6, "b", None, old), (6, "c", None, old), (7, "c", nep, old), (7, "c", nep, new), (None, "c", nep, new), (8, None, nep, new)],
+        "activity_nr long, facility_id string, dust_program string, open_date date")
+    lookup = spark.createDataFrame([("5A", "General Duty Clause", "other"), ("R", "Respirators", "other"), ("S", "Silica", "adjacent"),
+                                    ("D", "Dust", "dust"), ("N", None, "other"), ("U", "Unsorted", None), (None, "State or other rule", "other")],
+                                   "standard string, title string, category string").withColumn("citation", F.col("standard"))
+    rows = [(n, f"{i}", s, d) for n in (1, 2, 3, 5, 6, None) for i, (s, d) in enumerate(
+        [("5A", new), ("5A", new), ("R", new), ("S", new), ("D", old), ("D", new), ("N", new), ("U", new), (None, new), ("S", None)])]
+    rows += [(4, "1", "R", new), (7, "1", "U", new), (8, "1", "D", new), (9, "1", "D", new)]
+    viol = spark.createDataFrame(rows, "activity_nr long, citation_id string, standard string, issuance_date date").withColumns(
+        {"viol_type": F.lit("S"), "current_penalty": F.lit(1.0), "initial_penalty": F.lit(2.0),
+         "contest_date": F.lit(None).cast("date"), "final_order_date": F.lit(None).cast("date")})
+    params = spark.createDataFrame([(new, date(2020, 1, 1), date(2020, 1, 1))], "as_of date, window_start date, injury_start date")
+    evidence = features.evidence(viol, fi, lookup, params)
+    plain = lambda df, cols: sorted(map(str, df.select(*cols).collect()))
+    counted = nested.counted_inspections(fi, features.citation_counts(viol, lookup, params), F.lit(date(2020, 1, 1)))
+    kept = nested.kept_inspections(evidence)
+    assert counted.count() > 5 and plain(counted, kept.columns) == plain(kept, kept.columns)
+    cited = nested.kept_citations(features.citation_evidence(features.telling_citations(viol, lookup), fi, lookup, params))
+    assert plain(cited, cited.columns) == plain(nested.kept_citations(evidence), cited.columns)
+    known = F.col("facility_id").isNotNull() & F.col("activity_nr").isNotNull()
+    deep = nested.nest(nested.records_with_items(counted.filter(known), cited))
+    assert plain(deep, deep.columns) == plain(nested.nested_inspections(evidence.filter(known)), deep.columns)
+
+
 def test_the_gate_makes_no_code_once_more_and_counts_withdrawn_pairs(spark):
     t = StarTables(spark, SMALL)
     tables = catalog._gate_tables(t)
