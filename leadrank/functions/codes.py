@@ -5,6 +5,8 @@ the scan stage and needs neither a join nor a shuffle.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules
@@ -24,12 +26,14 @@ def range_lookup(number: Column, ranges) -> Column:
 
 
 def prefix_lookup(code: Column, industries=rules.INDUSTRIES) -> Column:
-    """(industry, points) of the longest matching prefix; earlier entries win ties."""
+    """(industry, points) of the longest matching prefix; earlier entries win ties.
+
+    One chain of conditions, so that it is compiled and stops at the first match.
+    """
     flat = [(p, label, points) for label, prefixes, points in industries for p in prefixes]
     flat.sort(key=lambda r: -len(r[0]))
-    table = F.expr("array({})".format(", ".join(
-        "named_struct('prefix', {}, 'industry', {}, 'points', {})".format(*map(sql_literal, r)) for r in flat)))
-    return F.get(F.filter(table, lambda r: code.startswith(r["prefix"])), F.lit(0))
+    entry = lambda r: F.expr("named_struct('prefix', {}, 'industry', {}, 'points', {})".format(*map(sql_literal, r)))
+    return reduce(lambda acc, r: acc.when(code.startswith(r[0]), entry(r)), flat, F)
 
 
 def paragraph_marks(rest: Column) -> Column:

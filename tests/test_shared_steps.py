@@ -3,7 +3,8 @@ from datetime import date
 
 from leadrank import rules
 from leadrank.functions import values
-from leadrank.operators import features, match, nested, quality
+from leadrank.functions.codes import prefix_lookup
+from leadrank.operators import features, ground, match, nested, quality
 from leadrank.plans import catalog
 from leadrank.plans.star_profile import StarTables
 from pyspark.sql import functions as F
@@ -133,3 +134,13 @@ def test_the_gate_makes_no_code_once_more_and_counts_withdrawn_pairs(spark):
     gone = spark.createDataFrame([(1, "1", "A"), (1, "1", "A"), (1, "1", "A"), (4, "1", "A"), (None, "1", "A"), (3, None, "A"), (3, "1", None)], schema)
     checks = quality.run_checks(tables | {"violations": blank, "withdrawn": gone}, catalog._STATES25, "1996-01-01")
     assert [r.bad_rows for r in checks.filter("check_no = 4").collect()] == [6]
+
+
+def test_topics_and_industries_are_sought_in_few_steps(spark):
+    texts = ["A fatal injury and a lawsuit", "PRICED at cost only", "dust control", None]
+    fields = spark.createDataFrame([("d", "f", 1, "body", x) for x in texts],
+                                   "draft_id string, facility_id string, attempt int, field string, text string")
+    found = ground.banned_topics(fields)
+    assert sorted(r.topic for r in found.collect()) == ["injury or death", "legal action", "pricing"]
+    assert "|".join(f"(?:{p})" for _, p in rules.BANNED_TOPICS) in _plan(found)
+    assert "lambda" not in _plan(fields.select(prefix_lookup(F.col("text")).alias("fit")))
